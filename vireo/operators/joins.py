@@ -50,14 +50,24 @@ def join_labels(predictions: DataFrame, labels: DataFrame, keys=("request_id",),
 
 
 # J3 ------------------------------------------------------------------------
-def key_overlap(a: DataFrame, b: DataFrame, key_a: str, key_b: str | None = None) -> DataFrame:
-    """Distinct-key overlap: common / only-a / only-b counts and a pass flag."""
-    key_b = key_b or key_a
-    ka = a.select(F.col(key_a).alias("__k")).where(F.col("__k").isNotNull()).distinct() \
-          .withColumn("__a", F.lit(1))
-    kb = b.select(F.col(key_b).alias("__k")).where(F.col("__k").isNotNull()).distinct() \
-          .withColumn("__b", F.lit(1))
-    j = ka.join(kb, "__k", "full_outer")
+def key_overlap(a: DataFrame, b: DataFrame, key_a, key_b=None) -> DataFrame:
+    """Distinct-key overlap: common / only-a / only-b counts and a pass flag.
+
+    Keys may be one column or a list (compared as a struct); null keys are
+    left out.
+    """
+    ka_cols = [key_a] if isinstance(key_a, str) else list(key_a)
+    kb_cols = ka_cols if key_b is None else ([key_b] if isinstance(key_b, str) else list(key_b))
+
+    def keys(df, cols, flag):
+        k = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]) if len(cols) > 1 else F.col(cols[0])
+        notnull = None
+        for c in cols:
+            e = F.col(c).isNotNull()
+            notnull = e if notnull is None else notnull & e
+        return df.where(notnull).select(k.alias("__k")).distinct().withColumn(flag, F.lit(1))
+
+    j = keys(a, ka_cols, "__a").join(keys(b, kb_cols, "__b"), "__k", "full_outer")
     return j.agg(
         F.count_if(F.col("__a").isNotNull() & F.col("__b").isNotNull()).alias("n_common"),
         F.count_if(F.col("__b").isNull()).alias("n_only_a"),
