@@ -102,3 +102,21 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
         outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(n))
     keep = [c for c in g if c != "__g"]
     return picked.select(*keep, *outs)
+
+
+def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
+                    salt_col: str | None = None, salt_buckets: int = 64, rank_name: str = "rank") -> DataFrame:
+    """Exact top-k rows per group, ranked 1..k by ``order_cols`` (a total order).
+
+    Stage 1 keeps the top k inside each (group, hash bucket) - the window
+    partitions are bounded by bucket size, so a group holding a third of the
+    data is split over ``salt_buckets`` tasks.  The global top k of a group
+    is inside the union of its bucket winners, so stage 2 ranks at most
+    ``salt_buckets * k`` rows per group.
+    """
+    salt_src = F.col(salt_col) if salt_col else F.xxhash64(*[F.col(c) for c in df.columns])
+    b = df.withColumn("__salt", F.pmod(salt_src, F.lit(salt_buckets)))
+    w1 = Window.partitionBy(*group_cols, "__salt").orderBy(*order_cols)
+    cand = b.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= k).drop("__r1", "__salt")
+    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return cand.withColumn(rank_name, F.row_number().over(w2)).where(F.col(rank_name) <= k)
