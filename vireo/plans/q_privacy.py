@@ -1,3 +1,132 @@
-"""Registered queries."""
+"""Registered queries: personal data, audit and retention."""
 
-from vireo.plans.catalog import query  # noqa: F401
+from pyspark.sql import functions as F
+
+from vireo import config as C
+from vireo.operators import privacy as S
+from vireo.operators.joins import verify_hashes, verify_summary
+from vireo.plans.bindings import req_log, table, with_views
+from vireo.plans.catalog import query
+
+
+def _scan_sql(tbl: str, col: str, by: str) -> str:
+    # one aggregation per pattern, grouped by the source column
+    sel = "\nUNION ALL ".join(
+        f"""SELECT {by}, count(*) AS n_rows, '{col}' AS "column", '{name}' AS pattern,
+  count(*) FILTER (WHERE len(regexp_extract_all({col}, '{pat.replace("'", "''")}')) > 0) AS rows_matched,
+  CAST(coalesce(sum(len(regexp_extract_all({col}, '{pat.replace("'", "''")}'))), 0) AS BIGINT) AS n_matches
+FROM {tbl} GROUP BY {by}""" for name, pat in C.PII_PATTERNS)
+    return sel
+
+
+@query("s1_pii_scan_documents", _scan_sql("documents", "text", "source"))
+def s1_pii_scan_documents(spark, d):
+    return S.pii_scan(table(spark, d, "documents"), ["text"], ["source"])
+
+
+@query("s1_pii_scan_conversations", _scan_sql("conversations", "text", "role"))
+def s1_pii_scan_conversations(spark, d):
+    return S.pii_scan(table(spark, d, "conversations"), ["text"], ["role"])
+
+
+@query("s1_pii_scan_pages", _scan_sql("(SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, html FROM pages)",
+                                      "html", "host"))
+def s1_pii_scan_pages(spark, d):
+    p = table(spark, d, "pages").select(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"), "html")
+    return S.pii_scan(p, ["html"], ["host"])
+
+
+def _redact_sql(col: str) -> str:
+    e = col
+    for _, pat in C.PII_PATTERNS:
+        e = f"regexp_replace({e}, '{pat.replace(chr(39), chr(39) * 2)}', '[REDACTED]', 'g')"
+    return e
+
+
+@query("s2_redact_documents", f"SELECT doc_id, {_redact_sql('text')} AS text FROM documents")
+def s2_redact_documents(spark, d):
+    return S.redact_columns(table(spark, d, "documents").select("doc_id", "text"), ["text"])
+
+
+@query("s2_redact_conversations", f"SELECT conv_id, turn, {_redact_sql('text')} AS text FROM conversations")
+def s2_redact_conversations(spark, d):
+    return S.redact_columns(table(spark, d, "conversations").select("conv_id", "turn", "text"), ["text"])
+
+
+def _any_pii_sql(col: str) -> str:
+    return "(" + " OR ".join(f"regexp_matches({col}, '{p.replace(chr(39), chr(39) * 2)}')"
+                             for _, p in C.PII_PATTERNS) + ")"
+
+
+@query("s3_sanitize_nested_documents", f"""
+SELECT doc_id, '[REDACTED]' AS name, lang AS meta_lang, '[REDACTED]' AS meta_email, n_chars AS meta_n_chars,
+  CASE WHEN {_any_pii_sql('text')} THEN {_redact_sql('text')} ELSE text END AS text
+FROM documents""")
+def s3_sanitize_nested_documents(spark, d):
+    doc = table(spark, d, "documents")
+    nested = doc.select("doc_id", F.col("source").alias("name"),
+                        F.struct("lang", F.col("source").alias("email"), "n_chars").alias("meta"), "text")
+    s = S.sanitize(nested)
+    return s.select("doc_id", "name", F.col("meta.lang").alias("meta_lang"), F.col("meta.email").alias("meta_email"),
+                    F.col("meta.n_chars").alias("meta_n_chars"), "text")
+
+
+@query("s4_safe_view_conversations", f"""
+SELECT turn, CASE WHEN NOT {_any_pii_sql('text')} AND length(text) < 50 THEN text END AS text
+FROM conversations""")
+def s4_safe_view_conversations(spark, d):
+    return S.safe_aggregate_view(table(spark, d, "conversations"), ["turn", "text"])
+
+
+@query("s5_pseudonymize_customer", """
+SELECT substr(sha256('cohort-a:' || CAST(c_custkey AS VARCHAR)), 1, 16) AS c_custkey, c_nationkey, c_mktsegment
+FROM customer""")
+def s5_pseudonymize_customer(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return S.pseudonymize_columns(c, ["c_custkey"], salt="cohort-a")
+
+
+@query("s6_audit_fingerprints", with_views("""
+SELECT 'predict' AS action, substr(sha256(concat_ws(',', 'api_key=' || CAST(api_key AS VARCHAR),
+    'endpoint=' || endpoint, 'status_code=' || CAST(status_code AS VARCHAR))), 1, 16) AS data_hash,
+  3 AS field_count, request_id
+FROM v3""", "v3"))
+def s6_audit_fingerprints(spark, d):
+    v3 = req_log(spark, d)
+    cols = ["api_key", "endpoint", "status_code"]
+    return v3.select(F.lit("predict").alias("action"), S.row_fingerprint(v3, cols).alias("data_hash"),
+                     F.lit(len(cols)).alias("field_count"), "request_id")
+
+
+@query("s7_drop_pii_fields", """
+SELECT c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def s7_drop_pii_fields(spark, d):
+    c = table(spark, d, "customer").withColumnRenamed("c_name", "nome").withColumnRenamed("c_custkey", "ra")
+    return S.drop_pii_fields(c)
+
+
+@query("s7_drop_pii_keys_in_map", """
+SELECT event_id, json_extract_string(props, '$.k') AS k, 2 AS n_keys_before, 1 AS n_keys_after FROM events""")
+def s7_drop_pii_keys_in_map(spark, d):
+    e = table(spark, d, "events")
+    m = F.map_concat(F.from_json("props", "map<string,string>"),
+                     F.create_map(F.lit("email"), F.col("user_id").cast("string")))
+    clean = S.drop_pii_keys(m)
+    return e.select("event_id", clean["k"].alias("k"), F.size(m).alias("n_keys_before"),
+                    F.size(clean).alias("n_keys_after"))
+
+
+@query("s8_retention_report_events", """
+SELECT event_type, count(*) AS total, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 14 DAY) AS removed,
+  count(*) FILTER (WHERE NOT (ts < TIMESTAMP '2024-01-31' - INTERVAL 14 DAY) OR ts IS NULL) AS retained
+FROM events GROUP BY event_type""")
+def s8_retention_report_events(spark, d):
+    return S.retention_report(table(spark, d, "events"), "ts", "2024-01-31", 14, ["event_type"])
+
+
+@query("s10_file_hashes_verified")
+def s10_file_hashes_verified(spark, d):
+    """Hashes of the table files, verified against themselves (rows-only)."""
+    h = S.file_hashes(spark, f"{d}/*.parquet")
+    checked = verify_hashes(h.select("name", "sha256"), h.select("name", "sha256"))
+    return verify_summary(checked)
