@@ -1,3 +1,165 @@
-"""Registered queries."""
+"""Registered queries: windows and streams.
 
-from vireo.plans.catalog import query  # noqa: F401
+W1-W4(a) are batch forms with DuckDB oracles; the stream queries replay the
+events table through Structured Streaming (``availableNow``) into the shared
+checkpoint folder and return the written result.
+"""
+
+from pyspark.sql import functions as F
+
+from vireo.operators.drift import psi, score_bins
+from vireo.operators.evaluate import confusion_counts, metrics_from_counts
+from vireo.plans.bindings import req_log, scored, table, with_views
+from vireo.plans.catalog import query
+from vireo.streaming import jobs as W
+
+
+def _ts_str(c, micro=False):
+    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS" if micro else "yyyy-MM-dd HH:mm:ss")
+
+
+@query("w1_rolling_60s_latency", with_views("""
+SELECT request_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  count(latency_ms) OVER w AS n, round(avg(latency_ms) OVER w, 6) AS mean,
+  round(quantile_cont(latency_ms, 0.5) OVER w, 6) AS p50, round(quantile_cont(latency_ms, 0.95) OVER w, 6) AS p95
+FROM v3 WINDOW w AS (ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)""", "v3"))
+def w1_rolling_60s_latency(spark, d):
+    r = W.rolling_stats(req_log(spark, d).select("request_id", "ts", "latency_ms"), "ts", "latency_ms", 60)
+    return r.select("request_id", _ts_str("ts", True).alias("ts"), "n", F.round("mean", 6).alias("mean"),
+                    F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
+
+
+MINUTE_SQL = """
+SELECT strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+  count(*) FILTER (WHERE status_code < 400) AS n_success, count(*) FILTER (WHERE status_code >= 500) AS n_errors,
+  round(avg(latency_ms), 6) AS mean_latency, round(quantile_cont(latency_ms, 0.5), 6) AS p50,
+  round(quantile_cont(latency_ms, 0.95), 6) AS p95, round(quantile_cont(latency_ms, 0.99), 6) AS p99
+FROM v3 GROUP BY ALL"""
+
+
+def _minutes(spark, d):
+    m = W.minute_metrics(req_log(spark, d), "ts", "latency_ms", "status_code")
+    return m.select(_ts_str("window_start").alias("window_start"), "n", "n_success", "n_errors",
+                    *[F.round(c, 6).alias(c) for c in ["mean_latency", "p50", "p95", "p99"]])
+
+
+@query("w2_minute_metrics", with_views(MINUTE_SQL, "v3"))
+def w2_minute_metrics(spark, d):
+    return _minutes(spark, d)
+
+
+@query("w3_slo_per_minute", with_views(f"""
+SELECT window_start, n, round(n_errors / n, 6) AS error_rate, p95,
+  coalesce(p95 <= 300.0, true) AND n_errors / n <= 0.01 AS slo_ok FROM ({MINUTE_SQL})""", "v3"))
+def w3_slo_per_minute(spark, d):
+    m = W.minute_metrics(req_log(spark, d), "ts", "latency_ms", "status_code")
+    s = W.slo_status(m)
+    return s.withColumn("window_start", _ts_str("window_start"))
+
+
+@query("w4_rate_violations_by_key", with_views("""
+SELECT api_key, count(*) AS n_minutes, max(n) AS max_per_minute, count(*) FILTER (WHERE n > 60) AS n_violations
+FROM (SELECT api_key, date_trunc('minute', ts) AS m, count(*) AS n FROM v3 GROUP BY ALL) GROUP BY api_key""", "v3"))
+def w4_rate_violations_by_key(spark, d):
+    return W.rate_violations(req_log(spark, d), "api_key", "ts")
+
+
+def _events_stream(spark, d):
+    return W.file_stream(spark, f"{d}/events*.parquet")
+
+
+@query("w2_minute_metrics_stream")
+def w2_minute_metrics_stream(spark, d):
+    """Streaming twin of w2 (rows-only; equality with the batch form is a test)."""
+    s = _events_stream(spark, d).select(
+        F.col("ts"), F.col("value").alias("latency_ms"),
+        F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
+    m = W.minute_metrics(s, "ts", "latency_ms", "status_code", watermark="2 minutes")
+    out = W.shared_path(spark, "w2")
+    W.run_available_now(m, out, mode="append")
+    return spark.read.parquet(out)
+
+
+@query("w4_token_bucket_stream")
+def w4_token_bucket_stream(spark, d):
+    """Exact token bucket per API key over the event stream (rows-only)."""
+    s = _events_stream(spark, d).select(F.col("user_id").alias("api_key"), "ts")
+    tb = W.token_bucket(s, "api_key", "ts", capacity=60.0, refill=1.0)
+    out = W.shared_path(spark, "w4")
+    W.run_available_now(tb, out, mode="append")
+    r = spark.read.parquet(out)
+    return r.groupBy("key").agg(F.sum("n_requests").alias("n_requests"), F.sum("n_rejected").alias("n_rejected"))
+
+
+@query("w5_inference_log_stream")
+def w5_inference_log_stream(spark, d):
+    """Events logged by date partition through a stream (rows-only)."""
+    s = _events_stream(spark, d).withColumnRenamed("user_id", "id")
+    out = W.shared_path(spark, "w5")
+    W.run_available_now(W.inference_log(s, "ts"), out, partition_by=["dt"])
+    return spark.read.parquet(out).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("w7_daily_score_psi_stream")
+def w7_daily_score_psi_stream(spark, d):
+    """Daily score bins counted by a watermarked stream, PSI against the
+    first three weeks (rows-only; equals w7_daily_score_psi_batch)."""
+    from vireo.plans.q_drift import SPLIT
+    s = _events_stream(spark, d).where(F.col("ts") >= F.lit(SPLIT)) \
+        .select("ts", (F.col("value") / (F.col("value") + 50)).alias("score"))
+    out = W.shared_path(spark, "w7")
+    W.run_available_now(W.daily_score_bins(s, "ts", "score"), out)
+    counts = spark.read.parquet(out)
+    tot = counts.groupBy("day").agg(F.sum("cnt").alias("n"))
+    grid = tot.select("day", "n", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("bin"))
+    cur = grid.join(counts, ["day", "bin"], "left") \
+              .select("day", "bin", (F.coalesce("cnt", F.lit(0)) / F.col("n")).alias("c_freq"))
+    base = table(spark, d, "events").where(F.col("ts") < F.lit(SPLIT)) \
+        .select((F.col("value") / (F.col("value") + 50)).alias("score"))
+    b = score_bins(base, "score").withColumnRenamed("freq", "b_freq")
+    p = psi(cur.join(F.broadcast(b), "bin"), ["day"])
+    return p.select("day", F.round("psi", 4).alias("psi"))
+
+
+@query("w8_label_join_stream")
+def w8_label_join_stream(spark, d):
+    """Late labels as a stream joined to static predictions; metrics per
+    micro-batch are appended to a table (rows-only)."""
+    o = table(spark, d, "orders")
+    lab_dir = W.shared_path(spark, "w8-labels")
+    o.where(F.col("o_orderstatus") != "O").select(
+        F.col("o_orderkey").alias("request_id"), (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+        F.year("o_orderdate").alias("period")).write.partitionBy("period").parquet(lab_dir)
+    labels = W.file_stream(spark, f"{lab_dir}/*/*.parquet",
+                           schema=spark.read.parquet(lab_dir).drop("period").schema, max_files=4)
+    preds = scored(spark, d).drop("label")
+    out = W.shared_path(spark, "w8-metrics")
+
+    def per_batch(bdf, bid):
+        m = metrics_from_counts(confusion_counts(bdf, ["model"], "label", (F.col("risk_score") >= 0.5).cast("int")))
+        m.withColumn("batch_id", F.lit(bid)).write.mode("append").parquet(out)
+
+    W.run_available_now(W.label_join(labels, preds), foreach_batch=per_batch)
+    r = spark.read.parquet(out)
+    return r.groupBy("model").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
+                                  F.sum("tn").alias("tn"), F.countDistinct("batch_id").alias("n_batches"))
+
+
+@query("w9_late_rows_dropped")
+def w9_late_rows_dropped(spark, d):
+    """Rows arriving behind the watermark are counted, not silently lost
+    (rows-only).  The second half of January is written first and the first
+    half afterwards, so the older rows arrive after the watermark passed."""
+    e = table(spark, d, "events")
+    src = W.shared_path(spark, "w9-src")
+    cut = F.lit("2024-01-15")
+    e.where(F.col("ts") >= cut).write.parquet(f"{src}/a")
+    e.where(F.col("ts") < cut).write.parquet(f"{src}/b")
+    s = W.file_stream(spark, f"{src}/*/*.parquet", schema=e.schema, max_files=1000)
+    g = W.minute_metrics(s.select("ts", F.col("value").alias("latency_ms"), F.lit(200).alias("status_code")),
+                         "ts", "latency_ms", "status_code", length="1 hour", watermark="1 hour")
+    out = W.shared_path(spark, "w9")
+    prog = W.run_available_now(g, out)
+    dropped = W.dropped_by_watermark(prog)
+    kept = spark.read.parquet(out).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_windows"))
+    return kept.withColumn("rows_dropped_late", F.lit(dropped))
