@@ -1,3 +1,91 @@
-"""Registered queries."""
+"""Registered queries: Spark ML fit and score."""
 
-from vireo.plans.catalog import query  # noqa: F401
+from pyspark.sql import functions as F
+
+from vireo.operators import ml as M
+from vireo.plans.bindings import subject_year, table, with_views
+from vireo.plans.catalog import query
+from vireo.plans.modeling import MODELING_SQL, modeling_long
+
+NUMERIC = ["fase", "ian", "ida", "ieg", "ano_ingresso"]
+CATEGORICAL = ["c_mktsegment"]
+
+
+def training_table(spark, d):
+    """Features at t with the outcome at t+1, plus the customer segment."""
+    m = modeling_long(subject_year(spark, d))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("ra"), "c_mktsegment")
+    return m.join(c, "ra", "left").withColumnRenamed("em_risco", "label")
+
+
+@query("m2_class_weights", with_views("""
+SELECT em_risco AS label, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM m GROUP BY em_risco""", "v1", ctes=[MODELING_SQL]))
+def m2_class_weights(spark, d):
+    w = M.balanced_weights(training_table(spark, d), "label")
+    return w.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), 6).alias("weight"))
+
+
+@query("m4_stratified_split_counts")
+def m4_stratified_split_counts(spark, d):
+    """Rows-only: exact ceil(20%) per class in test, repeatable by seed."""
+    s = M.stratified_split(training_table(spark, d), "label", "ra", 0.2)
+    return s.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m1_preprocessor_summary")
+def m1_preprocessor_summary(spark, d):
+    """Rows-only: imputer medians and scaler statistics learned by the pipeline."""
+    from pyspark.ml import Pipeline
+    df = training_table(spark, d)
+    pm = Pipeline(stages=M.preprocessor_stages(NUMERIC, CATEGORICAL)).fit(df)
+    imp, scaler = pm.stages[0], pm.stages[2]
+    med = imp.surrogateDF.first()
+    rows = [(c, float(med[c]), float(scaler.mean[i]), float(scaler.std[i])) for i, c in enumerate(NUMERIC)]
+    return spark.createDataFrame(rows, "feature string, median double, mean double, std double")
+
+
+@query("m6_model_selection_report")
+def m6_model_selection_report(spark, d):
+    """Rows-only: three class-weighted candidates, sigmoid-calibrated by
+    3-fold cross-fitting, threshold on validation, best tested once."""
+    _, _, report = M.train_and_select(training_table(spark, d), NUMERIC, CATEGORICAL, key="ra")
+    return report
+
+
+@query("m8_batch_scoring")
+def m8_batch_scoring(spark, d):
+    """Rows-only: fit the linear candidate on periods before the last and
+    score the last period (aligned to the training signature)."""
+    df = training_table(spark, d)
+    last = df.agg(F.max("ano")).first()[0]
+    train = M.balanced_weights(df.where(F.col("ano") < last), "label")
+    est = M.candidates(train.count())["logreg"]
+    model = M.fit(train, NUMERIC, CATEGORICAL, est, calibration="sigmoid", key="ra")
+    sig = {**{c: "double" for c in NUMERIC}, "c_mktsegment": "string"}
+    return M.score(df.where(F.col("ano") == last), model, 0.5, "v1", sig, keep=["ra", "ano"])
+
+
+@query("w6_streaming_score")
+def w6_streaming_score(spark, d):
+    """Rows-only: the scoring function applied per micro-batch of a stream of
+    feature rows, logged by date partition."""
+    from vireo.streaming import jobs as W
+    df = training_table(spark, d)
+    train = M.balanced_weights(df, "label")
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.candidates(train.count())["logreg"], calibration=None)
+    src = W.shared_path(spark, "w6-src")
+    df.drop("label").withColumn("ts", F.make_timestamp(F.col("ano"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))) \
+      .repartition(4).write.parquet(src)
+    stream = W.file_stream(spark, f"{src}/*.parquet", max_files=1)
+    out = W.shared_path(spark, "w6-out")
+    sig = {**{c: "double" for c in NUMERIC}, "c_mktsegment": "string"}
+
+    def per_batch(bdf, bid):
+        s = M.score(bdf, model, 0.5, "v1", sig, keep=["ra", "ano", "ts"])
+        s.withColumn("dt", F.to_date("ts")).write.mode("append").partitionBy("dt").parquet(out)
+
+    W.run_available_now(stream, foreach_batch=per_batch)
+    r = spark.read.parquet(out)
+    return r.groupBy("ano").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("risk_score"), 6).alias("mean_score"),
+                                F.sum("risk_label").alias("n_flagged"))
