@@ -16,7 +16,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 64
+
+
+def sorted_rank(value: Column, cuts: Column, n_cuts: int) -> Column:
+    """Number of entries of the ascending array ``cuts`` that are <= value.
+
+    A binary search written as nested CASE WHEN over ``cuts[i]``: log2(n)
+    comparisons per row, fully inside generated code (an array ``filter``
+    lambda would be interpreted and cost n comparisons).
+    """
+    def bs(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(cuts[mid] > value, bs(lo, mid)).otherwise(bs(mid + 1, hi))
+    return bs(0, n_cuts)
 
 
 def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
@@ -24,8 +39,8 @@ def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, su
     """Add ``{c}{suffix}`` = sum of ``c`` over rows strictly before this one.
 
     ``df`` must have one row per (group, order value) - e.g. the output of a
-    ``groupBy(group + [order_col])``.  ``bucket`` must be monotone in
-    ``order_col`` (non-decreasing; non-increasing if ``descending``).
+    ``groupBy(group + [order_col])``.  ``bucket`` must be non-decreasing in
+    ``order_col``; ``descending`` sums over larger values instead.
     """
     b = df.withColumn("__bkt", bucket)
     tot = b.groupBy(*group_cols, "__bkt").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
@@ -83,7 +98,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
                                  F.count(F.lit(1)).alias("__n"))
     # stats has one row per group; AQE broadcasts it when it is small.
     vcb = vc.join(stats, g)
-    bucket = F.size(F.filter("__cuts", lambda c: c <= F.col("__v")))
+    bucket = sorted_rank(F.col("__v"), F.col("__cuts"), buckets - 1)
     vcb = vcb.withColumn("__b", bucket).drop("__cuts")
     ps = ordered_prefix_sums(vcb, g, "__v", ["__c"], F.col("__b"))
     # 3) rank positions per probability; each is found in exactly one row
