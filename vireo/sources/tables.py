@@ -28,9 +28,11 @@ def _suffix(path: str) -> str:
 
 
 # IO1 ---------------------------------------------------------------------
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Parquet or CSV by suffix; anything else raises ``ValueError``."""
-    s = _suffix(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+               fmt: str | None = None) -> DataFrame:
+    """Parquet or CSV by suffix (or ``fmt`` for suffix-less folders);
+    anything else raises ``ValueError``."""
+    s = f".{fmt}" if fmt else _suffix(path)
     if s == ".parquet":
         r = spark.read
         if schema is not None:
@@ -45,7 +47,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 # IO2 ---------------------------------------------------------------------
 def read_snapshots(spark: SparkSession, paths: dict[int, str], period_col: str = "ano",
-                   normalize=None) -> DataFrame:
+                   normalize=None, fmt: str | None = None) -> DataFrame:
     """One table per period, unioned by name into one long table.
 
     ``normalize`` (e.g. ``normalize_columns``) runs per snapshot before the
@@ -53,7 +55,7 @@ def read_snapshots(spark: SparkSession, paths: dict[int, str], period_col: str =
     """
     out = None
     for year, path in sorted(paths.items()):
-        df = read_table(spark, path)
+        df = read_table(spark, path, fmt=fmt)
         if normalize is not None:
             df = normalize(df)
         df = df.withColumn(period_col, F.lit(int(year)))
