@@ -72,12 +72,16 @@ def candidates(n_train: int, seed: int = SEED, label: str = "label", weight: str
 
 # M4 ------------------------------------------------------------------------
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed: int = SEED,
-                     out: str = "is_test") -> DataFrame:
+                     out: str = "is_test", bucket_bits: int = 16) -> DataFrame:
     """Exactly ceil(frac * n_class) rows per class go to test, chosen by a
-    seeded hash of the key - repeatable and with no per-class window."""
+    seeded hash of the key - repeatable and with no per-class window.
+
+    Ranks come from prefix sums over ``2**bucket_bits`` hash-range buckets
+    per class: each window partition holds about n / 2**bucket_bits rows.
+    """
     h = df.withColumn("__h", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
     cnt = h.groupBy(label, "__h").agg(F.count(F.lit(1)).alias("__c"))
-    ps = ordered_prefix_sums(cnt, [label], "__h", ["__c"], F.shiftright(F.col("__h"), 54))
+    ps = ordered_prefix_sums(cnt, [label], "__h", ["__c"], F.shiftright(F.col("__h"), 64 - bucket_bits))
     n = cnt.groupBy(label).agg(F.sum("__c").alias("__n"))
     ranked = ps.join(F.broadcast(n), label).withColumn(
         out, F.col("__c_cum") < F.ceil(F.col("__n") * F.lit(test_frac)))
