@@ -42,7 +42,8 @@ def test_token_bucket_burst(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
     data = [("k1", t0 + dt.timedelta(milliseconds=10 * i)) for i in range(70)] + [("k2", t0)]
     src = str(tmp_path / "src")
-    spark.createDataFrame(data, "api_key string, ts timestamp").write.parquet(src)
+    # one small input file, so the replay order is the event order
+    spark.createDataFrame(data, "api_key string, ts timestamp").repartition(1).write.parquet(src)
     s = W.file_stream(spark, f"{src}/*.parquet")
     out = W.shared_path(spark, "test-w4")
     W.run_available_now(W.token_bucket(s, "api_key", "ts"), out)

@@ -93,9 +93,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
         raise ValueError(method)
 
     if not g:
-        # A single group: give it an explicit key so every step stays keyed.
-        base = base.withColumn("__g", F.lit(0))
-        g = ["__g"]
+        return _quantiles_single(base, probs, buckets, names)
     # 1) distinct values with counts (map-side combined; a hot value is one row)
     vc = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
     # 2) per group: size and approximate cut points (a bounded sketch)
@@ -107,21 +105,46 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
     vcb = add_sorted_rank(vcb, "__v", "__cuts", buckets - 1, "__b").drop("__cuts")
     ps = ordered_prefix_sums(vcb, g, "__v", ["__c"], F.col("__b"))
     # 3) rank positions per probability; each is found in exactly one row
+    aggs = _pick(ps, probs, F.col("__n"), g)
+    picked = ps.groupBy(*g).agg(*aggs)
+    outs = []
+    for i, n in enumerate(names):
+        lo, hi, fr = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
+        outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(n))
+    return picked.select(*g, *outs)
+
+
+def _pick(ps: DataFrame, probs: list[float], n, group_cols: list[str]) -> list:
     aggs = []
     for i, p in enumerate(probs):
-        h = (F.col("__n") - 1) * F.lit(float(p))
+        h = (n - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
         start_, end_ = F.col("__c_cum"), F.col("__c_cum") + F.col("__c")
         aggs.append(F.max(F.when((lo >= start_) & (lo < end_), F.col("__v"))).alias(f"__lo{i}"))
         aggs.append(F.max(F.when((hi >= start_) & (hi < end_), F.col("__v"))).alias(f"__hi{i}"))
         aggs.append(F.max(h - lo).alias(f"__f{i}"))
-    picked = ps.groupBy(*g).agg(*aggs)
+    return aggs
+
+
+def _quantiles_single(base: DataFrame, probs: list[float], buckets: int, names: list[str]) -> DataFrame:
+    """Whole-column quantiles: the cut points and the count are one small
+    driver-side result, used as literals (no join against a one-row table)."""
+    cuts_arr = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    st = base.agg(F.percentile_approx("__v", cuts_arr, 10000).alias("c"), F.count(F.lit(1)).alias("n")).first()
+    vc = base.groupBy("__v").agg(F.count(F.lit(1)).alias("__c"))
+    cuts = list(st["c"] or [])
+    if cuts:
+        vc = vc.withColumn("__cuts", F.array(*[F.lit(float(c)) for c in cuts]))
+        vc = add_sorted_rank(vc, "__v", "__cuts", len(cuts), "__b").drop("__cuts")
+    else:
+        vc = vc.withColumn("__b", F.lit(0))
+    ps = ordered_prefix_sums(vc, [], "__v", ["__c"], F.col("__b"))
+    picked = ps.agg(*_pick(ps, probs, F.lit(int(st["n"] or 0)), []))
     outs = []
     for i, n in enumerate(names):
         lo, hi, fr = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
         outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(n))
-    keep = [c for c in g if c != "__g"]
-    return picked.select(*keep, *outs)
+    return picked.select(*outs)
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
@@ -140,3 +163,19 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: i
     cand = b.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= k).drop("__r1", "__salt")
     w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return cand.withColumn(rank_name, F.row_number().over(w2)).where(F.col(rank_name) <= k)
+
+
+def combine_one_row(*dfs: DataFrame) -> DataFrame:
+    """Place the columns of several one-row results side by side without a
+    join: each row is melted to (name, value), the parts are unioned and
+    pivoted back.  Values come back as doubles."""
+    names, parts = [], []
+    for d in dfs:
+        names += d.columns
+        kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
+                                 for c in d.columns]))
+        parts.append(d.select(kv.alias("kv")).select("kv.k", "kv.v"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy().pivot("k", names).agg(F.first("v"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import config as C
+from vireo.functions.stats import combine_one_row
 from vireo.operators.profile import edge_bin, unit_edges
 from vireo.sources.tables import parse_json_map
 
@@ -163,11 +164,10 @@ def score_drift(baseline_scores: DataFrame, current_scores: DataFrame, score: st
     b = score_bins(baseline_scores, score).withColumnRenamed("freq", "b_freq")
     c = score_bins(current_scores, score).withColumnRenamed("freq", "c_freq")
     g = b.join(c, "bin", "left").fillna(0.0, ["c_freq"]).withColumn("__g", F.lit(0))
-    p = psi(g, ["__g"])
-    bm = baseline_scores.agg(F.avg(score).alias("baseline_mean")).withColumn("__g", F.lit(0))
-    cm = current_scores.agg(F.avg(score).alias("current_mean"), F.count(F.lit(1)).alias("__nc")) \
-                       .withColumn("__g", F.lit(0))
-    j = p.join(bm, "__g").join(cm, "__g")
+    p = psi(g, ["__g"]).select("psi")
+    bm = baseline_scores.agg(F.avg(score).alias("baseline_mean"))
+    cm = current_scores.agg(F.avg(score).alias("current_mean"), F.count(F.lit(1)).alias("__nc"))
+    j = combine_one_row(p, bm, cm)
     st = F.when(F.col("__nc") == 0, F.lit("no_data")).otherwise(status("psi", warn, alert))
     return j.select(F.round(F.when(F.col("__nc") > 0, F.col("psi")).otherwise(0.0), digits).alias("psi"),
                     F.round("baseline_mean", digits).alias("baseline_mean"),
@@ -249,9 +249,14 @@ def global_status(drift: DataFrame, score: DataFrame, n_cur_events: int,
     """One row: red if any red (or score red); yellow if the yellow share is
     above the limit or the score is yellow; no_data without current events."""
     agg = drift.agg(F.count(F.lit(1)).alias("n_features"), F.count_if(F.col("status") == "red").alias("n_red"),
-                    F.count_if(F.col("status") == "yellow").alias("n_yellow")).withColumn("__g", F.lit(0))
-    s = score.select(F.col("status").alias("score_status")).withColumn("__g", F.lit(0))
-    j = agg.join(s, "__g").withColumn("n_requests", F.lit(int(n_cur_events)))
+                    F.count_if(F.col("status") == "yellow").alias("n_yellow"))
+    code = {"green": 0, "yellow": 1, "red": 2, "no_data": 3}
+    sc = score.select(F.coalesce(*[F.when(F.col("status") == k, F.lit(v)) for k, v in code.items()]).alias("__sc"))
+    j = combine_one_row(agg, sc)
+    for c in ("n_features", "n_red", "n_yellow"):
+        j = j.withColumn(c, F.col(c).cast("bigint"))
+    back = F.coalesce(*[F.when(F.col("__sc") == v, F.lit(k)) for k, v in code.items()])
+    j = j.withColumn("score_status", back).withColumn("n_requests", F.lit(int(n_cur_events)))
     g = (F.when(F.col("n_requests") == 0, F.lit("no_data"))
           .when((F.col("n_red") > 0) | (F.col("score_status") == "red"), F.lit("red"))
           .when((F.col("n_features") > 0) & (F.col("n_yellow") / F.col("n_features") > yellow_share), F.lit("yellow"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.functions.stats import quantiles
+from vireo.functions.stats import combine_one_row, quantiles
 
 
 def _q(n: str) -> str:
@@ -97,14 +97,16 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whisker: flo
            .withColumn("fence_hi", F.col("q3") + whisker * F.col("iqr"))
     v = F.col(_q(col)).cast("double")
     base = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull())
-    # qs has one row per group; AQE broadcasts it when small.
-    if not by:
-        base = base.withColumn("__k", F.lit(0))
-        qs = qs.withColumn("__k", F.lit(0))
-        by_ = ["__k"]
-    else:
+    if by:
+        # qs has one row per group; AQE broadcasts it when small.
+        j = base.join(qs, by)
         by_ = by
-    j = base.join(qs, by_)
+    else:
+        # whole column: the five numbers are driver-side literals
+        r = qs.first()
+        j = base.select("__v", *[F.lit(r[c]).alias(c) for c in ["q1", "median", "q3", "iqr", "fence_lo", "fence_hi"]]) \
+                .withColumn("__all", F.lit(0))
+        by_ = ["__all"]
     inside = (F.col("__v") >= F.col("fence_lo")) & (F.col("__v") <= F.col("fence_hi"))
     agg = j.groupBy(*by_).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
@@ -198,6 +200,5 @@ def summary_stats(df: DataFrame, col: str, by: list[str] | None = None, method:
     mom = df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"),
                               F.min(v).alias("min"), F.max(v).alias("max"))
     med = quantiles(df, col, [0.5], by, method=method, names=["median"])
-    j = mom.join(med, by) if by else mom.withColumn("__k", F.lit(0)).join(
-        med.withColumn("__k", F.lit(0)), "__k").drop("__k")
+    j = mom.join(med, by) if by else combine_one_row(mom, med).withColumn("n", F.col("n").cast("bigint"))
     return j.select(*by, "n", *[F.round(c, digits).alias(c) for c in ["mean", "median", "min", "max"]])

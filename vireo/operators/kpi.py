@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vireo import config as C
 from vireo.functions.expr import risk_band
-from vireo.functions.stats import quantiles, top_k_per_group
+from vireo.functions.stats import combine_one_row, quantiles, top_k_per_group
 
 # FIXED VALUES: decision matrix (band, modifier) -> decision, SLA in days.
 ACTION_RULES = [
@@ -79,8 +79,11 @@ def feedback_quality(scores: DataFrame, outcomes: DataFrame, key: str, score: st
                 F.count_if(F.datediff(F.col("__od"), F.col(score_date)) < max_lag_days).alias("n_lag_ok"),
                 F.avg(F.col("__lab").cast("double")).alias("positive_share"))
     dups = outcomes.groupBy(key, period).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1) \
-                   .agg(F.count(F.lit(1)).alias("n_duplicate_keys")).withColumn("__g", F.lit(0))
-    c = c.withColumn("__g", F.lit(0)).join(dups, "__g").drop("__g")
+                   .agg(F.count(F.lit(1)).alias("n_duplicate_keys"))
+    c = combine_one_row(c, dups).withColumn("n_duplicate_keys", F.col("n_duplicate_keys").cast("bigint")) \
+        .withColumn("n_high", F.col("n_high").cast("bigint")) \
+        .withColumn("n_with_outcome", F.col("n_with_outcome").cast("bigint")) \
+        .withColumn("n_lag_ok", F.col("n_lag_ok").cast("bigint"))
     cov_r = F.try_divide(F.col("n_with_outcome"), F.col("n_high"))
     return c.select("n_high", "n_with_outcome", F.round(cov_r, 6).alias("coverage"),
                     F.round("mean_lag_days", 6).alias("mean_lag_days"), "n_lag_ok",
@@ -126,8 +129,7 @@ def process_kpis(scores: DataFrame, actions: DataFrame, key: str, score: str, sc
     allhi = s.groupBy(*by).agg(F.count(F.lit(1)).alias("n_high"))
     acted = first.groupBy(*by).agg(F.count_if(F.col("__first").isNotNull()).alias("n_acted"),
                                    F.avg(F.datediff("__first", score_date)).alias("mean_days_to_action"))
-    out = allhi.join(acted, by, "left") if by else allhi.withColumn("__g", F.lit(0)).join(
-        acted.withColumn("__g", F.lit(0)), "__g", "left").drop("__g")
+    out = allhi.join(acted, by, "left") if by else combine_one_row(allhi, acted)
     return out.select(*by, "n_high", F.coalesce("n_acted", F.lit(0)).alias("n_acted"),
                       F.round(F.try_divide(F.col("n_acted"), F.col("n_high")), 6).alias("intervention_rate"),
                       F.round("mean_days_to_action", 6).alias("mean_days_to_action"))
@@ -135,12 +137,12 @@ def process_kpis(scores: DataFrame, actions: DataFrame, key: str, score: str, sc
 
 # D7 ------------------------------------------------------------------------
 def two_sample_t(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Pooled two-sample t statistic between ``group`` true / false."""
-    s = df.groupBy(F.col(group).alias("g")).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
-                                                F.var_samp(value).alias("var"))
-    a = s.where(F.col("g")).select(*[F.col(c).alias(f"{c}_1") for c in ["n", "mean", "var"]]).withColumn("__k", F.lit(0))
-    b = s.where(~F.col("g")).select(*[F.col(c).alias(f"{c}_0") for c in ["n", "mean", "var"]]).withColumn("__k", F.lit(0))
-    j = a.join(b, "__k").drop("__k")
+    """Pooled two-sample t statistic between ``group`` true / false (one
+    conditional aggregation)."""
+    g, v = F.col(group), F.col(value)
+    j = df.agg(F.count(F.when(g, v)).alias("n_1"), F.avg(F.when(g, v)).alias("mean_1"),
+               F.var_samp(F.when(g, v)).alias("var_1"), F.count(F.when(~g, v)).alias("n_0"),
+               F.avg(F.when(~g, v)).alias("mean_0"), F.var_samp(F.when(~g, v)).alias("var_0"))
     dof = F.col("n_1") + F.col("n_0") - 2
     sp2 = ((F.col("n_1") - 1) * F.col("var_1") + (F.col("n_0") - 1) * F.col("var_0")) / dof
     t = (F.col("mean_1") - F.col("mean_0")) / F.sqrt(sp2 * (1.0 / F.col("n_1") + 1.0 / F.col("n_0")))
@@ -185,24 +187,24 @@ def ordinal_target(col: str):
 def temporal_consistency(df: DataFrame, key: str, period: str, tenure: str | None = None) -> DataFrame:
     """Counts of duplicated (key, period), period gaps, and tenure decreases.
 
-    The lag window runs over one row per (key, period) after de-duplication,
-    so each key's partition is bounded by its number of periods.
+    One aggregation to (key, period), then a lag window over that table -
+    each key's partition is bounded by its number of periods - then one
+    global count.
     """
-    dup = df.groupBy(key, period).agg(F.count(F.lit(1)).alias("n"))
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    if tenure:
+        aggs.append(F.max(tenure).alias("__t"))
+    per = df.groupBy(key, period).agg(*aggs)
     w = Window.partitionBy(key).orderBy(period)
-    cols = [key, period, F.lag(period).over(w).alias("__prev")]
-    base = dup.select(key, period)
+    cols = [F.col("__n"), F.col(period), F.lag(period).over(w).alias("__prev")]
     if tenure:
-        t = df.groupBy(key, period).agg(F.max(tenure).alias("__t"))
-        base = base.join(t, [key, period])
         cols += [F.col("__t"), F.lag("__t").over(w).alias("__pt")]
-    seq = base.select(*cols)
-    aggs = [F.count_if(F.col("__prev").isNotNull() & (F.col(period) - F.col("__prev") > 1)).alias("n_gaps")]
+    seq = per.select(*cols)
+    out = [F.count_if(F.col("__n") > 1).alias("n_duplicate_keys"),
+           F.count_if(F.col("__prev").isNotNull() & (F.col(period) - F.col("__prev") > 1)).alias("n_gaps")]
     if tenure:
-        aggs.append(F.count_if(F.col("__t") < F.col("__pt")).alias("n_tenure_decreases"))
-    g = seq.agg(*aggs).withColumn("__k", F.lit(0))
-    d = dup.agg(F.count_if(F.col("n") > 1).alias("n_duplicate_keys")).withColumn("__k", F.lit(0))
-    return d.join(g, "__k").drop("__k")
+        out.append(F.count_if(F.col("__t") < F.col("__pt")).alias("n_tenure_decreases"))
+    return seq.agg(*out)
 
 
 # D11 -----------------------------------------------------------------------
@@ -232,16 +234,18 @@ def retrain_triggers(daily_psi: DataFrame, perf: DataFrame | None, n_new_labels:
     from vireo.operators.drift import status_streaks
     streak = status_streaks(daily_psi).agg(F.coalesce(F.max("n_days"), F.lit(0)).alias("max_red_streak"))
     p = daily_psi.agg(F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_psi"))
-    out = p.withColumn("__k", F.lit(0)).join(streak.withColumn("__k", F.lit(0)), "__k")
+    parts = [p, streak]
     if perf is not None:
-        out = out.join(perf.agg(F.min("recall").alias("min_recall")).withColumn("__k", F.lit(0)), "__k")
-    else:
-        out = out.withColumn("min_recall", F.lit(None).cast("double"))
+        parts.append(perf.agg(F.min("recall").alias("min_recall")))
     if n_new_labels is not None:
-        out = out.join(n_new_labels.select(F.col("n").alias("n_new_labels")).withColumn("__k", F.lit(0)), "__k")
-    else:
-        out = out.withColumn("n_new_labels", F.lit(0).cast("bigint"))
-    out = out.drop("__k")
+        parts.append(n_new_labels.select(F.col("n").alias("n_new_labels")))
+    out = combine_one_row(*parts)
+    if perf is None:
+        out = out.withColumn("min_recall", F.lit(None).cast("double"))
+    if n_new_labels is None:
+        out = out.withColumn("n_new_labels", F.lit(0))
+    out = out.withColumn("max_red_streak", F.col("max_red_streak").cast("bigint")) \
+             .withColumn("n_new_labels", F.col("n_new_labels").cast("bigint"))
     flags = [(F.col("max_psi") >= psi_alert).alias("psi_trigger"),
              (F.col("max_red_streak") > red_days).alias("streak_trigger"),
              F.coalesce(F.col("min_recall") < recall_min, F.lit(False)).alias("recall_trigger"),

@@ -50,12 +50,16 @@ def preprocessor_stages(numeric: list[str], categorical: list[str]) -> list:
 
 # M2 ------------------------------------------------------------------------
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """n / (k * n_class); the class-count table has k rows (broadcast)."""
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    tot = c.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k")).withColumn("__j", F.lit(0))
-    w = c.withColumn("__j", F.lit(0)).join(tot, "__j") \
-         .select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label)
+    """n / (k * n_class).  The class counts are k numbers (one per class),
+    fetched once and applied as a literal CASE - no join."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    n, k = sum(counts.values()), len(counts)
+    w = None
+    for cls, nc in counts.items():
+        cond = F.col(label).isNull() if cls is None else (F.col(label) == F.lit(cls))
+        val = F.lit(float(n) / (k * nc))
+        w = F.when(cond, val) if w is None else w.when(cond, val)
+    return df.withColumn(out, w if w is not None else F.lit(None).cast("double"))
 
 
 # M3 ------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vireo import config as C
 from vireo.functions.expr import risk_band
-from vireo.functions.stats import quantiles, top_k_per_group
+from vireo.functions.stats import combine_one_row, quantiles, top_k_per_group
 
 
 def _q(n: str) -> str:
@@ -117,7 +117,7 @@ def score_summary(df: DataFrame, score: str, by: list[str] | None = None, method
     if by:
         j = mom.join(qs, by)
     else:
-        j = mom.withColumn("__k", F.lit(0)).join(qs.withColumn("__k", F.lit(0)), "__k").drop("__k")
+        j = combine_one_row(mom, qs).withColumn("count", F.col("count").cast("bigint"))
     return j.select(*by, "count", *[F.round(c, digits).alias(c) for c in
                                     ["mean", "std", "min", "max", *names, "positive_rate"]])
 

@@ -150,9 +150,10 @@ def _bucket_fn(capacity: float, refill: float, cost: float):
         n = rej = 0
         for pdf in pdfs:
             for us in pdf["__us"].sort_values().to_numpy():
+                # events older than the last one seen (late files) refill nothing
                 if last is not None:
-                    tokens = min(capacity, tokens + refill * (us - last) / 1e6)
-                last = int(us)
+                    tokens = min(capacity, tokens + refill * max(0, int(us) - last) / 1e6)
+                last = int(us) if last is None else max(last, int(us))
                 n += 1
                 if tokens >= cost:
                     tokens -= cost
