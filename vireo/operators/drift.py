@@ -24,16 +24,20 @@ def psi(bins: DataFrame, group_cols: list[str], b_col: str = "b_freq", c_col: st
     """PSI per group from per-bin frequencies: +eps, renormalise, sum (c-b) ln(c/b).
 
     ``bins`` has one row per (group, bin) - a small table - so the
-    renormalising totals are window sums over it.
+    renormalising totals are window sums over it.  With no groups the two
+    totals are scalars taken from the bin table.
     """
-    w = Window.partitionBy(*group_cols)
     b = F.col(b_col) + eps
     c = F.col(c_col) + eps
-    nb = b / F.sum(b).over(w)
-    nc = c / F.sum(c).over(w)
-    t = bins.select(*group_cols, nb.alias("__b"), nc.alias("__c"))
-    return t.groupBy(*group_cols).agg(F.sum((F.col("__c") - F.col("__b")) * F.log(F.col("__c") / F.col("__b")))
-                                      .alias("psi"))
+    if group_cols:
+        w = Window.partitionBy(*group_cols)
+        nb, nc = b / F.sum(b).over(w), c / F.sum(c).over(w)
+    else:
+        t = bins.agg(F.sum(b).alias("b"), F.sum(c).alias("c")).first()
+        nb, nc = b / F.lit(t["b"]), c / F.lit(t["c"])
+    t2 = bins.select(*group_cols, nb.alias("__b"), nc.alias("__c"))
+    term = F.sum((F.col("__c") - F.col("__b")) * F.log(F.col("__c") / F.col("__b"))).alias("psi")
+    return t2.groupBy(*group_cols).agg(term) if group_cols else t2.agg(term)
 
 
 # A7 ------------------------------------------------------------------------
@@ -163,8 +167,8 @@ def score_drift(baseline_scores: DataFrame, current_scores: DataFrame, score: st
     """Score PSI on the fixed 20 bins plus the mean shift; one row."""
     b = score_bins(baseline_scores, score).withColumnRenamed("freq", "b_freq")
     c = score_bins(current_scores, score).withColumnRenamed("freq", "c_freq")
-    g = b.join(c, "bin", "left").fillna(0.0, ["c_freq"]).withColumn("__g", F.lit(0))
-    p = psi(g, ["__g"]).select("psi")
+    g = b.join(c, "bin", "left").fillna(0.0, ["c_freq"])
+    p = psi(g, []).select("psi")
     bm = baseline_scores.agg(F.avg(score).alias("baseline_mean"))
     cm = current_scores.agg(F.avg(score).alias("current_mean"), F.count(F.lit(1)).alias("__nc"))
     j = combine_one_row(p, bm, cm)
@@ -281,8 +285,9 @@ def daily_score_psi(baseline_scores: DataFrame, current: DataFrame, ts: str = "t
 def status_streaks(daily: DataFrame, by: list[str] | None = None, day: str = "day", flag=None) -> DataFrame:
     """Gaps-and-islands: length of each run of consecutive flagged days.
 
-    The window runs over a per-day table (one row per day and group), so its
-    partitions are bounded by the number of days.
+    The window runs over a per-day table (one row per day and group), so a
+    partition holds at most one row per day - bounded by the calendar, not
+    by the data (without ``by`` it is one partition of at most #days rows).
     """
     by = list(by or [])
     flag = flag if flag is not None else (F.col("status") == "red")

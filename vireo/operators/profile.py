@@ -312,12 +312,13 @@ def data_card_target(df: DataFrame, period: str, target: str, digits: int = 4) -
 def class_shares(df: DataFrame, target: str, digits: int = 4, warn_share: float = 0.1,
                  max_ratio: float = 3.0) -> DataFrame:
     """Per class: count and share; flags for a minority under ``warn_share``
-    and a max/min ratio over ``max_ratio``.  The class table is tiny, so its
-    totals are taken with a window over it."""
-    from pyspark.sql import Window
+    and a max/min ratio over ``max_ratio``.  The totals are three numbers
+    taken from the (small) class table and applied as literals."""
     c = df.groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()
-    return c.select("class", "n", F.round(F.col("n") / F.sum("n").over(w), digits).alias("share"),
-                    F.round(F.max("n").over(w) / F.min("n").over(w), digits).alias("imbalance_ratio"),
-                    (F.min("n").over(w) / F.sum("n").over(w) < warn_share).alias("minority_warning"),
-                    (F.max("n").over(w) / F.min("n").over(w) > max_ratio).alias("imbalanced"))
+    t = c.agg(F.sum("n").alias("tot"), F.min("n").alias("mn"), F.max("n").alias("mx")).first()
+    tot, mn, mx = (t["tot"] or 0), (t["mn"] or 0), (t["mx"] or 0)
+    ratio = (mx / mn) if mn else None
+    return c.select("class", "n", F.round(F.col("n") / F.lit(max(tot, 1)), digits).alias("share"),
+                    F.round(F.lit(ratio).cast("double"), digits).alias("imbalance_ratio"),
+                    F.lit(bool(tot) and mn / tot < warn_share).alias("minority_warning"),
+                    F.lit(ratio is not None and ratio > max_ratio).alias("imbalanced"))
