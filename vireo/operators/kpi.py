@@ -294,11 +294,13 @@ def volume_anomalies(log: DataFrame, ts: str, by: list[str] | None = None, trail
 # D16 -----------------------------------------------------------------------
 def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
               method: str = "distributed") -> DataFrame:
-    """Clip each column to its own [lower, upper] percentiles."""
-    bounds = {}
-    for c in cols:
-        q = quantiles(df, c, [lower, upper], method=method, names=["lo", "hi"]).first()
-        bounds[c] = (q["lo"], q["hi"])
+    """Clip each column to its own [lower, upper] percentiles.
+
+    One grouped quantile job over all columns (unpivoted); the bounds are two
+    numbers per column, applied as literals."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    q = quantiles(long, "value", [lower, upper], ["column"], method=method, names=["lo", "hi"])
+    bounds = {r["column"]: (r["lo"], r["hi"]) for r in q.collect()}
     return df.select(*[F.least(F.greatest(F.col(c), F.lit(bounds[c][0])), F.lit(bounds[c][1])).alias(c)
                        if c in bounds and bounds[c][0] is not None else F.col(c) for c in df.columns])
 

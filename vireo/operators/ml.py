@@ -68,7 +68,8 @@ def candidates(n_train: int, seed: int = SEED, label: str = "label", weight: str
     random forest (100 trees, depth 10), all class-weighted."""
     common = dict(featuresCol="features", labelCol=label, weightCol=weight)
     return {
-        "logreg": LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, **common),
+        "logreg": LogisticRegression(maxIter=1000, tol=1e-4, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
+                                     **common),
         "gbt": GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.1, seed=seed, **common),
         "rf": RandomForestClassifier(numTrees=100, maxDepth=10, seed=seed, **common),
     }

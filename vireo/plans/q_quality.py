@@ -75,7 +75,9 @@ def q8_summary_customer(spark, d):
 
 # Q9: features at t (all periods) against outcomes at t+1, keyed (ra, ano).
 def _pair(spark, d):
-    v1 = subject_year(spark, d)
+    # V1 feeds about ten checks: materialise it once in the shared folder
+    from vireo.session import cut_lineage
+    v1 = cut_lineage(subject_year(spark, d))
     feats = v1.select("ra", "ano", "fase", "ian", "ida", "ieg")
     labels = v1.select("ra", (F.col("ano") - 1).alias("ano"), "defasagem")
     return feats, labels
