@@ -119,7 +119,8 @@ def pr_curve(df: DataFrame, by: list[str], y: str, p: str, truncate: bool = True
 
 def point_on_curve(curve: DataFrame, by: list[str], at: str, level: float, want: str) -> DataFrame:
     """Best ``want`` among points with ``at >= level`` (e.g. precision at recall .75)."""
-    return curve.where(F.col(at) >= level).groupBy(*by).agg(F.max(want).alias(f"{want}_at_{at}_{level}"))
+    name = f"{want}_at_{at}_" + f"{level:.2f}".replace(".", "")
+    return curve.where(F.col(at) >= level).groupBy(*by).agg(F.max(want).alias(name))
 
 
 # E7 / E8 -------------------------------------------------------------------

@@ -259,3 +259,25 @@ FROM r LEFT JOIN (SELECT model, roc_auc FROM r WHERE segment = '1-URGENT') f USI
 def d12_subgroup_auc_gap(spark, d):
     g = E.subgroup_gap(scored(spark, d), "model", "segment", "label", "risk_score", "1-URGENT")
     return _r(g, ["roc_auc", "ref_auc", "auc_gap"])
+
+
+@query("e6_points_on_pr_curve", with_views("""
+, cur AS (SELECT model, tp_ge / (tp_ge + fp_ge) AS precision, coalesce(tp_ge / nullif(P, 0), 0.0) AS recall
+  FROM st LEFT JOIN (SELECT model, max(score) AS tmin FROM st WHERE tp_ge = P GROUP BY model) f USING (model)
+  WHERE tmin IS NULL OR score >= tmin)
+SELECT g.model, round(a.p, 6) AS precision_at_recall_075, round(b.r, 6) AS recall_at_precision_080
+FROM (SELECT DISTINCT model FROM v2) g
+LEFT JOIN (SELECT model, max(precision) AS p FROM cur WHERE recall >= 0.75 GROUP BY model) a USING (model)
+LEFT JOIN (SELECT model, max(recall) AS r FROM cur WHERE precision >= 0.8 GROUP BY model) b USING (model)""",
+                                           "v2", ctes=[_st_sql("model")]).replace(")\n, cur AS", "),\ncur AS"))
+def e6_points_on_pr_curve(spark, d):
+    """Documented operating points: precision at recall >= .75, recall at
+    precision >= .80."""
+    v2 = scored(spark, d)
+    cur = E.pr_curve(v2, ["model"], "label", "risk_score")
+    a = E.point_on_curve(cur, ["model"], "recall", 0.75, "precision")
+    b = E.point_on_curve(cur, ["model"], "precision", 0.8, "recall")
+    g = v2.select("model").distinct()
+    out = g.join(a, "model", "left").join(b, "model", "left")
+    return out.select("model", F.round("precision_at_recall_075", 6).alias("precision_at_recall_075"),
+                      F.round("recall_at_precision_080", 6).alias("recall_at_precision_080"))

@@ -197,3 +197,19 @@ SELECT o_orderstatus AS class, count(*) AS n, round(count(*) / sum(count(*)) OVE
 FROM orders GROUP BY o_orderstatus""")
 def a22_class_shares_orders(spark, d):
     return A.class_shares(table(spark, d, "orders"), "o_orderstatus")
+
+
+@query("a14_a11_numeric_means_roundtrip", f"""
+SELECT l_orderkey AS request_id, feature, round(avg(value), 6) AS value
+FROM (SELECT l_orderkey, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
+             CAST(l_discount AS DOUBLE) AS l_discount, CAST(l_tax AS DOUBLE) AS l_tax FROM ({_LI_REQ}) s)
+  UNPIVOT INCLUDE NULLS (value FOR feature IN (l_quantity, l_extendedprice, l_discount, l_tax))
+GROUP BY ALL""")
+def a14_a11_numeric_means_roundtrip(spark, d):
+    """Aggregate-mode events carry per-request feature means as JSON; the
+    drift reader explodes them back to (request, feature, value)."""
+    from vireo.operators.drift import extract_feature_values
+    ev = A.request_aggregate(_li_req(spark, d), "l_orderkey", LI_NUM, "risk_score", digits=6, with_json=True) \
+          .select(F.col("l_orderkey").alias("request_id"), "numeric_means")
+    fv = extract_feature_values(ev)
+    return fv.select("request_id", "feature", F.round(F.col("value").cast("double"), 6).alias("value"))
