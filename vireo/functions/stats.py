@@ -16,6 +16,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+CUT_ACCURACY = 1000
+# ``method="auto"``: below this estimated input size the plain exact
+# ``percentile`` aggregate is used - no group can then exceed the bound.
+AUTO_EXACT_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes scaled by projections
+    and filters); no job runs.  Unknown -> very large."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return 1 << 62
 DEFAULT_BUCKETS = 256  # raise with the data: a (group, bucket) holds ~distinct values / buckets
 
 
@@ -69,18 +82,22 @@ def unit_bucket(col: str, buckets: int = 1024) -> Column:
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
-              method: str = "distributed", buckets: int = DEFAULT_BUCKETS,
+              method: str = "auto", buckets: int = DEFAULT_BUCKETS,
               names: list[str] | None = None) -> DataFrame:
     """One row per group with a column per probability (null for empty groups).
 
     method: ``distributed`` (exact, scalable), ``aggregate`` (exact Spark
     ``percentile``; a whole group's value counts meet in one task - use for
-    bounded groups), ``approx`` (``percentile_approx``, accuracy 10000).
+    bounded groups), ``approx`` (``percentile_approx``, accuracy 10000),
+    ``auto`` (``aggregate`` when the estimated input is under
+    ``AUTO_EXACT_BYTES``, else ``distributed``; both are exact).
     """
     g = list(group_cols or [])
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     v = F.col(value_col).cast("double")
     base = df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    if method == "auto":
+        method = "aggregate" if estimated_bytes(base) <= AUTO_EXACT_BYTES else "distributed"
     if method == "aggregate":
         arr = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
         out = base.groupBy(*g).agg(arr.alias("__q"))
@@ -98,7 +115,9 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
     vc = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
     # 2) per group: size and approximate cut points (a bounded sketch)
     cuts_arr = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    stats = base.groupBy(*g).agg(F.percentile_approx("__v", cuts_arr, 10000).alias("__cuts"),
+    # the cut points only balance the buckets (exactness comes from the
+    # counts), so a coarse sketch is enough
+    stats = base.groupBy(*g).agg(F.percentile_approx("__v", cuts_arr, CUT_ACCURACY).alias("__cuts"),
                                  F.count(F.lit(1)).alias("__n"))
     # stats has one row per group; AQE broadcasts it when it is small.
     vcb = vc.join(stats, g)
@@ -130,7 +149,7 @@ def _quantiles_single(base: DataFrame, probs: list[float], buckets: int, names:
     """Whole-column quantiles: the cut points and the count are one small
     driver-side result, used as literals (no join against a one-row table)."""
     cuts_arr = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    st = base.agg(F.percentile_approx("__v", cuts_arr, 10000).alias("c"), F.count(F.lit(1)).alias("n")).first()
+    st = base.agg(F.percentile_approx("__v", cuts_arr, CUT_ACCURACY).alias("c"), F.count(F.lit(1)).alias("n")).first()
     vc = base.groupBy("__v").agg(F.count(F.lit(1)).alias("__c"))
     cuts = list(st["c"] or [])
     if cuts:

@@ -184,20 +184,23 @@ def score_drift(baseline_scores: DataFrame, current_scores: DataFrame, score: st
 def feature_drift(base_num: DataFrame, cur_num: DataFrame, base_cat: DataFrame, cur_cat: DataFrame,
                   n_cur_events: int, numeric_features: list[str],
                   categorical_features: list[str], top_k: int = 10, baseline: str = "quantile",
-                  method: str = "distributed", digits: int = 4) -> DataFrame:
+                  method: str = "auto", digits: int = 4) -> DataFrame:
     """Per-feature drift rows: psi, missing rates and delta, status.
 
     ``base_*`` / ``cur_*`` are long ``(feature, value)`` tables where a
     missing value is a null value; ``n_cur_events`` is the number of current
     events (the missing-rate basis, one scalar).
     """
+    from vireo.session import cut_lineage
     parts = []
     if numeric_features:
-        nprof = numeric_profile_long(base_num, method)
+        # the baseline profiles are small (one row per feature / category) and
+        # are used twice below: store them once, as a baseline table would be
+        nprof = cut_lineage(numeric_profile_long(base_num, method))
         p = numeric_psi(base_num, cur_num, nprof, baseline)
         parts.append((nprof.select("feature", "missing_rate"), p, cur_num, "numeric"))
     if categorical_features:
-        cprof = categorical_profile_long(base_cat, top_k)
+        cprof = cut_lineage(categorical_profile_long(base_cat, top_k))
         p = categorical_psi(cur_cat, cprof)
         bmiss = base_cat.groupBy("feature").agg((1 - F.count("value") / F.count(F.lit(1))).alias("missing_rate"))
         parts.append((bmiss, p, cur_cat, "categorical"))
@@ -219,7 +222,7 @@ def feature_drift(base_num: DataFrame, cur_num: DataFrame, base_cat: DataFrame,
                       F.round(delta, digits).alias("missing_delta"), st.alias("status"))
 
 
-def numeric_profile_long(values: DataFrame, method: str = "distributed") -> DataFrame:
+def numeric_profile_long(values: DataFrame, method: str = "auto") -> DataFrame:
     """numeric_profile for a long (feature, value) table."""
     from vireo.functions.stats import quantiles
     v = values.withColumn("value", F.col("value").cast("double"))

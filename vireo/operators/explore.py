@@ -33,7 +33,7 @@ def long_values(df: DataFrame, cols: list[str], name: str = "column", value: str
 
 
 # X1 ------------------------------------------------------------------------
-def describe(df: DataFrame, cols: list[str] | None = None, method: str = "distributed",
+def describe(df: DataFrame, cols: list[str] | None = None, method: str = "auto",
              digits: int = 6) -> DataFrame:
     cols = cols or numeric_columns(df)
     lv = long_values(df, cols).where(F.col("value").isNotNull())
@@ -89,7 +89,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: list[str] | None = No
 
 # X5 ------------------------------------------------------------------------
 def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whisker: float = 1.5,
-              method: str = "distributed") -> DataFrame:
+              method: str = "auto") -> DataFrame:
     by = list(by or [])
     qs = quantiles(df, col, [0.25, 0.5, 0.75], by, method=method, names=["q1", "median", "q3"])
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -193,7 +193,7 @@ def pivot_metrics(long: DataFrame, index: str = "model", metric: str = "metric",
 
 
 # X13 -----------------------------------------------------------------------
-def summary_stats(df: DataFrame, col: str, by: list[str] | None = None, method: str = "distributed",
+def summary_stats(df: DataFrame, col: str, by: list[str] | None = None, method: str = "auto",
                   digits: int = 4) -> DataFrame:
     by = list(by or [])
     v = F.col(_q(col)).cast("double")

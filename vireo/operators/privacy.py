@@ -22,19 +22,24 @@ def _q(n: str) -> str:
 # S1 ------------------------------------------------------------------------
 def pii_scan(df: DataFrame, cols: list[str], by: list[str] | None = None,
              patterns=C.PII_PATTERNS) -> DataFrame:
-    """Census per (group, column, pattern): rows with a match and match count."""
+    """Census per (group, column, pattern): rows with a match and match count.
+
+    Each text is scanned once per pattern (the match count is projected
+    first, then aggregated with partial aggregation per group)."""
     by = list(by or [])
-    aggs, keys = [], []
+    keys, counts = [], []
     for c in cols:
         for name, pat in patterns:
-            k = len(keys)
-            n = pii_match_count(F.col(_q(c)), pat)
-            aggs += [F.count_if(n > 0).alias(f"__r{k}"), F.sum(n).alias(f"__m{k}")]
+            counts.append(pii_match_count(F.col(_q(c)), pat).alias(f"__m{len(keys)}"))
             keys.append((c, name))
-    a = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
+    m = df.select(*by, *counts)
+    aggs = []
+    for k in range(len(keys)):
+        aggs += [F.count_if(F.col(f"__m{k}") > 0).alias(f"__r{k}"), F.sum(f"__m{k}").alias(f"__s{k}")]
+    a = m.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("pattern"),
                               F.col(f"__r{k}").alias("rows_matched"),
-                              F.coalesce(F.col(f"__m{k}"), F.lit(0)).cast("bigint").alias("n_matches"))
+                              F.coalesce(F.col(f"__s{k}"), F.lit(0)).cast("bigint").alias("n_matches"))
                      for k, (c, p) in enumerate(keys)])
     return a.select(*by, "n_rows", F.inline(rows))
 

@@ -34,7 +34,7 @@ def _long(df: DataFrame, cols: list[str], cast: str, ids: list[str] | None = Non
 
 
 # A1 ------------------------------------------------------------------------
-def numeric_profile(df: DataFrame, cols: list[str], method: str = "distributed", digits: int = 4) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: list[str], method: str = "auto", digits: int = 4) -> DataFrame:
     """count (rows; 0 if all null), missing_rate, p05..p95, mean, std, min, max."""
     lv = _long(df, cols, "double")
     mom = lv.groupBy("feature").agg(
@@ -102,7 +102,7 @@ def edge_bin(col, edges: list[float]):
     return F.when((v >= edges[0]) & (v <= edges[-1]), F.least(idx, F.lit(n - 1)))
 
 
-def score_summary(df: DataFrame, score: str, by: list[str] | None = None, method: str = "distributed",
+def score_summary(df: DataFrame, score: str, by: list[str] | None = None, method: str = "auto",
                   digits: int = 4) -> DataFrame:
     """count, mean, population std, min, max, 7 quantiles, positive rate."""
     by = list(by or [])
@@ -145,7 +145,7 @@ def score_histogram(df: DataFrame, score: str, bins: int = C.SCORE_BINS, by: lis
 
 
 # A4 / A5 -------------------------------------------------------------------
-def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "distributed") -> DataFrame:
+def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "auto") -> DataFrame:
     """Summary row per signature feature: numeric / categorical / unknown."""
     spark = df.sparkSession
     text_types = {"string", "object", "category"}
@@ -167,7 +167,7 @@ def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "di
 
 
 def build_baseline(df: DataFrame, signature: dict[str, str], score: str, model_version: str,
-                   method: str = "distributed") -> dict[str, DataFrame]:
+                   method: str = "auto") -> dict[str, DataFrame]:
     """Versioned baseline tables: numeric, categorical, score summary, score histogram.
 
     Real scores only: a missing score column is an error (no synthetic profile).
