@@ -121,26 +121,40 @@ class ScoringModel:
 
 
 def fit(df: DataFrame, numeric: list[str], categorical: list[str], estimator, calibration: str | None = "sigmoid",
-        folds: int = 3, key: str = "ra", seed: int = SEED, label: str = "label") -> ScoringModel:
+        folds: int = 3, key: str = "ra", seed: int = SEED, label: str = "label",
+        parallelism: int = 3) -> ScoringModel:
     """Fit; with ``calibration='sigmoid'`` cross-fit ``folds`` models, each
-    with a Platt calibrator fitted on its held-out fold, averaged at scoring."""
+    with a Platt calibrator fitted on its held-out fold, averaged at scoring.
+
+    The folds are independent Spark jobs submitted from ``parallelism``
+    threads (as Spark ML's own tuning does), so small fits overlap."""
     from vireo.session import cut_lineage
     pipe = Pipeline(stages=preprocessor_stages(numeric, categorical) + [estimator])
     if not calibration:
         return ScoringModel([(pipe.fit(df), None)], type(estimator).__name__)
     f = cut_lineage(df.withColumn("__fold", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed + 1)),
                                                    F.lit(folds))))
-    members = []
-    for k in range(folds):
-        pm = pipe.fit(f.where(F.col("__fold") != k))
+    def one(k: int):
+        pm = pipe.copy().fit(f.where(F.col("__fold") != k))
         held = pm.transform(f.where(F.col("__fold") == k)) \
                  .select(vector_to_array(F.col("probability"))[1].alias("__raw"), F.col(label).alias("label"))
         held = VectorAssembler(inputCols=["__raw"], outputCol="features").transform(held)
         cal = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(held)
-        members.append((pm, cal))
+        return pm, cal
+
+    members = _parallel_map(one, list(range(folds)), parallelism)
     return ScoringModel(members, type(estimator).__name__)
 
 
+def _parallel_map(fn, items: list, parallelism: int) -> list:
+    """Run independent Spark fits from a small thread pool, keeping order."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 # M6 / M9 -------------------------------------------------------------------
 def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str], key: str = "ra",
                      label: str = "label", calibration: str | None = "sigmoid", min_recall: float = 0.75,
@@ -158,12 +172,11 @@ def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str],
     val = rest.where(F.col("__val")).drop("__val")
     train = cut_lineage(balanced_weights(rest.where(~F.col("__val")).drop("__val"), label))
     n_train = train.count()
-    cands = candidates(n_train, seed, label)
+    cands = [(n, e) for n, e in candidates(n_train, seed, label).items() if not names or n in names]
+    fitted = _parallel_map(lambda ne: fit(train, numeric, categorical, ne[1], calibration, key=key, seed=seed,
+                                          label=label, parallelism=3), cands, len(cands))
     rows, models = [], {}
-    for name, est in cands.items():
-        if names and name not in names:
-            continue
-        m = fit(train, numeric, categorical, est, calibration, key=key, seed=seed, label=label)
+    for (name, _), m in zip(cands, fitted):
         sv = m.transform(val).withColumn("__m", F.lit(name))
         thr = select_threshold(sv, ["__m"], label, "risk_score", "max_recall", min_recall=min_recall).first()
         rk = ranking_metrics(sv, ["__m"], label, "risk_score").first()
