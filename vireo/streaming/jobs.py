@@ -105,19 +105,23 @@ def sliding_latency(df: DataFrame, ts: str, value: str, length: str = "60 second
 
 # W2 / W3 -------------------------------------------------------------------
 def minute_metrics(df: DataFrame, ts: str, latency: str, status: str, length: str = "1 minute",
-                   watermark: str | None = "2 minutes") -> DataFrame:
-    """Request counters and exact latency percentiles per tumbling window.
+                   watermark: str | None = "2 minutes", score: str | None = None,
+                   threshold: float = 0.5) -> DataFrame:
+    """Request counters and exact latency percentiles per tumbling window
+    (plus positive predictions when a ``score`` column is given).
 
     The percentile state is per window (bounded by one window's traffic)."""
     d = _event_ts(df, ts)
     if watermark and d.isStreaming:
         d = d.withWatermark(ts, watermark)
+    extra = [F.count_if(F.col(score) >= threshold).alias("n_positive")] if score else []
     g = d.groupBy(F.window(ts, length).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(status) < 400).alias("n_success"),
         F.count_if(F.col(status) >= 500).alias("n_errors"), F.avg(latency).alias("mean_latency"),
-        F.percentile(latency, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("pcts"))
+        F.percentile(latency, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("pcts"), *extra)
     return g.select(F.col("w.start").alias("window_start"), "n", "n_success", "n_errors", "mean_latency",
-                    F.col("pcts")[0].alias("p50"), F.col("pcts")[1].alias("p95"), F.col("pcts")[2].alias("p99"))
+                    F.col("pcts")[0].alias("p50"), F.col("pcts")[1].alias("p95"), F.col("pcts")[2].alias("p99"),
+                    *(["n_positive"] if score else []))
 
 
 def slo_status(metrics: DataFrame, p95_max: float = C.SLO_P95_MS, error_max: float = C.SLO_ERROR_RATE) -> DataFrame:
