@@ -263,7 +263,7 @@ def global_status(drift: DataFrame, score: DataFrame, n_cur_events: int,
     for c in ("n_features", "n_red", "n_yellow"):
         j = j.withColumn(c, F.col(c).cast("bigint"))
     back = F.coalesce(*[F.when(F.col("__sc") == v, F.lit(k)) for k, v in code.items()])
-    j = j.withColumn("score_status", back).withColumn("n_requests", F.lit(int(n_cur_events)))
+    j = j.withColumn("score_status", back).withColumn("n_requests", F.lit(int(n_cur_events)).cast("bigint"))
     g = (F.when(F.col("n_requests") == 0, F.lit("no_data"))
           .when((F.col("n_red") > 0) | (F.col("score_status") == "red"), F.lit("red"))
           .when((F.col("n_features") > 0) & (F.col("n_yellow") / F.col("n_features") > yellow_share), F.lit("yellow"))

@@ -14,9 +14,9 @@ def _r(df, cols, digits=6):
 
 def _st_sql(by: str) -> str:
     return f"""st AS (SELECT {by}, score, pos, neg,
-  sum(pos) OVER (PARTITION BY {by} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp_ge,
-  sum(neg) OVER (PARTITION BY {by} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp_ge,
-  sum(pos) OVER (PARTITION BY {by}) AS P, sum(neg) OVER (PARTITION BY {by}) AS N
+  CAST(sum(pos) OVER (PARTITION BY {by} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp_ge,
+  CAST(sum(neg) OVER (PARTITION BY {by} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp_ge,
+  CAST(sum(pos) OVER (PARTITION BY {by}) AS BIGINT) AS P, CAST(sum(neg) OVER (PARTITION BY {by}) AS BIGINT) AS N
   FROM (SELECT {by}, risk_score AS score, count(*) FILTER (WHERE label = 1) AS pos,
                count(*) FILTER (WHERE label <> 1) AS neg FROM v2 WHERE risk_score IS NOT NULL GROUP BY ALL))"""
 
@@ -32,7 +32,8 @@ FROM (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS p_, coalesce(tp / null
 @query("e1_metrics_at_05_by_model", with_views(_metrics_sql("""(
   SELECT model, count(*) FILTER (WHERE label = 0 AND risk_score < 0.5) AS tn,
     count(*) FILTER (WHERE label = 0 AND risk_score >= 0.5) AS fp, count(*) FILTER (WHERE label = 1 AND risk_score < 0.5) AS fn,
-    count(*) FILTER (WHERE label = 1 AND risk_score >= 0.5) AS tp FROM v2 GROUP BY model)""", "model", "0.5"), "v2"))
+    count(*) FILTER (WHERE label = 1 AND risk_score >= 0.5) AS tp FROM v2 GROUP BY model)""", "model",
+                                                       "CAST(0.5 AS DOUBLE)"), "v2"))
 def e1_metrics_at_05_by_model(spark, d):
     m = E.classification_metrics(scored(spark, d), ["model"], "label", "risk_score", 0.5)
     return _r(m.withColumn("threshold", F.lit(0.5)), ["recall", "precision", "f1", "f2"]) \
@@ -169,7 +170,8 @@ sm AS (SELECT rk.*, round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
 
 
 @query("e10_rank_models_by_segment", SEG_SQL + """
-SELECT segment, model, pr_auc, row_number() OVER (PARTITION BY segment ORDER BY pr_auc DESC NULLS LAST, model) AS rank
+SELECT segment, model, pr_auc,
+  CAST(row_number() OVER (PARTITION BY segment ORDER BY pr_auc DESC NULLS LAST, model) AS INTEGER) AS rank
 FROM sm""")
 def e10_rank_models_by_segment(spark, d):
     m = _r(_seg_metrics(spark, d), ["pr_auc"])
