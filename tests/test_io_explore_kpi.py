@@ -119,3 +119,13 @@ def test_ordinal_and_t_test(spark):
                               "g boolean, v double")
     r = K.two_sample_t(g, "g", "v").first()
     assert r.dof == 4 and abs(r.t + 1.224745) < 1e-5
+
+
+def test_read_events_parquet_and_csv(spark, tmp_path):
+    store = str(tmp_path / "mixed")
+    a = spark.createDataFrame([(dt.datetime(2024, 1, 1, 1), 1)], "ts timestamp, v int")
+    b = spark.createDataFrame([(dt.datetime(2024, 1, 2, 1), 2)], "ts timestamp, v int")
+    IO.append_events(a, store)
+    IO.append_events(b, store, fmt="csv")
+    got = sorted(r.v for r in IO.read_events(spark, store, fmt="both").collect())
+    assert got == [1, 2]

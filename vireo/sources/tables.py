@@ -92,7 +92,15 @@ def read_events(spark: SparkSession, store: str, start=None, end=None, limit: in
     """
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
     r = spark.read.option("basePath", store)
-    df = r.parquet(store) if fmt == "parquet" else r.option("header", "true").csv(store)
+    if fmt == "both":
+        # a store holding Parquet and CSV files side by side: read each by its
+        # own reader (glob per format) and union by name
+        pq = r.parquet(f"{store}/*/*.parquet")
+        cs = spark.read.option("basePath", store).option("header", "true").schema(pq.schema) \
+            .csv(f"{store}/*/*.csv")
+        df = pq.unionByName(cs)
+    else:
+        df = r.parquet(store) if fmt == "parquet" else r.option("header", "true").csv(store)
     if start is not None:
         df = df.where(F.col("dt") >= F.to_date(F.lit(str(start)[:10])))
     if end is not None:

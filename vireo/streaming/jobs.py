@@ -69,12 +69,14 @@ def _event_ts(df: DataFrame, ts: str) -> DataFrame:
 
 # W1 ------------------------------------------------------------------------
 def rolling_stats(df: DataFrame, ts: str, value: str, seconds: int = 60, by: list[str] | None = None,
-                  probs=(0.5, 0.95), bucket_seconds: int = 3600) -> DataFrame:
+                  probs=(0.5, 0.95), bucket_seconds: int = 600) -> DataFrame:
     """Exact per-row statistics over the trailing ``seconds`` (inclusive).
 
     Rows are cut into time buckets; rows in the last ``seconds`` of a bucket
     are copied into the next one as context, so every frame lies inside one
-    (group, bucket) partition and no window spans the whole table.
+    (group, bucket) partition and no window spans the whole table.  Smaller
+    ``bucket_seconds`` means smaller partitions for bursty traffic at the
+    cost of more copied context (``seconds / bucket_seconds`` of the rows).
     """
     by = list(by or [])
     lw = seconds * 1_000_000
