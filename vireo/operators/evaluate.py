@@ -167,8 +167,9 @@ def select_threshold(df: DataFrame, by: list[str], y: str, p: str, objective: st
     else:
         chosen = best
     chosen = chosen.withColumn("threshold", F.coalesce(F.col("threshold"), F.lit(float(fallback))))
-    # metrics at the chosen threshold: one small row per group joined back
-    j = df.join(F.broadcast(chosen), by) if by else \
+    # metrics at the chosen threshold: one row per group joined back (AQE
+    # broadcasts it when it is small; the number of groups is not bounded here)
+    j = df.join(chosen, by) if by else \
         df.withColumn("__k", F.lit(0)).join(F.broadcast(chosen.withColumn("__k", F.lit(0))), "__k")
     counts = confusion_counts(j, [*by, "threshold"], y, (F.col(p) >= F.col("threshold")).cast("int"))
     m = metrics_from_counts(counts)

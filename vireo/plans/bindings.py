@@ -35,12 +35,13 @@ def subject_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = agg.withColumn(
         "ida", F.when((F.col("ra") + F.col("ano")) % 13 == 0, F.lit(None).cast("double"))
                 .otherwise(F.col("_ida") / 50000)).drop("_ida")
-    # First period per subject.  Runs on the aggregated table (at most one row
-    # per subject and year), so the per-subject partition is small even for
-    # a subject holding a large share of the raw rows.
-    first = agg.groupBy("ra").agg(F.min("ano").alias("ano_ingresso"))
-    return agg.join(first, "ra").select("ra", "ano", "fase", "ian", "ida", "ieg",
-                                        "defasagem", "ano_ingresso")
+    # First period per subject: a window over the aggregated table (at most
+    # one row per subject and year), so the per-subject partition stays small
+    # even for a subject holding a large share of the raw rows, and orders is
+    # scanned once.
+    from pyspark.sql import Window
+    first = F.min("ano").over(Window.partitionBy("ra"))
+    return agg.select("ra", "ano", "fase", "ian", "ida", "ieg", "defasagem", first.alias("ano_ingresso"))
 
 
 V1_SQL = """
