@@ -129,3 +129,22 @@ def test_read_events_parquet_and_csv(spark, tmp_path):
     IO.append_events(b, store, fmt="csv")
     got = sorted(r.v for r in IO.read_events(spark, store, fmt="both").collect())
     assert got == [1, 2]
+
+
+def test_append_first_record_quirk(spark, tmp_path):
+    ev = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 59), 1), (dt.datetime(2024, 1, 2, 0, 1), 2)],
+                               "ts timestamp, v int")
+    store = str(tmp_path / "quirk")
+    IO.append_events(ev, store, first_record_date=True)
+    assert {str(r.dt) for r in IO.read_events(spark, store).collect()} == {"2024-01-01"}
+
+
+def test_slo_lifetime_errors(spark):
+    from vireo.streaming import jobs as W
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0, 10.0, 500)] + [(t0 + dt.timedelta(minutes=1, seconds=i), 10.0, 200) for i in range(9)]
+    df = spark.createDataFrame(rows, "ts timestamp, latency double, status int")
+    m = W.minute_metrics(df, "ts", "latency", "status")
+    win = {r.window_start.minute: r.error_rate for r in W.slo_status(m).collect()}
+    life = {r.window_start.minute: r.error_rate for r in W.slo_status(m, lifetime_errors=True).collect()}
+    assert win == {0: 1.0, 1: 0.0} and life == {0: 1.0, 1: 0.1}

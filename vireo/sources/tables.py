@@ -136,9 +136,19 @@ def write_snapshots(df: DataFrame, path: str, period_col: str = "ano", mode: str
 
 
 # IO7 ---------------------------------------------------------------------
-def append_events(df: DataFrame, path: str, ts_col: str = "ts", fmt: str = "parquet") -> None:
-    """Append; each row lands in the partition of its own date."""
-    w = df.withColumn("dt", F.to_date(F.col(ts_col))).write.mode("append").partitionBy("dt")
+def append_events(df: DataFrame, path: str, ts_col: str = "ts", fmt: str = "parquet",
+                  first_record_date: bool = False) -> None:
+    """Append; each row lands in the partition of its own date.
+
+    ``first_record_date`` reproduces the original rule (the whole batch goes
+    to the date of its earliest record), which misfiles batches that cross
+    midnight."""
+    if first_record_date:
+        first = df.agg(F.min(F.to_date(F.col(ts_col)))).first()[0]
+        dt = F.lit(first).cast("date")
+    else:
+        dt = F.to_date(F.col(ts_col))
+    w = df.withColumn("dt", dt).write.mode("append").partitionBy("dt")
     if fmt == "parquet":
         w.parquet(path)
     else:

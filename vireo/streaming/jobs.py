@@ -126,8 +126,18 @@ def minute_metrics(df: DataFrame, ts: str, latency: str, status: str, length: st
                     *(["n_positive"] if score else []))
 
 
-def slo_status(metrics: DataFrame, p95_max: float = C.SLO_P95_MS, error_max: float = C.SLO_ERROR_RATE) -> DataFrame:
-    """Both conditions per window (a null p95 passes)."""
+def slo_status(metrics: DataFrame, p95_max: float = C.SLO_P95_MS, error_max: float = C.SLO_ERROR_RATE,
+               lifetime_errors: bool = False) -> DataFrame:
+    """Both conditions per window (a null p95 passes).
+
+    ``lifetime_errors`` reproduces the original rule: the error rate counts
+    every request up to the window (latency stays windowed).  The running
+    totals come from bucketed prefix sums over the per-window table."""
+    if lifetime_errors:
+        from vireo.functions.stats import ordered_prefix_sums
+        ps = ordered_prefix_sums(metrics, [], "window_start", ["n", "n_errors"], F.to_date("window_start"))
+        metrics = ps.withColumn("n_errors", F.col("n_errors_cum") + F.col("n_errors")) \
+                    .withColumn("n", F.col("n_cum") + F.col("n"))
     er = F.col("n_errors") / F.col("n")
     ok = F.coalesce(F.col("p95") <= p95_max, F.lit(True)) & (er <= error_max)
     return metrics.select("window_start", "n", F.round(er, 6).alias("error_rate"), F.round("p95", 6).alias("p95"),
