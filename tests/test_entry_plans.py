@@ -61,3 +61,22 @@ def test_no_python_udf_no_single_partition(spark, name):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "SinglePartition" not in p
+
+
+def test_all_oracle_plans_are_jvm_and_join_safe(spark):
+    """Every S/T query: no Python UDF operator, no nested-loop or cartesian join."""
+    bad = {}
+    for name in E.oracle_sql():
+        p = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        hits = [k for k in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct")
+                if k in p]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
+
+
+def test_daily_psi_stream_equals_batch(spark):
+    q = E.queries()
+    batch = {r.day: r.psi for r in q["w7_daily_score_psi_batch"](spark, SF_SMALL).collect()}
+    stream = {r.day: r.psi for r in q["w7_daily_score_psi_stream"](spark, SF_SMALL).collect()}
+    assert stream and all(abs(batch[d] - v) < 1e-9 for d, v in stream.items())
