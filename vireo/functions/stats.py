@@ -198,3 +198,29 @@ def combine_one_row(*dfs: DataFrame) -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p)
     return u.groupBy().pivot("k", names).agg(F.first("v"))
+
+
+WIDE_COLUMNS = 100
+
+
+def null_counts(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
+    """Long table ``(by..., column, n_missing, n_rows)``.
+
+    Up to ``WIDE_COLUMNS`` columns this is one wide aggregation; beyond it
+    the flags are unpivoted and grouped by column, so the generated code does
+    not grow with the schema width."""
+    by = list(by or [])
+    q = lambda c: "`" + c.replace("`", "``") + "`"
+    if len(cols) <= WIDE_COLUMNS:
+        agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"),
+                                  *[F.count_if(F.col(q(c)).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)])
+        long = agg.select(*by, "n_rows", F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"__m{i}").alias("n_missing")) for i, c in enumerate(cols)])))
+        return long.select(*by, "column", F.col("n_missing").cast("bigint").alias("n_missing"), "n_rows")
+    flags = df.select(*by, *[F.col(q(c)).isNull().cast("int").alias(f"__m{i}") for i, c in enumerate(cols)])
+    names = {f"__m{i}": c for i, c in enumerate(cols)}
+    long = flags.unpivot(by, list(names), "__c", "__f")
+    g = long.groupBy(*by, "__c").agg(F.sum("__f").cast("bigint").alias("n_missing"),
+                                     F.count(F.lit(1)).alias("n_rows"))
+    mapping = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
+    return g.select(*by, mapping[F.col("__c")].alias("column"), "n_missing", "n_rows")

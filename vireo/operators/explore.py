@@ -49,11 +49,10 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "auto",
 
 # X2 ------------------------------------------------------------------------
 def missing_table(df: DataFrame, cols: list[str] | None = None, only_missing: bool = True) -> DataFrame:
+    from vireo.functions.stats import null_counts
     cols = cols or df.columns
-    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(_q(c)).isNull()).alias(c) for c in cols])
-    out = agg.unpivot(["__n"], cols, "column", "n_missing")
-    out = out.select("column", F.col("n_missing").cast("bigint").alias("n_missing"),
-                     F.round(F.try_divide(F.col("n_missing") * 100.0, F.col("__n")), 4).alias("pct_missing"))
+    out = null_counts(df, cols).select(
+        "column", "n_missing", F.round(F.try_divide(F.col("n_missing") * 100.0, F.col("n_rows")), 4).alias("pct_missing"))
     return out.where(F.col("n_missing") > 0) if only_missing else out
 
 

@@ -296,10 +296,8 @@ def output_summary(df: DataFrame, score: str, label: str | None = None, by: list
 
 # A20 -----------------------------------------------------------------------
 def data_card_missing(df: DataFrame, period: str, cols: list[str]) -> DataFrame:
-    agg = df.groupBy(period).agg(F.count(F.lit(1)).alias("n_rows"),
-                                 *[F.count_if(F.col(_q(c)).isNull()).alias(c) for c in cols])
-    return agg.unpivot([period, "n_rows"], cols, "column", "n_missing") \
-              .select(period, "column", F.col("n_missing").cast("bigint").alias("n_missing"), "n_rows")
+    from vireo.functions.stats import null_counts
+    return null_counts(df, cols, [period]).select(period, "column", "n_missing", "n_rows")
 
 
 def data_card_target(df: DataFrame, period: str, target: str, digits: int = 4) -> DataFrame:
