@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import config as C
-from vireo.functions.stats import ordered_prefix_sums, unit_bucket
+from vireo.functions.stats import combine_one_row, ordered_prefix_sums, unit_bucket
 
 
 def _safe_div(a, b):
@@ -102,17 +102,23 @@ def pr_curve(df: DataFrame, by: list[str], y: str, p: str, truncate: bool = True
     ``truncate`` drops thresholds below the highest one that already reaches
     full recall, like the usual precision-recall curve.
     """
-    st = score_table(df, by, y, p)
+    return _curve(score_table(df, by, y, p), by, truncate)
+
+
+def _curve(st: DataFrame, by: list[str], truncate: bool = True) -> DataFrame:
     out = st.select(*by, F.col("score").alias("threshold"), "tp_ge", "fp_ge", "P", "N",
                     (F.col("tp_ge") / (F.col("tp_ge") + F.col("fp_ge"))).alias("precision"),
                     _safe_div(F.col("tp_ge"), F.col("P")).alias("recall"),
                     _safe_div(F.col("fp_ge"), F.col("N")).alias("fpr"))
     if truncate:
-        full = st.where(F.col("tp_ge") == F.col("P")).groupBy(*by).agg(F.max("score").alias("__tmin"))
+        # the lowest kept threshold: one value per group from an aggregation,
+        # joined back on the group keys (a table with one row per group)
         if by:
+            full = st.where(F.col("tp_ge") == F.col("P")).groupBy(*by).agg(F.max("score").alias("__tmin"))
             out = out.join(full, by, "left")
         else:
-            out = out.withColumn("__k", F.lit(0)).join(full.withColumn("__k", F.lit(0)), "__k", "left").drop("__k")
+            tmin = st.where(F.col("tp_ge") == F.col("P")).agg(F.max("score")).first()[0]
+            out = out.withColumn("__tmin", F.lit(tmin).cast("double"))
         out = out.where(F.col("__tmin").isNull() | (F.col("threshold") >= F.col("__tmin"))).drop("__tmin")
     return out
 
@@ -141,10 +147,14 @@ def select_threshold(df: DataFrame, by: list[str], y: str, p: str, objective: st
     """Best threshold per group; the first best in ascending threshold order
     wins; no candidate -> ``fallback``.  Returns the metrics at it.
 
-    FPR is FP / (FP + TN).  ``fpr_quirk`` reproduces the original rule that
-    sets FPR to 0 when every prediction falls in one class.
+    The confusion counts at the chosen threshold are read from the table of
+    distinct scores (counts at or above each score, class totals), so the
+    predictions are scanned once.  FPR is FP / (FP + TN); ``fpr_quirk``
+    reproduces the original rule that sets FPR to 0 when every prediction
+    falls in one class.
     """
-    cur = pr_curve(df, by, y, p)
+    st = score_table(df, by, y, p)
+    cur = _curve(st, by)
     fpr = F.col("fpr")
     if fpr_quirk:
         one_class = (F.col("tp_ge") + F.col("fp_ge") == F.col("P") + F.col("N")) | \
@@ -158,20 +168,31 @@ def select_threshold(df: DataFrame, by: list[str], y: str, p: str, objective: st
     if max_fpr is not None:
         cand = cand.where(F.col("fpr") <= max_fpr)
     cand = cand.withColumn("objective_score", _objective(objective))
-    best = cand.groupBy(*by).agg(
-        F.max_by("threshold", F.struct(F.col("objective_score"), -F.col("threshold"))).alias("threshold"),
-        F.max_by("fpr", F.struct(F.col("objective_score"), -F.col("threshold"))).alias("fpr_at"))
-    groups = df.select(*by).distinct() if by else None
+    order = F.struct(F.col("objective_score"), -F.col("threshold"))
+    best = cand.groupBy(*by).agg(F.max_by(F.struct("threshold", "tp_ge", "fp_ge"), order).alias("b"))
+    tot = st.groupBy(*by).agg(F.first("P").alias("P"), F.first("N").alias("N"))
+    # fallback threshold: counts at or above it are those of the smallest
+    # distinct score >= fallback
+    fb = st.where(F.col("score") >= fallback).groupBy(*by).agg(
+        F.min_by(F.struct("tp_ge", "fp_ge"), F.col("score")).alias("f"))
     if by:
-        chosen = groups.join(best, by, "left")
+        j = tot.join(best, by, "left").join(fb, by, "left")
     else:
-        chosen = best
-    chosen = chosen.withColumn("threshold", F.coalesce(F.col("threshold"), F.lit(float(fallback))))
-    # metrics at the chosen threshold: one row per group joined back (AQE
-    # broadcasts it when it is small; the number of groups is not bounded here)
-    j = df.join(chosen, by) if by else \
-        df.withColumn("__k", F.lit(0)).join(F.broadcast(chosen.withColumn("__k", F.lit(0))), "__k")
-    counts = confusion_counts(j, [*by, "threshold"], y, (F.col(p) >= F.col("threshold")).cast("int"))
+        j = combine_one_row(tot, best.select(F.col("b.threshold").alias("b_t"), F.col("b.tp_ge").alias("b_tp"),
+                                             F.col("b.fp_ge").alias("b_fp")),
+                            fb.select(F.col("f.tp_ge").alias("f_tp"), F.col("f.fp_ge").alias("f_fp")))
+        j = j.select(F.col("P").cast("bigint").alias("P"), F.col("N").cast("bigint").alias("N"),
+                     F.when(F.col("b_t").isNotNull(), F.struct(F.col("b_t").alias("threshold"),
+                            F.col("b_tp").cast("bigint").alias("tp_ge"), F.col("b_fp").cast("bigint").alias("fp_ge")))
+                     .alias("b"),
+                     F.when(F.col("f_tp").isNotNull(), F.struct(F.col("f_tp").cast("bigint").alias("tp_ge"),
+                            F.col("f_fp").cast("bigint").alias("fp_ge"))).alias("f"))
+    has_best = F.col("b").isNotNull()
+    tp = F.when(has_best, F.col("b.tp_ge")).otherwise(F.coalesce(F.col("f.tp_ge"), F.lit(0)))
+    fp = F.when(has_best, F.col("b.fp_ge")).otherwise(F.coalesce(F.col("f.fp_ge"), F.lit(0)))
+    counts = j.select(*by, F.when(has_best, F.col("b.threshold")).otherwise(F.lit(float(fallback))).alias("threshold"),
+                      (F.col("N") - fp).cast("bigint").alias("tn"), fp.cast("bigint").alias("fp"),
+                      (F.col("P") - tp).cast("bigint").alias("fn"), tp.cast("bigint").alias("tp"))
     m = metrics_from_counts(counts)
     return m.withColumn("fpr", _safe_div(F.col("fp"), F.col("fp") + F.col("tn")))
 
