@@ -123,3 +123,14 @@ SELECT o_orderstatus, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS m
 FROM orders GROUP BY o_orderstatus""")
 def x13_summary_totalprice_by_status(spark, d):
     return X.summary_stats(table(spark, d, "orders"), "o_totalprice", ["o_orderstatus"])
+
+
+@query("x4_histogram_by_status", """
+WITH mm AS (SELECT min(o_totalprice) AS mn, max(o_totalprice) AS mx FROM orders),
+b AS (SELECT o_orderstatus, CAST(least(floor((o_totalprice - mn) / (mx - mn) * 10), 9) AS INTEGER) AS bin, count(*) AS n
+      FROM orders, mm WHERE o_totalprice IS NOT NULL GROUP BY ALL)
+SELECT o_orderstatus, bin, round(mn + bin * ((mx - mn) / 10), 6) AS lo,
+  round(mn + bin * ((mx - mn) / 10) + (mx - mn) / 10, 6) AS hi, n FROM b, mm""")
+def x4_histogram_by_status(spark, d):
+    """Equal-width histogram of order value, split by class (shared edges)."""
+    return X.histogram(table(spark, d, "orders"), "o_totalprice", 10, by=["o_orderstatus"])

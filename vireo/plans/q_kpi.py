@@ -8,6 +8,7 @@ from vireo.operators.drift import daily_score_psi
 from vireo.plans.bindings import req_log, scored, subject_year, table, with_views
 from vireo.plans.catalog import query
 from vireo.plans.modeling import MODELING_SQL, modeling_long
+from vireo.plans.sqlgen import edge_bin_sql, unit_edges_sql
 
 
 def _ts_str(c):
@@ -262,3 +263,19 @@ def w11_latest_state_per_user(spark, d):
     e = table(spark, d, "events")
     out = K.latest_per_key(e, "user_id", "ts", "event_type", tie="event_id")
     return out.withColumn("latest_ts", F.date_format("latest_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query("d14_daily_score_histogram", f"""
+WITH s AS (SELECT CAST(ts AS DATE) AS day, value / (value + 50) AS score FROM events WHERE value IS NOT NULL),
+n AS (SELECT day, count(*) AS n FROM s GROUP BY day),
+c AS (SELECT day, {edge_bin_sql('score')} AS bin, count(*) AS cnt FROM s WHERE {edge_bin_sql('score')} IS NOT NULL
+      GROUP BY ALL)
+SELECT n.day, CAST(r.bin AS INTEGER) AS bin, {unit_edges_sql()}[r.bin + 1] AS lo, {unit_edges_sql()}[r.bin + 2] AS hi,
+  CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt, round(coalesce(c.cnt, 0) / n.n, 4) AS freq
+FROM n, range(20) r(bin) LEFT JOIN c ON c.day = n.day AND c.bin = r.bin""")
+def d14_daily_score_histogram(spark, d):
+    """Dashboard panel: the score histogram per day (fixed 20 bins)."""
+    from vireo.operators.profile import score_histogram
+    e = table(spark, d, "events").where(F.col("value").isNotNull()) \
+        .select(F.to_date("ts").alias("day"), (F.col("value") / (F.col("value") + 50)).alias("score"))
+    return score_histogram(e, "score", by=["day"])
