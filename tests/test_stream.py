@@ -60,3 +60,23 @@ def test_rate_violations(spark):
                                "api_key string, ts timestamp")
     r = W.rate_violations(df, "api_key", "ts").first()
     assert r.max_per_minute == 100 and r.n_violations == 1
+
+
+def test_rolling_stats_against_brute_force(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(11)
+    n = 300
+    t0 = pd.Timestamp("2024-01-01 00:00:00")
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], n, p=[0.8, 0.2]),
+                        "ts": t0 + pd.to_timedelta(np.sort(rng.integers(0, 900_000, n)), unit="ms"),
+                        "v": np.round(rng.random(n) * 100, 2)})
+    pdf = pdf.drop_duplicates(["g", "ts"])
+    df = spark.createDataFrame(pdf)
+    got = {(r.g, r.ts): (r.n, r.mean) for r in
+           W.rolling_stats(df, "ts", "v", 60, by=["g"], bucket_seconds=120).collect()}
+    for key, part in pdf.groupby("g"):
+        for _, row in part.iterrows():
+            win = part[(part.ts >= row.ts - pd.Timedelta(seconds=60)) & (part.ts <= row.ts)]
+            n_, mean_ = got[(key, row.ts.to_pydatetime())]
+            assert n_ == len(win) and abs(mean_ - win.v.mean()) < 1e-9
