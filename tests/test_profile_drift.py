@@ -79,3 +79,18 @@ def test_request_aggregate(spark):
     out = {r.request_id: r for r in A.request_aggregate(df, "request_id", ["idade", "ian"], "risk_score").collect()}
     assert out["r1"].n_instances == 2 and out["r1"].missing_rate == 0.25 and out["r1"].positive_rate == 0.5
     assert math.isclose(out["r1"].risk_score_std, 0.3)
+
+
+def test_categorical_profile_against_pandas(spark):
+    import pandas as pd
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    pdf = part.select("p_brand").toPandas()
+    got = {(r.value, r.cnt, r["rank"]) for r in A.categorical_profile(part, ["p_brand"], top_k=5).collect()}
+    vc = pdf.p_brand.value_counts().reset_index()
+    vc.columns = ["value", "cnt"]
+    vc = vc.sort_values(["cnt", "value"], ascending=[False, True]).reset_index(drop=True)
+    want = {(v, int(c), i + 1) for i, (v, c) in enumerate(zip(vc.value[:5], vc.cnt[:5]))}
+    rest = int(vc.cnt[5:].sum())
+    if rest:
+        want.add(("__other__", rest, 6))
+    assert got == want
