@@ -71,3 +71,25 @@ def test_performance_drift_insufficient(spark):
     lab = spark.createDataFrame([("a", 1), ("b", 0)], "request_id string, label int")
     r = E.performance_drift(pred, lab, ["grp"], pred_label="risk_label").first()
     assert r.status == "insufficient_data" and r.n_samples == 2
+
+
+def test_max_f2_threshold_against_brute_force(spark):
+    y, p = _data(5, 200)
+    df = spark.createDataFrame(pd.DataFrame({"m": "a", "y": y, "p": p}))
+    got = E.select_threshold(df, ["m"], "y", "p", "max_f2", min_recall=0.5).first()
+    # brute force over distinct thresholds (ascending, first best wins), with
+    # thresholds below the highest full-recall one dropped
+    ts = sorted(set(p))
+    full = max(t for t in ts if ((p >= t) & (y == 1)).sum() == (y == 1).sum())
+    best, best_t = -1.0, 0.5
+    for t in ts:
+        if t < full:
+            continue
+        tp = ((p >= t) & (y == 1)).sum()
+        prec, rec = tp / (p >= t).sum(), tp / (y == 1).sum()
+        if rec < 0.5:
+            continue
+        f2 = 5 * prec * rec / (4 * prec + rec) if (4 * prec + rec) > 0 else 0.0
+        if f2 > best:
+            best, best_t = f2, t
+    assert got.threshold == best_t and abs(got.f2 - best) < 1e-12
