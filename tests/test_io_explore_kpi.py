@@ -148,3 +148,17 @@ def test_slo_lifetime_errors(spark):
     win = {r.window_start.minute: r.error_rate for r in W.slo_status(m).collect()}
     life = {r.window_start.minute: r.error_rate for r in W.slo_status(m, lifetime_errors=True).collect()}
     assert win == {0: 1.0, 1: 0.0} and life == {0: 1.0, 1: 0.1}
+
+
+def test_latest_per_key_hot_key_against_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(9)
+    n = 2000
+    pdf = pd.DataFrame({"k": np.where(rng.random(n) < 0.4, "hot", rng.choice(list("abcdefgh"), n)),
+                        "t": rng.permutation(n), "s": rng.choice(["x", "y", "z"], n)})
+    got = {r.k: (r.current, r.previous) for r in K.latest_per_key(spark.createDataFrame(pdf), "k", "t", "s").collect()}
+    for key, part in pdf.groupby("k"):
+        srt = part.sort_values("t", ascending=False)
+        want = (srt.s.iloc[0], srt.s.iloc[1] if len(srt) > 1 else None)
+        assert got[key] == want
