@@ -58,7 +58,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         groups = spark.read.schema(groups.schema).parquet(f"{base}/groups-{level}")
         ended = F.length("d0") < width
         rows = (open_rows.withColumn("digit", digit)
-                .join(groups, (F.col("grp") == F.col("g0")) & (F.col("digit") == F.col("d0")), "left")
+                # the same join at every size: groups grow with the rows and are never broadcast
+                .join(groups.hint("merge"), (F.col("grp") == F.col("g0")) & (F.col("digit") == F.col("d0")), "left")
                 .select("id", "n_chars", "sha",
                         F.when(F.col("n").isNull(), F.col("id")).when(ended, F.col("best_id")).alias("keep_id"),
                         F.when(F.col("n").isNull(), F.lit(1).cast("long")).when(ended, F.col("n")).alias("group_size"),
