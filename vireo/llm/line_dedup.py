@@ -144,10 +144,11 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
 
     keyed = lines.select("h1", F.explode(segment_keys(F.col("line"), F.col("n"), threshold)).alias("k")).select(
         "h1", F.col("k.key").alias("key"), F.col("k.role").alias("role"))
+    # joins with a side that grows are sort-merge at every size, never broadcast
     # an entry lives if two distinct lines meet in it, one of them as index
     live = (keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("role").alias("r"))
             .where((F.col("lo") != F.col("hi")) & (F.col("r") <= threshold)).select("key"))
-    met = stage(keyed.join(live, "key").distinct(), "line_keys")
+    met = stage(keyed.join(live.hint("merge"), "key").distinct(), "line_keys")
     sizes = met.groupBy("key").agg(F.count("*").alias("size"))
     small = met.join(sizes.where(F.col("size") <= max_per_key).select("key"), "key")
     hot = met.join(sizes.where(F.col("size") > max_per_key).select("key"), "key")
@@ -162,7 +163,7 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
               .unionByName(hot.select(F.col("h1").alias("h"))).distinct())
     at = (classes.join(wanted, F.col("h1") == F.col("h")).select("h1", "h2", "place", F.col("place.rk").alias("w"), F.col("place.pos").alias("pos"))
           .groupBy("w").agg(F.collect_list(F.struct("h1", "h2", "place", "pos")).alias("at")))
-    texts = (docs.select("rk", "text").join(at, F.col("rk") == F.col("w"))
+    texts = (docs.select("rk", "text").join(at.hint("merge"), F.col("rk") == F.col("w"))
              .select(F.split("text", "\n").alias("all"), F.explode("at").alias("x"))
              .select("x.h1", "x.h2", "x.place", F.btrim(F.get("all", F.col("x.pos")), F.lit(SPACE_CHARS)).alias("line")).distinct())
     texts = stage(texts, "line_texts")
@@ -181,7 +182,7 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
     # a line goes where it isn't the first of its class, or its class has an earlier near line
     status = (classes.join(losers, ["h1", "h2"], "left").where("n > 1 OR near")
               .select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "place", F.coalesce("near", F.lit(False)).alias("near")))
-    gone = (lines.select("rk", "doc_id", "pos", "h1", "h2").join(status, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
+    gone = (lines.select("rk", "doc_id", "pos", "h1", "h2").join(status.hint("merge"), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
             .where(F.col("near") | (F.struct("doc_id", "pos", "rk") > F.col("place"))))
     return gone.groupBy("rk").agg(F.collect_set("pos").alias("drop"))
 
@@ -205,7 +206,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.withColumn("__rk", F.xxhash64(F.col(id_col), F.col(text_col)))
     plain = rows.select(F.col("__rk").alias("rk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     drops = dropped_lines(plain, threshold, min_chars, max_per_key).select(F.col("rk").alias("__rk2"), F.col("drop").alias("__drop"))
-    rows = rows.join(drops, F.col("__rk") == F.col("__rk2"), "left")
+    rows = rows.join(drops.hint("merge"), F.col("__rk") == F.col("__rk2"), "left")
     split = F.split(F.col(text_col), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop"))
     text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(

@@ -192,5 +192,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("__k4", F.row_number().over(nth))
     same = (F.col("__k1").eqNullSafe(F.col("__id")) & F.col("__k2").eqNullSafe(F.col("__src"))
             & (F.col("__k3") == F.col("__size")) & (F.col("__k4") == F.col("__nth")))
-    return (rows.join(m, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    return (rows.join(m.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -248,7 +248,7 @@ def _candidate_clusters(sets: DataFrame) -> DataFrame:
     lead = sets.where("lead IS NOT NULL").select("digest", F.explode("lead").alias("token")).distinct()
     star = (lead.groupBy("token").agg(F.min("digest").alias("hub"), F.max("digest").alias("last"))
             .where("hub <> last").select("token", "hub"))
-    edges = lead.join(star, "token").where("digest <> hub").select(F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
+    edges = lead.join(star.hint("merge"), "token").where("digest <> hub").select(F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
     return components(edges).select(F.col("id").alias("digest"), F.col("component").alias("cluster"))
 
 
@@ -280,7 +280,7 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                    F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
     placed = placed.select("digest", "cluster", "members", "rep", "home", "cuts", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     tokens = sets.where("tokens IS NOT NULL").select(F.col("digest").alias("d2"), F.col("doc_id").alias("id2"), "tokens")
-    blocks = tokens.join(placed, (F.col("d2") == F.col("digest")) & F.col("id2").eqNullSafe(F.col("rep")))
+    blocks = tokens.join(placed.hint("merge"), (F.col("d2") == F.col("digest")) & F.col("id2").eqNullSafe(F.col("rep")))
     joined = (blocks.select("home", "cuts", "i", "j", "cluster", "side", "digest", "members", "tokens")
               .groupBy("home", "cuts", "i", "j").applyInPandas(lambda f: _join_block(f, percent), LINKS))
     links = stage(joined, "links")

@@ -58,7 +58,7 @@ def record_plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "h
     later = (rows.select(F.col(id_col).alias("r_id"), F.col("payload_digest").alias("r_digest"))
              .join(first, F.col("r_digest") == F.col("d2")).where("r_id > first_id")
              .select("r_id", "r_digest", F.col("first_id").alias("refers_to")).distinct())
-    rows = rows.join(later, (F.col(id_col) == F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")), "left")
+    rows = rows.join(later.hint("merge"), (F.col(id_col) == F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")), "left")
     return (rows.withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
             .drop("r_id", "r_digest"))
 
