@@ -32,7 +32,7 @@ MAX_PER_KEY = 32
 
 
 def within_edits(a: Column, b: Column, threshold: int) -> Column:
-    """Edit distance of two strings in code points, null above ``threshold``.
+    """Edit distance of two arrays of characters, null above ``threshold``.
 
     Banded and bit-parallel: bit d of mask e says that the first j characters of
     ``a`` match the first j + d - threshold of ``b`` with at most e edits; a step
@@ -42,11 +42,10 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     names = [f"r{e}" for e in range(threshold + 1)]
     # before the first character: up to e characters of b inserted
     start = [sum(1 << (threshold + i) for i in range(e + 1)) for e in range(threshold + 1)]
-    one = F.lit(1)
 
     def step(state, j):
-        ch = a.substr(j, one)
-        same = [F.when((j + (d - threshold) >= 1) & (b.substr(j + (d - threshold), one) == ch), 1 << d).otherwise(0) for d in range(band)]
+        ch = F.get(a, j - 1)
+        same = [F.when(F.get(b, j + (d - threshold - 1)) == ch, 1 << d).otherwise(0) for d in range(band)]
         eq = reduce(lambda x, y: x.bitwiseOR(y), same)
         now = [state["r0"].bitwiseAND(eq)]
         for e in range(1, threshold + 1):
@@ -56,7 +55,7 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
             now.append(moved.bitwiseAND(F.lit(full)))
         return F.struct(*[x.alias(n) for x, n in zip(now, names)])
 
-    apart = F.length(b) - F.length(a) + threshold
+    apart = F.size(b) - F.size(a) + threshold
 
     def read(state):
         out = F.lit(None).cast("int")
@@ -65,9 +64,14 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
         return out
 
     initial = F.struct(*[F.lit(m).alias(n) for m, n in zip(start, names)])
-    found = F.aggregate(F.sequence(F.lit(1), F.length(a)), initial, step, read)
-    return (F.when(F.abs(F.length(a) - F.length(b)) > threshold, F.lit(None).cast("int"))
-            .when(F.length(a) == 0, F.length(b)).otherwise(found))
+    found = F.aggregate(F.sequence(F.lit(1), F.size(a)), initial, step, read)
+    return (F.when(F.abs(F.size(a) - F.size(b)) > threshold, F.lit(None).cast("int"))
+            .when(F.size(a) == 0, F.size(b)).otherwise(found))
+
+
+def characters(line: Column) -> Column:
+    """The code points of a string, as an array."""
+    return F.regexp_extract_all(line, F.lit("(?s)(.)"), F.lit(1))
 
 
 def _cut(length: Column, i: int, threshold: int) -> Column:
@@ -166,13 +170,14 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
     texts = (docs.select("rk", "text").join(at.hint("merge"), F.col("rk") == F.col("w"))
              .select(F.split("text", "\n").alias("all"), F.explode("at").alias("x"))
              .select("x.h1", "x.h2", "x.place", F.btrim(F.get("all", F.col("x.pos")), F.lit(SPACE_CHARS)).alias("line")).distinct())
-    texts = stage(texts, "line_texts")
+    # the characters are written out, so that a step of the verification reads one by its place
+    texts = stage(texts.withColumn("chars", characters(F.col("line"))), "line_texts")
 
     def side(c):
-        return texts.select(F.col("h1").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("h2", "place", "line")])
+        return texts.select(F.col("h1").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("h2", "place", "chars")])
 
     verified = (pairs.join(side("a"), "a").join(side("b"), "b")
-                .where(within_edits(F.col("line_a"), F.col("line_b"), threshold) >= 1))
+                .where(within_edits(F.col("chars_a"), F.col("chars_b"), threshold) >= 1))
     later = F.col("place_a") > F.col("place_b")
     losers = verified.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h1"),
                              F.when(later, F.col("h2_a")).otherwise(F.col("h2_b")).alias("h2"))
