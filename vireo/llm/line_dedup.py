@@ -213,9 +213,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = dropped_lines(plain, threshold, min_chars, max_per_key).select(F.col("rk").alias("__rk2"), F.col("drop").alias("__drop"))
     rows = rows.join(drops.hint("merge"), F.col("__rk") == F.col("__rk2"), "left")
     split = F.split(F.col(text_col), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop"))
-    text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n"))
+    stay = F.filter(split, lambda line, i: ~F.array_contains(F.col("__drop"), i))
+    text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
     total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)).cast("long")
     removed = F.coalesce(F.size("__drop"), F.lit(0)).cast("long")
     out = rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
