@@ -142,11 +142,13 @@ def _hot_losers(hot: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key: int) -> DataFrame:
     """(rk, drop): positions of the lines that go, for rows that lose any.
     ``docs`` has (rk, doc_id, text, ...)."""
+    # the texts are split and hashed once; what follows reads a few columns of this table
     lines = _lines(docs.select("rk", "doc_id", "text"), min_chars)
+    lines = stage(lines.select("rk", "doc_id", "pos", "h1", "h2", segment_keys(F.col("line"), F.col("n"), threshold).alias("keys")), "lines")
     place = F.struct(F.col("doc_id"), F.col("pos"), F.col("rk"))
     classes = stage(lines.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("n")), "line_classes")
 
-    keyed = lines.select("h1", F.explode(segment_keys(F.col("line"), F.col("n"), threshold)).alias("k")).select(
+    keyed = lines.select("h1", F.explode("keys").alias("k")).select(
         "h1", F.col("k.key").alias("key"), F.col("k.role").alias("role"))
     # joins with a side that grows are sort-merge at every size, never broadcast
     # an entry lives if two distinct lines meet in it, one of them as index
