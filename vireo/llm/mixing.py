@@ -33,6 +33,8 @@ TOLERANCE = 1e-7
 RATE_UNIT = 1_000_000
 SIZE_BUCKETS = 64
 EXCHANGES = 3
+#: tables of one row per source are broadcast up to this many sources, beyond it joined by key
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text):
@@ -71,8 +73,14 @@ def _tilted(lam, x, base: float, limit: float):
     return F.lit(float(limit)) / (F.lit(1.0) + F.exp(-z))
 
 
+def _beside(per_source: DataFrame, few: bool) -> DataFrame:
+    """A table of one row per source as the small side of a join, so that a
+    source with a third of all rows stays spread over its tasks."""
+    return F.broadcast(per_source) if few else per_source
+
+
 def solve_tilts(counts: DataFrame, targets: DataFrame, base: float = SHARE, limit: float = LIMIT,
-                rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+                rounds: int = ROUNDS, tolerance: float = TOLERANCE, few: bool = False) -> DataFrame:
     """(key, lam, scale) per source by safeguarded Newton steps on the dual.
 
     ``counts`` has (key, size, n); ``targets`` has (key, source_size, docs,
@@ -86,7 +94,7 @@ def solve_tilts(counts: DataFrame, targets: DataFrame, base: float = SHARE, limi
     for _ in range(rounds):
         x = F.col("size") / F.col("scale")
         r = _tilted(F.col("lam"), x, base, limit)
-        sums = (counts.join(state.where("NOT done").select("key", "lam", "scale"), "key")
+        sums = (counts.join(_beside(state.where("NOT done").select("key", "lam", "scale"), few), "key")
                 .groupBy("key").agg(F.sum(F.col("n") * F.col("size") * r).alias("taken"),
                                     F.sum(F.col("n") * F.col("size") * x * r * (1 - r / limit)).alias("slope")))
         off = F.col("taken") - F.col("target")
@@ -156,12 +164,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     targets = stage(targets.withColumn("key", key), "targets")
     counts = counts.select(key.alias("key"), "size", "n").where("size > 0")
-    tilts = solve_tilts(counts, targets, share, limit)
+    few = targets.count() <= BROADCAST_SOURCES
+    tilts = solve_tilts(counts, targets, share, limit, few=few)
     x = F.col("size") / F.col("scale")
     full = F.col("target") >= limit * F.col("source_size")
     rate = F.when(full, F.lit(float(limit))).otherwise(_tilted(F.col("lam"), x, share, limit))
     rated = (rows.withColumn("key", key)
-             .join(targets.join(tilts, "key").select("key", "source_size", "target", "lam", "scale"), "key")
+             .join(_beside(targets.join(tilts, "key").select("key", "source_size", "target", "lam", "scale"), few), "key")
              .select("doc_id", "key", "size", "n_row",
                      F.when(F.col("size") > 0, F.round(rate * RATE_UNIT)).otherwise(0).cast("long").alias("rate")))
     taken = stage(_copies(rated, limit), "copies")
@@ -171,11 +180,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("key", (F.col("target") - F.col("got")).alias("gap")))
         sign = F.when(F.col("gap") > 0, 1).otherwise(-1)
         after = F.abs(F.col("gap") - sign * F.col("size"))
-        best = (taken.join(gap, "key").where((F.col("copies") + sign).between(0, limit) & (F.col("size") > 0) & (after < F.abs(F.col("gap"))))
+        best = (taken.join(_beside(gap, few), "key").where((F.col("copies") + sign).between(0, limit) & (F.col("size") > 0) & (after < F.abs(F.col("gap"))))
                 .groupBy("key").agg(F.min(F.struct(after.alias("after"), F.col("doc_id"), F.col("size"), F.col("n_row"),
                                                    sign.cast("long").alias("change"))).alias("b")))
-        taken = _moved(taken, stage(best.select("key", "b.doc_id", "b.size", "b.n_row", "b.change"), "moves"))
-    return (taken.join(targets.select("key", "source", "source_size", "target"), "key")
+        taken = _moved(taken, _beside(stage(best.select("key", "b.doc_id", "b.size", "b.n_row", "b.change"), "moves"), few))
+    return (taken.join(_beside(targets.select("key", "source", "source_size", "target"), few), "key")
             .select(F.col("doc_id").alias(id_col), F.col("source").alias(source_col), "size", "n_row", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
 
