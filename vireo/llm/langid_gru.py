@@ -22,6 +22,7 @@ WINDOW = 64
 FIT_DOCS = 400
 FIT_TOTAL = 8000
 FIT_WINDOWS = 12
+SLOTS = 64
 STEPS = 500
 BATCH = 384
 RATE = 0.02
@@ -204,8 +205,12 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bounded list of ids fetches their texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where((fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull())
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= FIT_DOCS).orderBy("k", "lang").limit(FIT_TOTAL).select("doc_id")
+    # first within slots of a language, so that a common one isn't ranked in one task
+    rows = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("slot", F.pmod("h", F.lit(SLOTS)))
+    for by in (["lang", "slot"], ["lang"]):
+        rank = Window.partitionBy(*by).orderBy("h", "doc_id")
+        rows = rows.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= FIT_DOCS)
+    ids = rows.orderBy("k", "lang").limit(FIT_TOTAL).select("doc_id")
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
              .join(F.broadcast(ids.distinct()), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")
              # a window of the text per place, no more than the fit uses
