@@ -97,8 +97,9 @@ def _record_text(id_col: str, url_col: str):
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                    min_bytes: int = MIN_REVISIT_BYTES) -> str:
     """Write one record per row below ``path``, a gzip stream per part file."""
-    plan = record_plan(pages, id_col, payload_col, min_bytes)
-    body, record = _record_text(id_col, url_col)
+    pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(payload_col).alias("html"))
+    plan = record_plan(pages, min_bytes=min_bytes)
+    body, record = _record_text("page_id", "url")
     (plan.withColumn("__body", body).select(record.alias("value"))
      .write.mode("overwrite").option("compression", "gzip").option("lineSep", "\r\n\r\n").text(path))
     return path
@@ -289,7 +290,6 @@ def warc_roundtrip(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     record; an empty table gives an empty result; other columns are ignored."""
     spark = pages.sparkSession
     root = scratch_path(spark, "warc")
-    cols = [F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(payload_col).alias("html")]
-    write_archives(pages.select(*cols), f"{root}/monolithic", min_bytes=min_bytes)
+    write_archives(pages, f"{root}/monolithic", id_col, url_col, payload_col, min_bytes)
     stage(normalise_archives(archive_files(spark, f"{root}/monolithic"), f"{root}/normal"), "warc_index")
     return read_records(read_index(spark, f"{root}/normal"))
