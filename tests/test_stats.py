@@ -57,17 +57,10 @@ def test_top_k_per_group_exact(spark, k):
 
 
 def test_operator_paths_agree(spark):
-    """The size-checked auto method and the forced distributed method give
-    the same profile through a real operator."""
-    from vireo.functions import stats
+    """The default method and the plain aggregate give the same profile
+    through a real operator."""
     from vireo.operators.profile import numeric_profile
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     cols = ["l_quantity", "l_extendedprice"]
-    auto = sorted(tuple(r) for r in numeric_profile(df, cols).collect())
-    old = stats.AUTO_EXACT_BYTES
-    try:
-        stats.AUTO_EXACT_BYTES = -1
-        dist = sorted(tuple(r) for r in numeric_profile(df, cols).collect())
-    finally:
-        stats.AUTO_EXACT_BYTES = old
-    assert auto == dist
+    default = sorted(tuple(r) for r in numeric_profile(df, cols).collect())
+    assert default == sorted(tuple(r) for r in numeric_profile(df, cols, method="aggregate").collect())

@@ -17,18 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CUT_ACCURACY = 1000
-# ``method="auto"``: below this estimated input size the plain exact
-# ``percentile`` aggregate is used - no group can then exceed the bound.
-AUTO_EXACT_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled by projections
-    and filters); no job runs.  Unknown -> very large."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return 1 << 62
 DEFAULT_BUCKETS = 256  # raise with the data: a (group, bucket) holds ~distinct values / buckets
 
 
@@ -76,28 +64,28 @@ def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, su
                       for c in sum_cols])
 
 
-def unit_bucket(col: str, buckets: int = 1024) -> Column:
-    """Monotone bucket for values in [0, 1] (scores)."""
-    return F.least(F.greatest(F.floor(F.col(col) * buckets), F.lit(0)), F.lit(buckets - 1)).cast("int")
+def unit_bucket(col: str, buckets: int = 4096) -> Column:
+    """Monotone bucket for values in [0, 1] (scores), even in log odds, so that
+    scores clustered near 0 or 1 spread over many buckets."""
+    x = F.least(F.greatest(F.col(col).cast("double"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    z = F.log(x / (1 - x))
+    return F.least(F.greatest(F.floor((z + 28) * (buckets / 56)), F.lit(0)), F.lit(buckets - 1)).cast("int")
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
-              method: str = "auto", buckets: int = DEFAULT_BUCKETS,
+              method: str = "distributed", buckets: int = DEFAULT_BUCKETS,
               names: list[str] | None = None) -> DataFrame:
     """One row per group with a column per probability (null for empty groups).
 
     method: ``distributed`` (exact, scalable), ``aggregate`` (exact Spark
     ``percentile``; a whole group's value counts meet in one task - use for
-    bounded groups), ``approx`` (``percentile_approx``, accuracy 10000),
-    ``auto`` (``aggregate`` when the estimated input is under
-    ``AUTO_EXACT_BYTES``, else ``distributed``; both are exact).
+    groups known to be bounded), ``approx`` (``percentile_approx``, accuracy
+    10000).  The default is the same at every size.
     """
     g = list(group_cols or [])
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     v = F.col(value_col).cast("double")
     base = df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if method == "auto":
-        method = "aggregate" if estimated_bytes(base) <= AUTO_EXACT_BYTES else "distributed"
     if method == "aggregate":
         arr = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
         out = base.groupBy(*g).agg(arr.alias("__q"))
@@ -200,27 +188,20 @@ def combine_one_row(*dfs: DataFrame) -> DataFrame:
     return u.groupBy().pivot("k", names).agg(F.first("v"))
 
 
-WIDE_COLUMNS = 100
+COLUMNS_PER_AGGREGATE = 100
 
 
 def null_counts(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
-    """Long table ``(by..., column, n_missing, n_rows)``.
-
-    Up to ``WIDE_COLUMNS`` columns this is one wide aggregation; beyond it
-    the flags are unpivoted and grouped by column, so the generated code does
-    not grow with the schema width."""
+    """Long table ``(by..., column, n_missing, n_rows)``: one wide aggregate
+    per ``COLUMNS_PER_AGGREGATE`` columns, so generated code stays bounded."""
     by = list(by or [])
-    q = lambda c: "`" + c.replace("`", "``") + "`"
-    if len(cols) <= WIDE_COLUMNS:
+    out = None
+    for at in range(0, max(1, len(cols)), COLUMNS_PER_AGGREGATE):
+        part = cols[at:at + COLUMNS_PER_AGGREGATE]
         agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"),
-                                  *[F.count_if(F.col(q(c)).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)])
+                                  *[F.count_if(F.col("`" + c.replace("`", "``") + "`").isNull()).alias(f"__m{i}") for i, c in enumerate(part)])
         long = agg.select(*by, "n_rows", F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"__m{i}").alias("n_missing")) for i, c in enumerate(cols)])))
-        return long.select(*by, "column", F.col("n_missing").cast("bigint").alias("n_missing"), "n_rows")
-    flags = df.select(*by, *[F.col(q(c)).isNull().cast("int").alias(f"__m{i}") for i, c in enumerate(cols)])
-    names = {f"__m{i}": c for i, c in enumerate(cols)}
-    long = flags.unpivot(by, list(names), "__c", "__f")
-    g = long.groupBy(*by, "__c").agg(F.sum("__f").cast("bigint").alias("n_missing"),
-                                     F.count(F.lit(1)).alias("n_rows"))
-    mapping = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
-    return g.select(*by, mapping[F.col("__c")].alias("column"), "n_missing", "n_rows")
+            F.struct(F.lit(c).alias("column"), F.col(f"__m{i}").alias("n_missing")) for i, c in enumerate(part)])))
+        long = long.select(*by, "column", F.col("n_missing").cast("bigint").alias("n_missing"), "n_rows")
+        out = long if out is None else out.unionByName(long)
+    return out

@@ -49,7 +49,7 @@ def classification_metrics(df: DataFrame, by: list[str], y: str, p: str, thresho
 
 
 # Curves ---------------------------------------------------------------------
-def score_table(df: DataFrame, by: list[str], y: str, p: str, buckets: int = 1024) -> DataFrame:
+def score_table(df: DataFrame, by: list[str], y: str, p: str, buckets: int = 4096) -> DataFrame:
     """One row per (group, distinct score) with counts at that score and at or
     above it (``tp_ge``/``fp_ge``) plus group totals ``P``/``N``."""
     g = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("score")).agg(

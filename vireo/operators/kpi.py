@@ -20,10 +20,10 @@ from vireo.functions.stats import combine_one_row, quantiles, top_k_per_group
 
 # FIXED VALUES: decision matrix (band, modifier) -> decision, SLA in days.
 ACTION_RULES = [
-    ("high", "repeat", "escalation", 5),
     ("high", "none", "immediate_action", 7),
-    ("medium", "rising", "prevention", 10),
+    ("high", "repeat", "escalation", 5),
     ("medium", "none", "active_monitoring", 14),
+    ("medium", "rising", "prevention", 10),
     ("low", "none", "standard_followup", None),
 ]
 
@@ -258,7 +258,7 @@ def retrain_triggers(daily_psi: DataFrame, perf: DataFrame | None, n_new_labels:
 
 # D14 -----------------------------------------------------------------------
 def ops_dashboard(log: DataFrame, ts: str, latency: str, status: str, unit: str = "hour",
-                  method: str = "auto") -> DataFrame:
+                  method: str = "distributed") -> DataFrame:
     """Traffic, error rate and p95 latency per time bucket."""
     b = log.withColumn("bucket", F.date_trunc(unit, F.col(ts)))
     base = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(status) >= 500).alias("n_errors"))
@@ -281,9 +281,20 @@ def error_bursts(log: DataFrame, ts: str, status: str, length: str = "5 minutes"
 
 def volume_anomalies(log: DataFrame, ts: str, by: list[str] | None = None, trailing: int = 24,
                      tolerance: float = 0.2) -> DataFrame:
-    """Hourly volume against the mean of the previous ``trailing`` hours."""
+    """Hourly volume against the mean of the previous ``trailing`` hours.
+
+    Hours without traffic between a group's first and the log's last hour count
+    as 0, so an outage is an anomaly.  The grid has one row per group and hour."""
     by = list(by or [])
-    h = log.groupBy(*by, F.date_trunc("hour", F.col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    seen = log.groupBy(*by, F.date_trunc("hour", F.col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("n")).where("hour IS NOT NULL")
+    last = seen.agg(F.max("hour")).scalar()
+    first = seen.groupBy(*by).agg(F.min("hour").alias("__first"))
+    grid = first.select(*by, F.explode(F.sequence("__first", last, F.expr("interval 1 hour"))).alias("hour"))
+    there = seen.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("hour").alias("__hour"), F.col("n").alias("__n"))
+    same = F.col("hour") == F.col("__hour")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    h = grid.join(there, same, "left").select(*by, "hour", F.coalesce("__n", F.lit(0)).cast("long").alias("n"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("hour").rowsBetween(-trailing, -1)
     e = h.withColumn("expected", F.avg("n").over(w))
     return e.select(*by, "hour", "n", F.round("expected", 6).alias("expected"),
@@ -293,7 +304,7 @@ def volume_anomalies(log: DataFrame, ts: str, by: list[str] | None = None, trail
 
 # D16 -----------------------------------------------------------------------
 def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
-              method: str = "auto") -> DataFrame:
+              method: str = "distributed") -> DataFrame:
     """Clip each column to its own [lower, upper] percentiles.
 
     One grouped quantile job over all columns (unpivoted); the bounds are two
@@ -301,7 +312,9 @@ def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     q = quantiles(long, "value", [lower, upper], ["column"], method=method, names=["lo", "hi"])
     bounds = {r["column"]: (r["lo"], r["hi"]) for r in q.collect()}
-    return df.select(*[F.least(F.greatest(F.col(c), F.lit(bounds[c][0])), F.lit(bounds[c][1])).alias(c)
+    # least and greatest skip nulls: a null stays null, and so does NaN
+    return df.select(*[F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")),
+                              F.least(F.greatest(F.col(c), F.lit(bounds[c][0])), F.lit(bounds[c][1]))).alias(c)
                        if c in bounds and bounds[c][0] is not None else F.col(c) for c in df.columns])
 
 

@@ -76,21 +76,27 @@ def candidates(n_train: int, seed: int = SEED, label: str = "label", weight: str
 
 
 # M4 ------------------------------------------------------------------------
-def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed: int = SEED,
+def stratified_split(df: DataFrame, label: str, key: str | list[str], test_frac: float = 0.2, seed: int = SEED,
                      out: str = "is_test", bucket_bits: int = 16) -> DataFrame:
-    """Exactly ceil(frac * n_class) rows per class go to test, chosen by a
-    seeded hash of the key - repeatable and with no per-class window.
-
-    Ranks come from prefix sums over ``2**bucket_bits`` hash-range buckets
-    per class: each window partition holds about n / 2**bucket_bits rows.
+    """Exactly ceil(frac * n_class) rows per class go to test if ``key`` (one
+    column or several) names a row; rows that share a key go together.  Rows
+    are chosen by a seeded hash of the key, so the split is repeatable.  Null
+    labels are a class of their own and no row is lost.
+
+    The class's cutoff hash comes from prefix sums over ``2**bucket_bits``
+    hash-range buckets; rows are then only compared with it (one small row
+    per class), not joined back.
     """
-    h = df.withColumn("__h", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
-    cnt = h.groupBy(label, "__h").agg(F.count(F.lit(1)).alias("__c"))
-    ps = ordered_prefix_sums(cnt, [label], "__h", ["__c"], F.shiftright(F.col("__h"), 64 - bucket_bits))
-    n = cnt.groupBy(label).agg(F.sum("__c").alias("__n"))
-    ranked = ps.join(F.broadcast(n), label).withColumn(
-        out, F.col("__c_cum") < F.ceil(F.col("__n") * F.lit(test_frac)))
-    return h.join(ranked.select(label, "__h", out), [label, "__h"]).drop("__h")
+    keys = [key] if isinstance(key, str) else list(key)
+    h = df.withColumn("__h", F.xxhash64(*[F.col(k).cast("string") for k in keys], F.lit(seed)))
+    h = h.withColumn("__l", F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")))
+    cnt = h.groupBy("__l", "__h").agg(F.count(F.lit(1)).alias("__c"))
+    ps = ordered_prefix_sums(cnt, ["__l"], "__h", ["__c"], F.shiftright(F.col("__h"), 64 - bucket_bits))
+    n = cnt.groupBy("__l").agg(F.sum("__c").alias("__n"))
+    cut = (ps.join(n, "__l").where(F.col("__c_cum") < F.ceil(F.col("__n") * F.lit(test_frac)))
+           .groupBy("__l").agg(F.max("__h").alias("__cut")))
+    return (h.join(cut, "__l", "left").withColumn(out, F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False)))
+            .select(*[F.col(f"`{c}`") for c in df.columns], out))
 
 
 # M5 ------------------------------------------------------------------------

@@ -67,9 +67,27 @@ def _sanitize_field(col: Column, dtype: T.DataType, redact_fields: bool, safe_on
         return F.struct(*parts) if parts else F.lit(None)
     if isinstance(dtype, T.StringType):
         return F.when(has_pii(col), pii_redact(col)).otherwise(col)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: _sanitize_field(x, dtype.elementType, redact_fields, safe_only, pii, safe))
+    if isinstance(dtype, T.MapType) and isinstance(dtype.keyType, T.StringType):
+        named = lambda k, names: F.lower(k).isin(sorted(names))
+        if safe_only:
+            col = F.map_filter(col, lambda k, v: named(k, safe))
+        return F.transform_values(col, lambda k, v: _sanitize_value(k, v, dtype.valueType, redact_fields, safe_only, pii, safe, named))
     return col
 
 
+def _sanitize_value(k: Column, v: Column, dtype: T.DataType, redact_fields: bool, safe_only: bool, pii: set[str], safe: set[str],
+                    named) -> Column:
+    """A map value: redacted by its key's name, else like any field.  A value
+    that isn't text can't hold the mark and becomes null."""
+    inner = _sanitize_field(v, dtype, redact_fields, safe_only, pii, safe)
+    if not redact_fields:
+        return inner
+    mark = F.lit(C.REDACTED) if isinstance(dtype, T.StringType) else F.lit(None).cast(dtype)
+    return F.when(named(k, pii), mark).otherwise(inner)
+
+
 def sanitize(df: DataFrame, redact_fields: bool = True, safe_only: bool = False,
              pii: list[str] = C.PII_FIELDS, safe: list[str] = C.SAFE_FIELDS) -> DataFrame:
     """PII-named fields -> ``[REDACTED]`` (at any depth); strings with

@@ -215,13 +215,15 @@ def d15_error_bursts_5min(spark, d):
 
 
 @query("d15_volume_vs_trailing_mean", with_views("""
-WITH_ h AS (SELECT endpoint, date_trunc('hour', ts) AS hour, count(*) AS n FROM v3 GROUP BY ALL)
+WITH_ s AS (SELECT endpoint, date_trunc('hour', ts) AS hour, count(*) AS n FROM v3 GROUP BY ALL),
+grid AS (SELECT endpoint, unnest(generate_series(min(hour), (SELECT max(hour) FROM s), INTERVAL 1 HOUR)) AS hour FROM s GROUP BY endpoint),
+h AS (SELECT grid.endpoint, grid.hour, coalesce(s.n, 0) AS n FROM grid LEFT JOIN s ON s.endpoint = grid.endpoint AND s.hour = grid.hour)
 SELECT endpoint, strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, n,
   round(avg(n) OVER (PARTITION BY endpoint ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), 6) AS expected,
   coalesce(abs(n - avg(n) OVER (PARTITION BY endpoint ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
     <= 0.2 * avg(n) OVER (PARTITION BY endpoint ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), true)
     AS within_tolerance
-FROM h""", "v3").replace("\nWITH_ h AS", ",\nh AS"))
+FROM h""", "v3").replace("\nWITH_ s AS", ",\ns AS"))
 def d15_volume_vs_trailing_mean(spark, d):
     out = K.volume_anomalies(req_log(spark, d), "ts", ["endpoint"])
     return out.withColumn("hour", _ts_str("hour"))
@@ -239,6 +241,15 @@ def d16_winsorize_lineitem(spark, d):
                     F.round("l_extendedprice", 6).alias("l_extendedprice"))
 
 
+@query("d16_winsorize_with_nulls", """
+WITH v AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 > 0 THEN l_quantity END AS x FROM lineitem),
+q AS (SELECT quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM v)
+SELECT l_orderkey, l_linenumber, CASE WHEN x IS NOT NULL THEN round(least(greatest(x, lo), hi), 6) END AS x FROM v, q""")
+def d16_winsorize_with_nulls(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 3 > 0, F.col("l_quantity")).alias("x"))
+    return K.winsorize(li, ["x"]).select("l_orderkey", "l_linenumber", F.round("x", 6).alias("x"))
+
+
 @query("w10_audit_newest_purchases", with_views("""
 SELECT request_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, api_key, endpoint, latency_ms, status_code FROM v3
 WHERE endpoint = 'purchase' ORDER BY v3.ts DESC, request_id DESC LIMIT 100""", "v3"))

@@ -28,8 +28,8 @@ def m2_class_weights(spark, d):
 
 @query("m4_stratified_split_counts")
 def m4_stratified_split_counts(spark, d):
-    """Rows-only: exact ceil(20%) per class in test, repeatable by seed."""
-    s = M.stratified_split(training_table(spark, d), "label", "ra", 0.2)
+    """Rows-only: exact ceil(20%) of the rows per class in test, repeatable by seed."""
+    s = M.stratified_split(training_table(spark, d), "label", ["ra", "ano"], 0.2)
     return s.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -71,6 +71,18 @@ def s3_sanitize_nested_documents(spark, d):
                     F.col("meta.n_chars").alias("meta_n_chars"), "text")
 
 
+@query("s3_sanitize_map", f"""
+SELECT doc_id, '[REDACTED]' AS email, CASE WHEN {_any_pii_sql('text')} THEN {_redact_sql('text')} ELSE text END AS note,
+  CASE WHEN {_any_pii_sql('text')} THEN {_redact_sql('text')} ELSE text END AS first
+FROM documents""")
+def s3_sanitize_map(spark, d):
+    doc = table(spark, d, "documents")
+    nested = doc.select("doc_id", F.create_map(F.lit("Email"), F.col("source"), F.lit("note"), F.col("text")).alias("m"),
+                        F.array("text", "lang").alias("a"))
+    s = S.sanitize(nested)
+    return s.select("doc_id", F.col("m")["Email"].alias("email"), F.col("m")["note"].alias("note"), F.col("a")[0].alias("first"))
+
+
 @query("s4_safe_view_conversations", f"""
 SELECT turn, CASE WHEN NOT {_any_pii_sql('text')} AND length(text) < 50 THEN text END AS text
 FROM conversations""")

@@ -7,6 +7,7 @@ pass one in.  ``get_spark`` exists for tests, the bench and command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,11 +31,16 @@ _DEFAULTS = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "vireo", extra: dict | None = None) -> SparkSession:
-    master = master or os.environ.get("VIREO_MASTER", "local[8]")
-    b = SparkSession.builder.master(master).appName(app_name)
+    b = SparkSession.builder.appName(app_name)
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
-    b = b.config("spark.driver.memory", os.environ.get("VIREO_DRIVER_MEMORY", "16g"))
+    # under spark-submit (it opens the gateway) master and memory are its own
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    master = master or os.environ.get("VIREO_MASTER") or (None if submitted else "local[8]")
+    if master:
+        b = b.master(master)
+    if not submitted:
+        b = b.config("spark.driver.memory", os.environ.get("VIREO_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -49,10 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is always used as
-    is.  Only when it is unset (local tests) a scratch folder is created.
+    is.  Only when it is unset and the master is local (tests) a scratch folder
+    is created; on a cluster a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="vireo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

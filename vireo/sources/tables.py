@@ -6,7 +6,6 @@ overwrites.  Nothing is read through the driver.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +64,21 @@ def read_snapshots(spark: SparkSession, paths: dict[int, str], period_col: str =
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, URI or glob matches anything in its own file system."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 # IO3 ---------------------------------------------------------------------
 def read_labels(spark: SparkSession, path: str | None, schema: T.StructType = LABEL_SCHEMA) -> DataFrame:
-    """Labels from Parquet / CSV / JSONL; absent path or unknown suffix -> empty."""
-    if not path or not os.path.exists(path):
+    """Labels from Parquet / CSV / JSONL; absent path or unknown suffix -> empty.
+
+    ``path`` may be a URI or a glob; it is looked up in its own file system,
+    and every failure but "not found" is raised."""
+    if not path or not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     s = _suffix(path)
     if s == ".parquet":
@@ -82,21 +92,21 @@ def read_labels(spark: SparkSession, path: str | None, schema: T.StructType = LA
 
 # IO4 ---------------------------------------------------------------------
 def read_events(spark: SparkSession, store: str, start=None, end=None, limit: int | None = None,
-                ts_col: str = "ts", fmt: str = "parquet") -> DataFrame:
+                ts_col: str = "ts", fmt: str = "parquet", strict: bool = False) -> DataFrame:
     """Events from one table partitioned by ``dt`` (yyyy-MM-dd).
 
     The date range is a filter on the partition column, so Spark prunes
-    whole directories.  Unreadable files are skipped
-    (``spark.sql.files.ignoreCorruptFiles``).  ``limit`` keeps the earliest
+    whole directories.  Unreadable files of this read alone are skipped
+    (``strict=True`` raises instead).  ``limit`` keeps the earliest
     rows by timestamp, which is deterministic, unlike file order.
     """
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
-    r = spark.read.option("basePath", store)
+    skip = "false" if strict else "true"
+    r = spark.read.option("basePath", store).option("ignoreCorruptFiles", skip)
     if fmt == "both":
         # a store holding Parquet and CSV files side by side: read each by its
         # own reader (glob per format) and union by name
         pq = r.parquet(f"{store}/*/*.parquet")
-        cs = spark.read.option("basePath", store).option("header", "true").schema(pq.schema) \
+        cs = spark.read.option("basePath", store).option("ignoreCorruptFiles", skip).option("header", "true").schema(pq.schema) \
             .csv(f"{store}/*/*.csv")
         df = pq.unionByName(cs)
     else:

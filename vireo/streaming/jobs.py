@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,11 +38,17 @@ def file_stream(spark: SparkSession, path_glob: str, schema: T.StructType | None
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path_glob)
 
 
+#: triggers whose progress a query keeps (Spark's default forgets all but 100)
+PROGRESS_UPDATES = 1_000_000
+
+
 def run_available_now(df: DataFrame, path: str | None = None, checkpoint: str | None = None,
                       mode: str = "append", partition_by: list[str] | None = None, foreach_batch=None,
-                      timeout: int = 600) -> list:
-    """Run a stream over everything available now; returns its progress list."""
+                      timeout: int | None = None) -> list:
+    """Run a stream over everything available now; returns its progress list.
+    ``timeout`` (seconds) is off unless given; every trigger's progress is kept."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS_UPDATES))
     checkpoint = checkpoint or shared_path(spark, "ckpt")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None:
@@ -51,7 +58,7 @@ def run_available_now(df: DataFrame, path: str | None = None, checkpoint: str |
         if partition_by:
             w = w.partitionBy(*partition_by)
     q = w.start()
-    q.awaitTermination(timeout)
+    q.awaitTermination(timeout) if timeout else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish")
@@ -164,17 +171,17 @@ def _bucket_fn(capacity: float, refill: float, cost: float):
         else:
             tokens, last = capacity, None
         n = rej = 0
-        for pdf in pdfs:
-            for us in pdf["__us"].sort_values().to_numpy():
-                # events older than the last one seen (late files) refill nothing
-                if last is not None:
-                    tokens = min(capacity, tokens + refill * max(0, int(us) - last) / 1e6)
-                last = int(us) if last is None else max(last, int(us))
-                n += 1
-                if tokens >= cost:
-                    tokens -= cost
-                else:
-                    rej += 1
+        # time order over all chunks of the key, whatever the Arrow batch size
+        for us in np.sort(np.concatenate([pdf["__us"].to_numpy() for pdf in pdfs])).tolist():
+            # events older than the last one seen (late files) refill nothing
+            if last is not None:
+                tokens = min(capacity, tokens + refill * max(0, us - last) / 1e6)
+            last = us if last is None else max(last, us)
+            n += 1
+            if tokens >= cost:
+                tokens -= cost
+            else:
+                rej += 1
         state.update((float(tokens), int(last) if last is not None else 0))
         yield pd.DataFrame({"key": [str(key[0])], "n_requests": [n], "n_rejected": [rej], "tokens": [tokens]})
     return fn
