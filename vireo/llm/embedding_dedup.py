@@ -24,10 +24,13 @@ from vireo.llm.common import components, ship_package, stage
 COSINE = 0.95
 #: vectors the centres are fitted on (bounded), their number, and the iterations
 FIT_ROWS = 20_000
-VECTORS_PER_CELL = 512
+VECTORS_PER_CELL = 2048
 MAX_CELLS = 1024
 FIT_ROUNDS = 8
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 16_384
+#: rows placed, and rows multiplied, at once
+PLACE_ROWS = 500
+PRODUCT_ROWS = 512
 LINKS = "key long, n_links long, label long"
 
 
@@ -72,13 +75,15 @@ def fit_centres(units: DataFrame, fit_rows: int = FIT_ROWS, per_cell: int = VECT
 
 
 def assign_cells(rows: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
-    """(key, m, v, cell, home): a row for the nearest cell and for each cell that it may have partners in."""
+    """(key, m, v, cell, home): a row for the nearest cell and, as a guest, for
+    each cell of a lower number that may hold partners; a pair across a border
+    thus meets once, in the lower cell."""
     ship_package(rows.sparkSession)
     reach = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
     apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
 
     def cells(frames):
-        for f in frames:
+        for f in (g.iloc[at:at + PLACE_ROWS] for g in frames for at in range(0, len(g), PLACE_ROWS)):
             ok = f["v"].map(len) == centres.shape[1]
             other = f[~ok]
             if len(other):  # vectors of another length: a cell per length
@@ -90,7 +95,8 @@ def assign_cells(rows: DataFrame, centres: np.ndarray, cosine: float) -> DataFra
             dots = np.stack(f["v"].to_numpy()) @ centres.T
             own = dots.argmax(axis=1)
             gap = dots[np.arange(len(f)), own][:, None] - dots
-            row, cell = np.nonzero(gap <= reach * apart[own] + 1e-9)
+            number = np.arange(len(centres))
+            row, cell = np.nonzero((number == own[:, None]) | (number < own[:, None]) & (gap <= reach * apart[own] + 1e-9))
             part = f.iloc[row]
             yield pd.DataFrame({"key": part["key"].to_numpy(), "m": part["m"].to_numpy(), "v": part["v"].to_numpy(),
                                 "cell": cell.astype("int64"), "home": own[row] == cell})
@@ -99,32 +105,31 @@ def assign_cells(rows: DataFrame, centres: np.ndarray, cosine: float) -> DataFra
 
 
 def _join_block(f: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links between the rows of two sides (or of one).  A pair is counted in the
-    home cell of the member with the smaller key, so it counts once."""
+    """Links between the rows of two sides (or of one), by products of
+    ``PRODUCT_ROWS`` rows at a time.  Two guests are not compared here: they
+    meet in a cell where one of them is at home."""
     f = f.sort_values("key")
     i, j = int(f["i"].iloc[0]), int(f["j"].iloc[0])
     x = np.stack(f["v"].to_numpy())
     key, many, home, side = (f[c].to_numpy() for c in ("key", "m", "home", "side"))
     links = np.zeros(len(f), dtype=np.int64)
     label = np.arange(len(f))
-    if i == j:
-        a = b = np.arange(len(f))
-    else:
-        a, b = np.flatnonzero(side == i), np.flatnonzero(side == j)
-    if len(a) and len(b):
-        hit = x[a] @ x[b].T >= cosine
-        first = np.where(key[a][:, None] < key[b][None, :], home[a][:, None], home[b][None, :])
-        hit &= first & (key[a][:, None] != key[b][None, :])
-        links[a] += hit @ many[b]
-        if i != j:
-            links[b] += many[a] @ hit
-        while True:  # smallest row reachable inside the block
-            new = label.copy()
-            np.minimum.at(new, a, np.where(hit, label[b][None, :], len(f)).min(axis=1))
-            np.minimum.at(new, b, np.where(hit, new[a][:, None], len(f)).min(axis=0))
-            if (new == label).all():
-                break
-            label = new
+    a, b = (label, label) if i == j else (np.flatnonzero(side == i), np.flatnonzero(side == j))
+    counted, changed = False, len(a) > 0 and len(b) > 0
+    while changed:  # labels fall to the smallest row reachable inside the block
+        changed = False
+        before = label.copy()
+        for at in range(0, len(a), PRODUCT_ROWS):
+            part = a[at:at + PRODUCT_ROWS]
+            hit = x[part] @ x[b].T >= cosine
+            hit &= (home[part][:, None] | home[b][None, :]) & (key[part][:, None] != key[b][None, :])
+            if not counted:
+                links[part] += hit @ many[b]
+                if i != j:
+                    links[b] += many[part] @ hit
+            label[part] = np.minimum(label[part], np.where(hit, label[b][None, :], len(f)).min(axis=1))
+            label[b] = np.minimum(label[b], np.where(hit, label[part][:, None], len(f)).min(axis=0))
+        counted, changed = True, bool((label != before).any())
     some = links > 0
     return pd.DataFrame({"key": key[some], "n_links": links[some], "label": key[label[some]]})
 
