@@ -376,13 +376,24 @@ def test_near_vectors(spark, block):
     low = smallest_reachable(rows, links)
     want = Counter((d, len(links[i]), low[i] if links[i] else d, d == (low[i] if links[i] else d)) for i, (d, _) in enumerate(rows))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(0)).withColumn("cell", F.lit(0))
-    got = near_vectors(df, block_rows=block, per_cell=10).collect()
+    got = near_vectors(df, block_rows=block, per_cell=10, margin=None).collect()
     assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
     assert near_vectors(df.where("vec_id = -1")).count() == 0
     if block == 5:
         assert near_dedup(df).columns == df.columns
 
 
+def test_near_vectors_recall(spark):
+    from vireo.llm.embedding_dedup import near_vectors
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = near_vectors(df, per_cell=25).collect()
+    e = {r.vec_id: np.array(r.embedding, dtype=float) for r in df.collect() if r.embedding is not None}
+    u = np.array([v / np.linalg.norm(v) for v in e.values()])
+    hit = u @ u.T >= 0.95
+    np.fill_diagonal(hit, False)
+    assert sum(r.n_links for r in rows) >= 0.99 * hit.sum()
+
+
 # --- components ----------------------------------------------------------------------
 
 def test_components(spark):
