@@ -20,5 +20,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     # Importing the modules registers their queries.
     from vireo.plans import (q_prepare, q_quality, q_features, q_joins, q_profile,  # noqa: F401
-                             q_drift, q_evaluate, q_privacy, q_explore, q_kpi, q_stream, q_ml, q_io)
+                             q_drift, q_evaluate, q_privacy, q_explore, q_kpi, q_stream, q_ml, q_io, q_jobs)
     return REGISTRY

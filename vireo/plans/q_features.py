@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vireo.operators import features as FE
 from vireo.operators.explore import rate_by_group
-from vireo.operators.prepare import to_wide
+from vireo.operators.prepare import periods, to_wide
 from vireo.plans.bindings import subject_year, with_views
 from vireo.plans.catalog import query
 from vireo.plans.modeling import MODELING_SQL, composite_sql_std, modeling_long, modeling_table
@@ -64,16 +64,14 @@ def f3_lag_deltas(spark, d):
     return out.select("ra", "ano", *[F.round(f"delta_{c}", 6).alias(f"delta_{c}") for c in ["ian", "ida", "ieg"]])
 
 
-YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
-
-
 @query("f3_wide_period_deltas", with_views("""
 SELECT ra, round(max(CASE WHEN ano = 2000 THEN ian END) - max(CASE WHEN ano = 1999 THEN ian END), 6) AS delta_ian_99_00,
   round(max(CASE WHEN ano = 2000 THEN ida END) - max(CASE WHEN ano = 1999 THEN ida END), 6) AS delta_ida_99_00,
   round(max(CASE WHEN ano = 2000 THEN ieg END) - max(CASE WHEN ano = 1999 THEN ieg END), 6) AS delta_ieg_99_00
 FROM v1 GROUP BY ra""", "v1"))
 def f3_wide_period_deltas(spark, d):
-    wide = to_wide(subject_year(spark, d), "ra", "ano", ["ian", "ida", "ieg"], YEARS)
+    v1 = subject_year(spark, d)
+    wide = to_wide(v1, "ra", "ano", ["ian", "ida", "ieg"], periods(v1, "ano"))
     out = FE.add_period_deltas(wide, ["ian", "ida", "ieg"], "1999", "2000")
     return out.select("ra", *[F.round(c, 6).alias(c) for c in out.columns if c.startswith("delta_")])
 

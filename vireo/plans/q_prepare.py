@@ -136,7 +136,7 @@ def p7_binary_target(spark, d):
     return P.add_binary_target(v1, "defasagem", "em_risco").select("ra", "ano", "em_risco")
 
 
-YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
+YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]  # of the driver tables; names the oracle's columns
 
 
 def _wide_sql():
@@ -153,7 +153,7 @@ def p8_wide_snapshot_table(spark, d):
     v1 = subject_year(spark, d)
     allowed = P.select_allowed_suffixed(v1, "x")  # names only: which columns are allowed
     cols = [c[:-2] for c in allowed.columns if c.endswith("_x") and c[:-2] in ("fase", "ian", "ida", "ieg")]
-    return P.to_wide(v1, "ra", "ano", cols, YEARS)
+    return P.to_wide(v1, "ra", "ano", cols, P.periods(v1, "ano"))
 
 
 @query("p13_risk_label_band", with_views("""

@@ -28,9 +28,10 @@ def _suffix(path: str) -> str:
 
 # IO1 ---------------------------------------------------------------------
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               fmt: str | None = None) -> DataFrame:
+               fmt: str | None = None, infer: bool = True) -> DataFrame:
     """Parquet or CSV by suffix (or ``fmt`` for suffix-less folders);
-    anything else raises ``ValueError``."""
+    anything else raises ``ValueError``.  A CSV without a schema is read twice
+    to infer one, or once as text with ``infer=False``."""
     s = f".{fmt}" if fmt else _suffix(path)
     if s == ".parquet":
         r = spark.read
@@ -39,14 +40,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         return r.parquet(path)
     if s == ".csv":
         r = spark.read.option("header", "true")
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
+        r = r.schema(schema) if schema is not None else r.option("inferSchema", str(infer).lower())
         return r.csv(path)
     raise ValueError(f"unsupported table format: {path}")
 
 
 # IO2 ---------------------------------------------------------------------
 def read_snapshots(spark: SparkSession, paths: dict[int, str], period_col: str = "ano",
-                   normalize=None, fmt: str | None = None) -> DataFrame:
+                   normalize=None, fmt: str | None = None, infer: bool = True) -> DataFrame:
     """One table per period, unioned by name into one long table.
 
     ``normalize`` (e.g. ``normalize_columns``) runs per snapshot before the
@@ -54,7 +55,7 @@ def read_snapshots(spark: SparkSession, paths: dict[int, str], period_col: str =
     """
     out = None
     for year, path in sorted(paths.items()):
-        df = read_table(spark, path, fmt=fmt)
+        df = read_table(spark, path, fmt=fmt, infer=infer)
         if normalize is not None:
             df = normalize(df)
         df = df.withColumn(period_col, F.lit(int(year)))
