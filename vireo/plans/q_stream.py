@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vireo.operators.drift import psi, score_bins
 from vireo.operators.evaluate import confusion_counts, metrics_from_counts
 from vireo.plans.bindings import req_log, scored, table, with_views
-from vireo.plans.catalog import query
+from vireo.plans.catalog import REGISTRY, query
 from vireo.streaming import jobs as W
 
 
@@ -68,42 +68,59 @@ def _events_stream(spark, d):
     return W.file_stream(spark, f"{d}/events*.parquet")
 
 
-@query("w2_minute_metrics_stream")
+@query("w2_minute_metrics_stream", with_views(f"""
+SELECT * FROM ({MINUTE_SQL}) m
+WHERE CAST(window_start AS TIMESTAMP) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE""", "v3"))
 def w2_minute_metrics_stream(spark, d):
-    """Streaming twin of w2 (rows-only; equality with the batch form is a test)."""
+    """Streaming twin of w2: the windows that the watermark has closed."""
     s = _events_stream(spark, d).select(
         F.col("ts"), F.col("value").alias("latency_ms"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
     m = W.minute_metrics(s, "ts", "latency_ms", "status_code", watermark="2 minutes")
     out = W.shared_path(spark, "w2")
     W.run_available_now(m, out, mode="append")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(
+        _ts_str("window_start").alias("window_start"), "n", "n_success", "n_errors",
+        *[F.round(c, 6).alias(c) for c in ["mean_latency", "p50", "p95", "p99"]])
 
 
-@query("w4_token_bucket_stream")
+# a bucket small enough that the keys of the event table run it dry
+BUCKET, REFILL = 2.0, 0.000005
+
+
+@query("w4_token_bucket_stream", f"""
+WITH RECURSIVE e AS (
+  SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+r AS (SELECT key, i, us, CAST({BUCKET} - 1 AS DOUBLE) AS tokens, 0 AS rejected FROM e WHERE i = 1
+  UNION ALL
+  SELECT key, i, us, CASE WHEN t >= 1 THEN t - 1 ELSE t END, CAST(t < 1 AS INTEGER)
+  FROM (SELECT e.key, e.i, e.us, least(CAST({BUCKET} AS DOUBLE), r.tokens + CAST({REFILL} AS DOUBLE) * (e.us - r.us) / 1000000.0::DOUBLE) AS t
+        FROM r JOIN e ON e.key = r.key AND e.i = r.i + 1))
+SELECT key, count(*) AS n_requests, CAST(sum(rejected) AS BIGINT) AS n_rejected FROM r GROUP BY key""")
 def w4_token_bucket_stream(spark, d):
-    """Exact token bucket per API key over the event stream (rows-only)."""
+    """Exact token bucket per API key over the event stream."""
     s = _events_stream(spark, d).select(F.col("user_id").alias("api_key"), "ts")
-    tb = W.token_bucket(s, "api_key", "ts", capacity=60.0, refill=1.0)
+    tb = W.token_bucket(s, "api_key", "ts", capacity=BUCKET, refill=REFILL)
     out = W.shared_path(spark, "w4")
     W.run_available_now(tb, out, mode="append")
     r = spark.read.parquet(out)
     return r.groupBy("key").agg(F.sum("n_requests").alias("n_requests"), F.sum("n_rejected").alias("n_rejected"))
 
 
-@query("w5_inference_log_stream")
+@query("w5_inference_log_stream", "SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY ALL")
 def w5_inference_log_stream(spark, d):
-    """Events logged by date partition through a stream (rows-only)."""
+    """Events logged by date partition through a stream."""
     s = _events_stream(spark, d).withColumnRenamed("user_id", "id")
     out = W.shared_path(spark, "w5")
     W.run_available_now(W.inference_log(s, "ts"), out, partition_by=["dt"])
     return spark.read.parquet(out).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("w7_daily_score_psi_stream")
+@query("w7_daily_score_psi_stream", f"""SELECT day, psi FROM ({REGISTRY["w7_daily_score_psi_batch"][1]}) b
+WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def w7_daily_score_psi_stream(spark, d):
     """Daily score bins counted by a watermarked stream, PSI against the
-    first three weeks (rows-only; equals w7_daily_score_psi_batch)."""
+    first three weeks: the closed days of w7_daily_score_psi_batch."""
     from vireo.plans.q_drift import SPLIT
     s = _events_stream(spark, d).where(F.col("ts") >= F.lit(SPLIT)) \
         .select("ts", (F.col("value") / (F.col("value") + 50)).alias("score"))
@@ -121,45 +138,59 @@ def w7_daily_score_psi_stream(spark, d):
     return p.select("day", F.round("psi", 4).alias("psi"))
 
 
-@query("w8_label_join_stream")
+@query("w8_label_join_stream", with_views("""
+SELECT model, CAST(sum(CAST(label = 1 AND risk_score >= 0.5 AS INTEGER)) AS BIGINT) AS tp,
+  CAST(sum(CAST(label = 0 AND risk_score >= 0.5 AS INTEGER)) AS BIGINT) AS fp,
+  CAST(sum(CAST(label = 1 AND risk_score < 0.5 AS INTEGER)) AS BIGINT) AS fn,
+  CAST(sum(CAST(label = 0 AND risk_score < 0.5 AS INTEGER)) AS BIGINT) AS tn
+FROM v2 JOIN orders ON o_orderkey = request_id WHERE o_orderstatus <> 'O' GROUP BY model""", "v2"))
 def w8_label_join_stream(spark, d):
-    """Late labels as a stream joined to static predictions; metrics per
-    micro-batch are appended to a table (rows-only)."""
+    """Late labels as a stream joined to the predictions stored by period;
+    counts per micro-batch are appended to a table, keyed by batch so that a
+    batch replayed after a failure replaces its own rows.  Each batch reads the
+    periods its labels name and no others."""
     o = table(spark, d, "orders")
-    lab_dir = W.shared_path(spark, "w8-labels")
+    lab_dir, pred_dir = W.shared_path(spark, "w8-labels"), W.shared_path(spark, "w8-predictions")
     o.where(F.col("o_orderstatus") != "O").select(
         F.col("o_orderkey").alias("request_id"), (F.col("o_orderstatus") == "F").cast("int").alias("label"),
-        F.year("o_orderdate").alias("period")).write.partitionBy("period").parquet(lab_dir)
-    labels = W.file_stream(spark, f"{lab_dir}/*/*.parquet",
-                           schema=spark.read.parquet(lab_dir).drop("period").schema, max_files=4)
-    preds = scored(spark, d).drop("label")
+        F.year("o_orderdate").alias("period")).repartition("period").write.parquet(lab_dir)
+    scored(spark, d).drop("label").repartition("period").write.partitionBy("period").parquet(pred_dir)
+    labels = W.file_stream(spark, f"{lab_dir}/*.parquet", max_files=2)
     out = W.shared_path(spark, "w8-metrics")
 
     def per_batch(bdf, bid):
-        m = metrics_from_counts(confusion_counts(bdf, ["model"], "label", (F.col("risk_score") >= 0.5).cast("int")))
-        m.withColumn("batch_id", F.lit(bid)).write.mode("append").parquet(out)
+        joined = W.label_join(bdf, bdf.sparkSession.read.parquet(pred_dir), ("request_id", "period"))
+        m = metrics_from_counts(confusion_counts(joined, ["model"], "label", (F.col("risk_score") >= 0.5).cast("int")))
+        m.write.mode("overwrite").parquet(f"{out}/batch_id={bid}")
 
-    W.run_available_now(W.label_join(labels, preds), foreach_batch=per_batch)
+    W.run_available_now(labels, foreach_batch=per_batch)
     r = spark.read.parquet(out)
-    return r.groupBy("model").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
-                                  F.sum("tn").alias("tn"), F.countDistinct("batch_id").alias("n_batches"))
+    return r.groupBy("model").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])
 
 
-@query("w9_late_rows_dropped")
+@query("w9_late_rows_dropped", """
+WITH e AS (SELECT ts, date_trunc('hour', ts) + INTERVAL 1 HOUR AS e, ts < TIMESTAMP '2024-01-15' AS late FROM events),
+m AS (SELECT max(ts) - INTERVAL 1 HOUR AS w FROM e)
+SELECT count(*) FILTER (WHERE NOT late AND e.e <= w) AS rows_in_windows, count(*) FILTER (WHERE e.e > w) AS rows_open,
+  count(*) FILTER (WHERE ts IS NULL) AS rows_without_time, count(*) FILTER (WHERE late AND e.e <= w) AS rows_dropped_late
+FROM e, m""")
 def w9_late_rows_dropped(spark, d):
-    """Rows arriving behind the watermark are counted, not silently lost
-    (rows-only).  The second half of January is written first and the first
-    half afterwards, so the older rows arrive after the watermark passed."""
-    e = table(spark, d, "events")
-    src = W.shared_path(spark, "w9-src")
-    cut = F.lit("2024-01-15")
+    """Rows behind the watermark are counted, not silently lost: the second
+    half of the month is streamed first; the first half arrives when the same
+    stream runs again, after the watermark has passed it."""
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    src, out, ckpt = (W.shared_path(spark, n) for n in ("w9-src", "w9", "w9-ckpt"))
+    cut = F.lit("2024-01-15").cast("timestamp")
+
+    def run():
+        s = W.file_stream(spark, f"{src}/*/*.parquet", schema=e.schema)
+        g = W.minute_metrics(s.select("ts", F.col("value").alias("latency_ms"), F.lit(200).alias("status_code")),
+                             "ts", "latency_ms", "status_code", length="1 hour", watermark="1 hour")
+        return W.run_available_now(g, out, checkpoint=ckpt)
+
     e.where(F.col("ts") >= cut).write.parquet(f"{src}/a")
+    progress = run()
     e.where(F.col("ts") < cut).write.parquet(f"{src}/b")
-    s = W.file_stream(spark, f"{src}/*/*.parquet", schema=e.schema, max_files=1000)
-    g = W.minute_metrics(s.select("ts", F.col("value").alias("latency_ms"), F.lit(200).alias("status_code")),
-                         "ts", "latency_ms", "status_code", length="1 hour", watermark="1 hour")
-    out = W.shared_path(spark, "w9")
-    prog = W.run_available_now(g, out)
-    dropped = W.dropped_by_watermark(prog)
-    kept = spark.read.parquet(out).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_windows"))
-    return kept.withColumn("rows_dropped_late", F.lit(dropped))
+    progress += run()
+    return W.watermark_account(spark.read.schema(e.schema).parquet(f"{src}/*"), spark.read.parquet(out), "ts",
+                               W.final_watermark(progress), "1 hour")

@@ -31,11 +31,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def file_stream(spark: SparkSession, path_glob: str, schema: T.StructType | None = None,
-                max_files: int = 1) -> DataFrame:
-    """A file source over Parquet files matching ``path_glob``."""
+                max_files: int | None = None) -> DataFrame:
+    """A file source over Parquet files matching ``path_glob``; a trigger takes
+    all files that are there, or at most ``max_files`` of them."""
     if schema is None:
         schema = spark.read.parquet(path_glob).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path_glob)
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path_glob)
 
 
 #: triggers whose progress a query keeps (Spark's default forgets all but 100)
@@ -230,13 +234,38 @@ def label_join(labels_stream: DataFrame, predictions: DataFrame, keys=("request_
 
 
 # W9 ------------------------------------------------------------------------
-def dropped_by_watermark(progress: list) -> int:
-    """Rows the watermark dropped as late, summed over the stream progress."""
+def final_watermark(progress: list):
+    """The watermark of the last trigger, as ISO text; None without one."""
+    marks = [w for p in progress if (w := _progress(p).get("eventTime", {}).get("watermark"))]
+    return max(marks, default=None)
+
+
+def _progress(p) -> dict:
     import json
-    total = 0
-    for p in progress:
-        if not isinstance(p, dict):
-            p = json.loads(p.json) if hasattr(p, "json") else json.loads(str(p))
-        for op in (p.get("stateOperators") or []):
-            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-    return total
+    return p if isinstance(p, dict) else json.loads(p.json)
+
+
+def watermark_account(source: DataFrame, windows: DataFrame, ts: str, watermark: str, length: str) -> DataFrame:
+    """Every row of a windowed stream's input accounted for, as events: in an
+    emitted window, in a window still open, without a time, or dropped as late
+    (the rest).  ``windows`` is the emitted table with its counts ``n``; a
+    window that ends after the final ``watermark`` is open and drops nothing.
+
+    (The state operators' own counter counts partially aggregated rows.)"""
+    end = F.window(F.col(ts), length)["end"]
+    per = (source.where(F.col(ts).isNotNull()).groupBy(end.alias("e")).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("timed"),
+                F.coalesce(F.sum(F.when(F.col("e") > F.lit(watermark).cast("timestamp"), F.col("n"))), F.lit(0)).alias("rows_open")))
+    nulls = source.agg(F.count_if(F.col(ts).isNull()).alias("rows_without_time"))
+    done = windows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_windows"))
+    from vireo.operators.kpi import combine_one_row
+    return combine_one_row(per, nulls, done).select(
+        "rows_in_windows", "rows_open", "rows_without_time",
+        (F.col("timed") - F.col("rows_open") - F.col("rows_in_windows")).alias("rows_dropped_late"))
+
+
+def dropped_by_watermark(progress: list) -> int:
+    """Rows the watermark dropped as late by the state operators' counters,
+    summed over the stream progress (rows after partial aggregation)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
+               for p in progress for op in (_progress(p).get("stateOperators") or []))
