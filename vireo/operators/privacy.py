@@ -7,6 +7,8 @@ walking the schema once on the driver and emitting one projection.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,7 +197,51 @@ def retained_rows(df: DataFrame, ts: str, as_of: str, days: int) -> DataFrame:
     return df.where(t.isNull() | (t >= cutoff))
 
 
+def run_retention(spark, store: str, as_of: str, days: int, ts: str = "ts", dt: str = "dt",
+                  dry_run: bool = True) -> DataFrame:
+    """S8 over a store partitioned by date: one row per partition with its
+    rows (total, removed, retained) and what is done with it.
+
+    A partition whose rows are all older than the cutoff is dropped as a
+    folder; one that the cutoff cuts through is rewritten (staged first in a
+    folder of its own, which a failed run leaves); all others stay untouched.
+    Rows without a time stay.  Nothing changes unless ``dry_run=False``.  The
+    plan holds one row per partition, so it is bounded by the calendar."""
+    df = spark.read.option("basePath", store).parquet(store)
+    rep = retention_report(df, ts, as_of, days, [dt])
+    rep = rep.withColumn("action", F.when(F.col("removed") == 0, "keep").when(F.col("retained") == 0, "drop").otherwise("rewrite"))
+    rows = [tuple(r) for r in rep.orderBy(dt).collect()]
+    plan = spark.createDataFrame(rows, rep.schema)
+    if dry_run:
+        return plan
+    cut = [r[0] for r in rows if r[4] == "rewrite"]
+    if cut:
+        staged = f"{store.rstrip('/')}__retained-{uuid.uuid4().hex}"
+        kept = retained_rows(df.where(F.col(dt).isin(cut)), ts, as_of, days)
+        kept.write.partitionBy(dt).parquet(staged)
+        (spark.read.option("basePath", staged).parquet(staged)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(dt).parquet(store))
+        _delete(spark, staged)
+    for r in rows:
+        if r[4] == "drop":
+            _delete(spark, f"{store.rstrip('/')}/{dt}={r[0]}")
+    return plan
+
+
+def _delete(spark, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 # S9 / S10 ------------------------------------------------------------------
+def rows_by_file_age(df: DataFrame, as_of, days: int = 0) -> DataFrame:
+    """Rows in files last written before the cutoff and in newer ones (report
+    only); ``df`` is read from files and not transformed further."""
+    cutoff = F.to_timestamp(F.lit(as_of)) - F.make_dt_interval(F.lit(days))
+    return (df.select((F.col("_metadata.file_modification_time") < cutoff).alias("expired"))
+            .groupBy("expired").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def file_ages(spark, path: str, as_of: str, days: int) -> DataFrame:
     """Files older than the cutoff by modification time (report only)."""
     df = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length")
@@ -204,7 +250,19 @@ def file_ages(spark, path: str, as_of: str, days: int) -> DataFrame:
 
 
 def file_hashes(spark, path: str) -> DataFrame:
-    """sha256 per file, computed by the executors that read the file."""
+    """sha256 per file, computed by the executors that read the file (a file
+    is one value there: at most 2 GB; larger tables by ``content_hashes``)."""
     df = spark.read.format("binaryFile").load(path)
     return df.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"),
                      "length")
+
+
+def content_hashes(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
+    """(name, sha256) per value of column ``name``: the digest of the rows in
+    it whatever their order or their files, of any size.  Every row gives 60
+    bits of the MD5 of its values (as text, nulls marked); their sum and the
+    number of rows are hashed, so rows combine before the shuffle."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(_q(c)).cast("string"), F.lit("\\N")) for c in cols])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    g = df.groupBy(F.col(_q(name)).cast("string").alias("name")).agg(F.sum(bits).alias("s"), F.count(F.lit(1)).alias("n"))
+    return g.select("name", F.sha2(F.concat_ws(":", F.col("s").cast("string"), F.col("n").cast("string")), 256).alias("sha256"))

@@ -90,12 +90,3 @@ def a12_extract_scores(spark, d):
     agg = A.request_aggregate(li, "l_orderkey", ["l_quantity"], "risk_score", digits=12)
     s = extract_scores(agg)
     return s.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
-
-
-@query("s9_file_ages")
-def s9_file_ages(spark, d):
-    """Rows-only: table files older than a cutoff by modification time."""
-    from vireo.operators.privacy import file_ages
-    f = file_ages(spark, f"{d}/*.parquet", "2100-01-01", 30)
-    return f.agg(F.count(F.lit(1)).alias("n_files"), F.count_if("expired").alias("n_expired"),
-                 F.sum("length").alias("bytes"))

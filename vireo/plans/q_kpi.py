@@ -177,10 +177,24 @@ def d11_subject_folds(spark, d):
     return f.groupBy("fold").agg(F.countDistinct("ra").alias("n_subjects"), F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("d13_retrain_triggers")
+def _triggers_sql():
+    from vireo.plans.catalog import REGISTRY
+    return f"""
+WITH daily AS (SELECT * FROM ({REGISTRY["w7_daily_score_psi_batch"][1]}) a),
+perf AS (SELECT * FROM ({REGISTRY["e13_performance_drift_by_period"][1]}) b),
+red AS (SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island FROM daily WHERE status = 'red'),
+t AS (SELECT (SELECT coalesce(max(psi), 0.0) FROM daily) AS max_psi,
+  CAST((SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM red GROUP BY island)) AS BIGINT) AS max_red_streak,
+  (SELECT min(recall) FROM perf WHERE status <> 'insufficient_data') AS min_recall, (SELECT count(*) FROM labels) AS n_new_labels)
+SELECT *, psi_trigger OR streak_trigger OR recall_trigger OR label_trigger AS retrain
+FROM (SELECT *, max_psi >= 0.25 AS psi_trigger, max_red_streak > 7 AS streak_trigger,
+  coalesce(min_recall < 0.65, false) AS recall_trigger, n_new_labels > 500 AS label_trigger FROM t)"""
+
+
+@query("d13_retrain_triggers", _triggers_sql())
 def d13_retrain_triggers(spark, d):
-    """Rows-only: daily score PSI streaks, recall floor per model-period,
-    volume of new labels."""
+    """Daily score PSI streaks, recall floor per model-period, volume of new
+    labels."""
     from vireo.operators.evaluate import performance_drift
     from vireo.plans.q_drift import _windows
     from vireo.plans.q_evaluate import _late_labels

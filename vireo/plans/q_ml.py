@@ -26,9 +26,12 @@ def m2_class_weights(spark, d):
     return w.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), 6).alias("weight"))
 
 
-@query("m4_stratified_split_counts")
+@query("m4_stratified_split_counts", with_views("""
+SELECT is_test, label, CASE WHEN is_test THEN t ELSE n - t END AS n
+FROM (SELECT em_risco AS label, count(*) AS n, CAST((count(*) + 4) // 5 AS BIGINT) AS t FROM m GROUP BY em_risco),
+  (VALUES (true), (false)) s(is_test)""", "v1", ctes=[MODELING_SQL]))
 def m4_stratified_split_counts(spark, d):
-    """Rows-only: exact ceil(20%) of the rows per class in test, repeatable by seed."""
+    """Exactly ceil(20%) of the rows per class in test, repeatable by seed."""
     s = M.stratified_split(training_table(spark, d), "label", ["ra", "ano"], 0.2)
     return s.groupBy("is_test", "label").agg(F.count(F.lit(1)).alias("n"))
 
@@ -56,14 +59,14 @@ def m6_model_selection_report(spark, d):
 @query("m8_batch_scoring")
 def m8_batch_scoring(spark, d):
     """Rows-only: fit the linear candidate on periods before the last and
-    score the last period (aligned to the training signature)."""
+    score the rows of every period (aligned to the training signature)."""
     df = training_table(spark, d)
     last = df.agg(F.max("ano")).first()[0]
     train = M.balanced_weights(df.where(F.col("ano") < last), "label")
     est = M.candidates(train.count())["logreg"]
     model = M.fit(train, NUMERIC, CATEGORICAL, est, calibration="sigmoid", key="ra")
     sig = {**{c: "double" for c in NUMERIC}, "c_mktsegment": "string"}
-    return M.score(df.where(F.col("ano") == last), model, 0.5, "v1", sig, keep=["ra", "ano"])
+    return M.score(df, model, 0.5, "v1", sig, keep=["ra", "ano"])
 
 
 @query("w6_streaming_score")

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from vireo import config as C
 from vireo.operators import privacy as S
-from vireo.operators.joins import verify_hashes, verify_summary
+from vireo.operators.joins import verify_hashes
 from vireo.plans.bindings import req_log, table, with_views
 from vireo.plans.catalog import query
+from vireo.sources.tables import append_events
+from vireo.streaming.jobs import shared_path
 
 
 def _scan_sql(tbl: str, col: str, by: str) -> str:
@@ -136,9 +138,51 @@ def s8_retention_report_events(spark, d):
     return S.retention_report(table(spark, d, "events"), "ts", "2024-01-31", 14, ["event_type"])
 
 
-@query("s10_file_hashes_verified")
+_KEEP = "(ts IS NULL OR ts >= TIMESTAMP '2024-01-31 06:00:00' - INTERVAL 14 DAY)"
+
+
+@query("s8_retention_run", f"""
+SELECT dt, count(*) AS total, count(*) FILTER (WHERE NOT {_KEEP}) AS removed, count(*) FILTER (WHERE {_KEEP}) AS retained,
+  CASE WHEN count(*) FILTER (WHERE NOT {_KEEP}) = 0 THEN 'keep' WHEN count(*) FILTER (WHERE {_KEEP}) = 0 THEN 'drop'
+       ELSE 'rewrite' END AS action, count(*) FILTER (WHERE {_KEEP}) AS n_after
+FROM (SELECT ts, CAST(ts AS DATE) AS dt FROM events) GROUP BY dt""")
+def s8_retention_run(spark, d):
+    """A store by date cleaned in earnest: the rows found in it afterwards."""
+    store = shared_path(spark, "retention")
+    append_events(table(spark, d, "events"), store)
+    plan = S.run_retention(spark, store, "2024-01-31 06:00:00", 14, dry_run=False)
+    left = spark.read.parquet(store).groupBy("dt").agg(F.count(F.lit(1)).alias("n_after"))
+    return plan.join(left, "dt", "left").withColumn("n_after", F.coalesce("n_after", F.lit(0)))
+
+
+@query("s9_file_ages", "SELECT ts < TIMESTAMP '2024-01-15' AS expired, count(*) AS n_rows FROM events GROUP BY ALL")
+def s9_file_ages(spark, d):
+    """Rows in files older than a cutoff that lies between two appends."""
+    e = table(spark, d, "events")
+    store = shared_path(spark, "ages")
+    cut = F.lit("2024-01-15")
+    append_events(e.where(F.col("ts") < cut), store)
+    first = spark.read.parquet(store).agg(F.max("_metadata.file_modification_time") + F.expr("INTERVAL 1 MILLISECOND")).first()[0]
+    append_events(e.where(F.col("ts") >= cut), store)
+    return S.rows_by_file_age(spark.read.parquet(store), first)
+
+
+_ROW = ("concat_ws('|', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), event_type, props)")
+
+
+@query("s10_file_hashes_verified", f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS name,
+  sha256(CAST(sum(CAST('0x' || substr(md5({_ROW}), 1, 15) AS BIGINT)) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR)) AS expected,
+  CAST(ts AS DATE) <> DATE '2024-01-10' AS ok
+FROM events GROUP BY CAST(ts AS DATE)""")
 def s10_file_hashes_verified(spark, d):
-    """Hashes of the table files, verified against themselves (rows-only)."""
-    h = S.file_hashes(spark, f"{d}/*.parquet")
-    checked = verify_hashes(h.select("name", "sha256"), h.select("name", "sha256"))
-    return verify_summary(checked)
+    """Hashes of the event table by day against a store of it by day, in which
+    the rows of one day have been changed."""
+    e = table(spark, d, "events")
+    store = shared_path(spark, "hashes")
+    changed = F.when(F.to_date("ts") == F.lit("2024-01-10"), F.col("user_id") + 1).otherwise(F.col("user_id"))
+    append_events(e.withColumn("user_id", changed), store)
+    cols = ["event_id", "user_id", "event_type", "props"]
+    checked = verify_hashes(S.content_hashes(e.withColumn("dt", F.to_date("ts")), "dt", cols),
+                            S.content_hashes(spark.read.parquet(store), "dt", cols))
+    return checked.select("name", "expected", "ok")
