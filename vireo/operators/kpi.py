@@ -341,6 +341,5 @@ def latest_per_key(log: DataFrame, key: str, ts: str, value: str, tie: str | Non
     """
     order = [F.col(ts).desc()] + ([F.col(tie).desc()] if tie else [])
     top2 = top_k_per_group(log.select(key, ts, value, *([tie] if tie else [])), [key], order, 2)
-    latest = top2.where(F.col("rank") == 1).select(key, F.col(ts).alias("latest_ts"), F.col(value).alias("current"))
-    prev = top2.where(F.col("rank") == 2).select(key, F.col(value).alias("previous"))
-    return latest.join(prev, key, "left")
+    at = lambda rank, c: F.max(F.when(F.col("rank") == rank, F.col(c)))
+    return top2.groupBy(key).agg(at(1, ts).alias("latest_ts"), at(1, value).alias("current"), at(2, value).alias("previous"))
