@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,11 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df):
+    """Write the rows as Parquet below the shared checkpoint folder and read
+    them again.
 
-    Survives executor loss (unlike ``localCheckpoint``); used where a plan is
-    reused by several actions or grows iteratively.
+    Survives executor loss (unlike ``localCheckpoint``), and later readers
+    take only the columns they need; used where a plan is reused by several
+    actions or grows iteratively.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/vireo-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
