@@ -260,8 +260,8 @@ def watermark_account(source: DataFrame, windows: DataFrame, ts: str, watermark:
     done = windows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_windows"))
     from vireo.operators.kpi import combine_one_row
     return combine_one_row(per, nulls, done).select(
-        "rows_in_windows", "rows_open", "rows_without_time",
-        (F.col("timed") - F.col("rows_open") - F.col("rows_in_windows")).alias("rows_dropped_late"))
+        *[F.col(c).cast("bigint").alias(c) for c in ("rows_in_windows", "rows_open", "rows_without_time")],
+        (F.col("timed") - F.col("rows_open") - F.col("rows_in_windows")).cast("bigint").alias("rows_dropped_late"))
 
 
 def dropped_by_watermark(progress: list) -> int:
