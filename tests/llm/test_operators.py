@@ -394,6 +394,25 @@ def test_near_vectors_recall(spark):
     assert sum(r.n_links for r in rows) >= 0.99 * hit.sum()
 
 
+@pytest.mark.parametrize("block", [16_384, 300])
+def test_near_vectors_hot_group(spark, block):
+    """By default no link is lost at a border: a large group of near copies cut by
+    many cells, and vectors that differ along one line only."""
+    from vireo.llm.embedding_dedup import near_vectors
+    rng = np.random.default_rng(9)
+    hot = rng.standard_normal(64) + 0.2 * rng.standard_normal((900, 64))
+    flat = np.zeros((300, 64))
+    angle = rng.uniform(0, 2 * np.pi, 300)
+    flat[:, 0], flat[:, 1] = np.cos(angle), np.sin(angle)
+    e = np.concatenate([hot, flat, rng.standard_normal((200, 64))])
+    u = e / np.linalg.norm(e, axis=1)[:, None]
+    hit = u @ u.T >= 0.95
+    np.fill_diagonal(hit, False)
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(e)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors(df, per_cell=40, block_rows=block).collect()}
+    assert got == dict(enumerate(hit.sum(axis=1)))
+
+
 # --- components ----------------------------------------------------------------------
 
 def test_components(spark):

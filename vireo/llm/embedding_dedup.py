@@ -2,14 +2,14 @@
 
 Centres are fitted by spherical k-means on a bounded sample; every vector is
 assigned to its nearest centre, and also compared as a guest in cells whose
-border it is near.  Two unit vectors with cosine t are at most
-d = sqrt(2 - 2t) apart, so a partner of a vector in cell i can lie in cell j only
-if its margin  y.c_j - y.c_i  is at most  d * |c_j - c_i|.  In n dimensions a
-difference of length d reaches about d / sqrt(n) along that line, so by default
-``MARGIN`` times this is searched (recall 1.0 of the links of 1/25 of all vectors,
-by brute force over 51,282 vectors of 64 dimensions); ``margin=None`` searches all of d.  Equal
-vectors are one row with a multiplicity; cells above the block size are cut into
-blocks joined pairwise by matrix products.
+border it is near.  Two unit vectors with cosine t are at most d = sqrt(2 - 2t)
+apart, so of a pair x, y in cells i, j the distances to the border between them,
+(x.c_i - x.c_j) / |c_i - c_j| and (y.c_j - y.c_i) / |c_i - c_j|, add up to at most d,
+and one of them is at most d / 2.  Each vector is therefore a guest in every cell
+whose border is within d / 2, and no link is lost; a pair in which each is the
+other's guest counts in the lower cell.  Equal vectors are one row with a
+multiplicity; rows travel in packed chunks; cells above the block size are cut
+into blocks joined pairwise by matrix products.
 """
 
 from __future__ import annotations
@@ -26,17 +26,19 @@ from vireo.llm.common import components, ship_package, stage
 COSINE = 0.95
 #: vectors the centres are fitted on (bounded), their number, and the iterations
 FIT_ROWS = 20_000
-VECTORS_PER_CELL = 512
+VECTORS_PER_CELL = 2048
 MAX_CELLS = 1024
 FIT_ROUNDS = 8
 BLOCK_ROWS = 16_384
-#: how far across a border partners are looked for, in typical distances (see
-#: above); None is the farthest possible, which loses no link
-MARGIN = 2.0
+#: None searches all of d, which loses no link; a number, that many times d / sqrt(dimensions)
+MARGIN = None
 #: rows placed, and rows multiplied, at once
 PLACE_ROWS = 500
 PRODUCT_ROWS = 512
 LINKS = "key long, n_links long, label long"
+#: rows of one cell, all at home or all guests: their first key and number, the
+#: keys, multiplicities, own cells and components, and (at home) where each is a guest
+CHUNKS = "first long, n long, cell long, home boolean, keys binary, ms binary, owns binary, vs binary, guests binary"
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = FIT_ROUNDS, seed: int = 7) -> np.ndarray:
@@ -80,63 +82,101 @@ def fit_centres(units: DataFrame, fit_rows: int = FIT_ROWS, per_cell: int = VECT
 
 
 def assign_cells(rows: DataFrame, centres: np.ndarray, cosine: float, margin: float | None = MARGIN) -> DataFrame:
-    """(key, m, v, cell, home): a row for the nearest cell and, as a guest, for
-    each cell of a lower number that may hold partners; a pair across a border
-    thus meets once, in the lower cell."""
+    """Chunks (see ``CHUNKS``) of the rows in their nearest cells and, as guests,
+    in each other cell whose border is within half the reach."""
     ship_package(rows.sparkSession)
     reach = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
     if margin is not None:
         reach *= min(1.0, margin / math.sqrt(centres.shape[1]))
     apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
 
+    def chunk(key, m, own, x, cell, home, guests=None):
+        return (int(key[0]), len(key), int(cell), home, key.tobytes(), m.tobytes(), own.tobytes(), x.tobytes(),
+                None if guests is None else np.packbits(guests, axis=1).tobytes())
+
     def cells(frames):
         for f in (g.iloc[at:at + PLACE_ROWS] for g in frames for at in range(0, len(g), PLACE_ROWS)):
-            ok = f["v"].map(len) == centres.shape[1]
-            other = f[~ok]
-            if len(other):  # vectors of another length: a cell per length
-                yield pd.DataFrame({"key": other["key"], "m": other["m"], "v": other["v"],
-                                    "cell": (-other["v"].map(len)).astype("int64"), "home": True})
-            f = f[ok]
-            if not len(f):
-                continue
-            dots = np.stack(f["v"].to_numpy()) @ centres.T
-            own = dots.argmax(axis=1)
-            gap = dots[np.arange(len(f)), own][:, None] - dots
-            number = np.arange(len(centres))
-            row, cell = np.nonzero((number == own[:, None]) | (number < own[:, None]) & (gap <= reach * apart[own] + 1e-9))
-            part = f.iloc[row]
-            yield pd.DataFrame({"key": part["key"].to_numpy(), "m": part["m"].to_numpy(), "v": part["v"].to_numpy(),
-                                "cell": cell.astype("int64"), "home": own[row] == cell})
-
-    return rows.mapInPandas(cells, "key long, m long, v array<double>, cell long, home boolean")
+            out = []
+            width = f["v"].map(len)
+            for w, part in f.groupby(width):
+                key, m = part["key"].to_numpy(dtype=np.int64), part["m"].to_numpy(dtype=np.int64)
+                x = np.stack(part["v"].to_numpy())
+                if w != centres.shape[1]:  # vectors of another length: a cell per length
+                    out.append(chunk(key, m, np.full(len(key), -w, dtype=np.int64), x, -w, True))
+                    continue
+                dots = x @ centres.T
+                own = dots.argmax(axis=1)
+                gap = dots[np.arange(len(x)), own][:, None] - dots
+                guest = 2 * gap <= reach * apart[own] + 1e-9
+                guest[np.arange(len(x)), own] = False
+                for cell in np.unique(own):
+                    at = own == cell
+                    out.append(chunk(key[at], m[at], own[at], x[at], cell, True, guest[at]))
+                for cell in np.flatnonzero(guest.any(axis=0)):
+                    at = guest[:, cell]
+                    out.append(chunk(key[at], m[at], own[at], x[at], cell, False))
+            if out:
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in CHUNKS.split(", ")])
+
+    return rows.mapInPandas(cells, CHUNKS)
 
 
 def _join_block(f: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """Links between the rows of two sides (or of one), by products of
     ``PRODUCT_ROWS`` rows at a time.  Two guests are not compared here: they
     meet in a cell where one of them is at home."""
-    f = f.sort_values("key")
-    i, j = int(f["i"].iloc[0]), int(f["j"].iloc[0])
-    x = np.stack(f["v"].to_numpy())
-    key, many, home, side = (f[c].to_numpy() for c in ("key", "m", "home", "side"))
-    links = np.zeros(len(f), dtype=np.int64)
-    label = np.arange(len(f))
-    a, b = (label, label) if i == j else (np.flatnonzero(side == i), np.flatnonzero(side == j))
-    counted, changed = False, len(a) > 0 and len(b) > 0
-    while changed:  # labels fall to the smallest row reachable inside the block
-        changed = False
-        before = label.copy()
+    cell, i, j = (int(f[c].iloc[0]) for c in ("cell", "i", "j"))
+    key, many, own = (np.concatenate([np.frombuffer(b, dtype=np.int64) for b in f[c]]) for c in ("keys", "ms", "owns"))
+    order = np.argsort(key)
+    key, many, own = key[order], many[order], own[order]
+    x = np.concatenate([np.frombuffer(b, dtype=np.float64) for b in f["vs"]]).reshape(len(key), -1)[order]
+    home, side = np.repeat(f["home"].to_numpy(dtype=bool), f["n"])[order], np.repeat(f["side"].to_numpy(), f["n"])[order]
+    # bits of the cells where a row at home is a guest
+    bits = [None if b is None else np.frombuffer(b, dtype=np.uint8).reshape(n, -1) for b, n in zip(f["guests"], f["n"])]
+    wide = max((b.shape[1] for b in bits if b is not None), default=1)
+    bits = np.concatenate([np.zeros((n, wide), dtype=np.uint8) if b is None else b for b, n in zip(bits, f["n"])])[order]
+    links = np.zeros(len(key), dtype=np.int64)
+    label = np.arange(len(key))
+    at_i, at_j = side == i, side == j
+    hits = []
+
+    def join(a, b, guests):
+        if not len(a) or not len(b):
+            return
+        other = x[b].T
         for at in range(0, len(a), PRODUCT_ROWS):
             part = a[at:at + PRODUCT_ROWS]
-            hit = x[part] @ x[b].T >= cosine
-            hit &= (home[part][:, None] | home[b][None, :]) & (key[part][:, None] != key[b][None, :])
-            if not counted:
-                links[part] += hit @ many[b]
-                if i != j:
-                    links[b] += many[part] @ hit
-            label[part] = np.minimum(label[part], np.where(hit, label[b][None, :], len(f)).min(axis=1))
-            label[b] = np.minimum(label[b], np.where(hit, label[part][:, None], len(f)).min(axis=0))
-        counted, changed = True, bool((label != before).any())
+            hit = x[part] @ other >= cosine
+            if not hit.any():
+                continue
+            p, q = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+            hit, p, q = hit[np.ix_(p, q)], part[p], b[q]
+            if guests:  # each the other's guest: counts in the lower cell
+                mutual = (bits[q][:, own[p] >> 3] >> (7 - (own[p] & 7)).astype(np.uint8)) & 1
+                hit &= (mutual.T == 0) | (cell < own[p])[:, None]
+            hit &= p[:, None] != q[None, :]
+            links[p] += hit @ many[q]
+            if a is not b:
+                links[q] += many[p] @ hit
+            hits.append((p, q, np.packbits(hit, axis=1)))
+
+    rows = np.flatnonzero
+    if i == j:
+        at_home = rows(home)
+        join(at_home, at_home, False)
+        join(rows(~home), at_home, True)
+    else:
+        join(rows(home & at_i), rows(home & at_j), False)
+        join(rows(~home & at_i), rows(home & at_j), True)
+        join(rows(~home & at_j), rows(home & at_i), True)
+    changed = bool(hits)
+    while changed:  # labels fall to the smallest row reachable inside the block
+        before = label.copy()
+        for p, q, packed in hits:
+            hit = np.unpackbits(packed, axis=1, count=len(q)).astype(bool)
+            label[p] = np.minimum(label[p], np.where(hit, label[q][None, :], len(key)).min(axis=1))
+            label[q] = np.minimum(label[q], np.where(hit, label[p][:, None], len(key)).min(axis=0))
+        changed = bool((label != before).any())
     some = links > 0
     return pd.DataFrame({"key": key[some], "n_links": links[some], "label": key[label[some]]})
 
@@ -162,11 +202,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         return units.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.lit(True).alias("kept"))
     placed = stage(assign_cells(same.select("key", "m", "v"), centres, cosine, margin), "cells")
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("cuts"))
-    sides = (placed.join(sizes, "cell").withColumn("side", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
+    sizes = placed.groupBy("cell").agg(F.ceil(F.sum("n") / block_rows).cast("int").alias("cuts"))
+    sides = (placed.join(sizes, "cell").withColumn("side", F.pmod(F.xxhash64("first"), F.col("cuts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
              .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")))
-    links = stage(sides.select("cell", "i", "j", "side", "key", "m", "v", "home").groupBy("cell", "i", "j")
+    links = stage(sides.select("cell", "i", "j", "side", "n", "home", "keys", "ms", "owns", "vs", "guests").groupBy("cell", "i", "j")
                   .applyInPandas(lambda f: _join_block(f, cosine), LINKS), "links")
     counted = links.groupBy("key").agg(F.sum("n_links").alias("n"))
     roots = components(links.select(F.col("key").alias("a"), F.col("label").alias("b")))
