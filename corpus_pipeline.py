@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vireo.llm.common import stage
 from vireo.llm.langid_gru import accepted
-from vireo.llm.line_dedup import dedup_lines
+from vireo.llm.line_dedup import MIN_WORDS, dedup_lines
 from vireo.llm.mixing import mixed_documents
 from vireo.llm.ngram_join import representatives
 from vireo.llm.packing import pack_documents
@@ -26,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand earlier in the corpus go; ``n_chars`` follows the text."""
-    out = dedup_lines(docs).drop("lines_total", "lines_removed")
+    """Lines that stand earlier in the corpus, but for one edit or one word, go; ``n_chars`` follows the text."""
+    out = dedup_lines(docs, min_words=MIN_WORDS).drop("lines_total", "lines_removed")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -251,6 +251,62 @@ def test_lines(spark, awkward, empty, max_per_key):
     assert dedup_lines(empty).count() == 0
 
 
+def word_edits(a, b):
+    a, b = a.split(), b.split()
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def near_lines(rows, near):
+    """Positions that go by a rule ``near`` of two distinct lines."""
+    occ = [(d, p, x.strip()) for d, t in rows for p, x in enumerate(t.split("\n")) if len(x.strip()) >= 20]
+    first = {}
+    for d, p, x in occ:
+        first[x] = min(first.get(x, (d, p)), (d, p))
+    late = {x for x, y in itertools.permutations(first, 2) if first[y] < first[x] and near(x, y)}
+    return {(d, p) for d, p, x in occ if x in late or (d, p) > first[x]}
+
+
+def check_kept(got, rows, gone):
+    for d, t in rows:
+        assert got[d] == "\n".join(x for p, x in enumerate(t.split("\n")) if (d, p) not in gone)
+
+
+@pytest.mark.parametrize("threshold,max_per_key", [(2, 32), (3, 2)])
+def test_lines_more_edits(spark, threshold, max_per_key):
+    from vireo.llm.line_dedup import dedup_lines
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        s = list(rng.choice(["the quick brown fox jumps over it", "seven lazy dogs sleep all day long"]))
+        for _ in range(rng.randint(0, 5)):
+            p = rng.randrange(len(s))
+            s[p:p + 1] = rng.choice([[], [s[p], "z"], ["q"]])
+        rows.append((i, "".join(s) + "\nshort"))
+    gone = near_lines(rows, lambda x, y: edits(x, y) <= threshold)
+    assert gone > near_lines(rows, lambda x, y: edits(x, y) <= 1)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold, max_per_key=max_per_key).collect()
+    check_kept({r.doc_id: r.text for r in got}, rows, gone)
+
+
+def test_lines_one_word(spark):
+    import corpus_pipeline as P
+    rng = random.Random(3)
+    rows = []
+    for i in range(80):
+        w = rng.choice(["page printed on 3 March 2021 by the editors of this site", "all rights reserved by the owner of this page"]).split()
+        for _ in range(rng.randint(0, 3)):
+            p = rng.randrange(len(w))
+            w[p:p + 1] = rng.choice([[], [w[p], "additionally"], ["replacement"], ["17"]])
+        rows.append((i, " ".join(w) + f"\nno other line is like number {i} {i * 7} {i * 11}\ninternational communication{i}"))
+    gone = near_lines(rows, lambda x, y: edits(x, y) <= 1 or min(len(x.split()), len(y.split())) >= 6 and word_edits(x, y))
+    assert len(gone) > len(near_lines(rows, lambda x, y: edits(x, y) <= 1))
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    check_kept({r.doc_id: r.text for r in P.line_dedup(spark, docs, SF).collect()}, rows, gone)
+
+
 # --- n-gram join -------------------------------------------------------------------
 
 def shingle_set(t):

@@ -15,6 +15,10 @@ joined with itself: its lines agree but for the rest beside the shared
 segment, so they are grouped by that rest with each one position
 left out.  Lines in such a group are within one edit of each other, and the
 earliest of them is one pre-aggregated minimum: linear in the group, and exact.
+Above threshold 1 such entries are joined with themselves in blocks.
+
+On request, lines within one word of each other go too, whatever the word's
+length: the same partition and the same groups with words in place of characters.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ from vireo.llm.common import SPACE_CHARS, stage
 THRESHOLD = 1
 MIN_CHARS = 20
 MAX_PER_KEY = 32
+#: lines of fewer words are not compared by words: one word of them is too much of the line
+MIN_WORDS = 6
+#: lines of a crowded index entry joined with the others at once, above threshold 1
+BLOCK_LINES = 1024
 
 
 def within_edits(a: Column, b: Column, threshold: int) -> Column:
@@ -91,10 +99,29 @@ def segment_keys(line: Column, n: Column, threshold: int) -> Column:
             for shift in range(low, high + 1):
                 text = line.substr(at + shift + 1, size)
                 out.append(F.struct(F.xxhash64(F.lit(i), length, text).alias("key"),
-                                    F.lit(gap * (threshold + 1) + i).cast("byte").alias("role")))
+                                    F.lit(gap * (threshold + 1) + i).cast("short").alias("role")))
     return F.array(*out)
 
 
+def words(line: Column) -> Column:
+    return F.split(line, "[ \\t\\n\\x0B\\f\\r]+")
+
+
+def word_keys(word: Column, min_words: int) -> Column:
+    """Array of (key, role): a line's own halves (0, 1) and the words that can
+    equal a half of a line one word shorter (2, 3); empty under ``min_words``."""
+    n = F.size(word)
+
+    def keys(length, skip, role):
+        half = F.floor(length / 2).cast("int")
+        texts = [F.slice(word, 1, half), F.slice(word, half + 1 + skip, n)]
+        return F.array(*[F.struct(F.xxhash64(F.lit("w"), F.lit(i), length, F.array_join(t, " ")).alias("key"),
+                                  F.lit(role + i).cast("short").alias("role")) for i, t in enumerate(texts)])
+
+    none = F.expr("array()").cast("array<struct<key:bigint,role:smallint>>")
+    return F.when(n > min_words, F.concat(keys(n, 0, 0), keys(n - 1, 1, 2))).when(n == min_words, keys(n, 0, 0)).otherwise(none)
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(rk, doc_id, pos, line, n, h1, h2) of every line long enough; rk names the row."""
     rows = docs.select("rk", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
@@ -130,6 +157,37 @@ def _hot_losers(hot: DataFrame) -> DataFrame:
                                           F.lit(False).alias("longer")))).otherwise(F.expr("array()").cast("array<struct<group:bigint,longer:boolean>>"))
     rows = hot.select("h1", "h2", "place", "role", F.explode(F.concat(variants, itself)).alias("v")).select(
         "h1", "h2", "place", F.col("v.group").alias("group"), F.col("v.longer").alias("longer")).distinct()
+    return _after_another(rows)
+
+
+def _word_losers(met: DataFrame) -> DataFrame:
+    """(h1, h2) of lines with an earlier line within one word.
+
+    met: (key, role, line, h1, h2, place), roles as in ``word_keys``; groups as
+    in ``_hot_losers``, with the words beside the shared half."""
+    own, word = F.col("role") < 2, F.col("word")
+    half = F.floor((F.size(word) - F.when(own, 0).otherwise(1)) / 2).cast("int")
+    met = met.withColumn("word", words(F.col("line"))).withColumn("h", half)
+    rest = (F.when(F.col("role").isin(0, 2), F.slice(word, F.col("h") + 1, F.size(word)))
+            .when(F.col("role") == 1, F.slice(word, 1, F.col("h"))).otherwise(F.slice(word, 1, F.col("h") + 1)))
+    met = met.withColumn("rest", rest)
+    rest = F.col("rest")
+
+    def without(p):
+        return F.array_join(F.concat(F.slice(rest, F.lit(1), p - 1), F.slice(rest, p + 1, F.size(rest))), " ")
+
+    variants = F.transform(F.sequence(F.lit(1), F.size(rest)), lambda p: F.struct(
+        F.when(own, F.xxhash64(F.lit("s"), F.col("key"), p, without(p))).otherwise(F.xxhash64(F.lit("d"), F.col("key"), without(p))).alias("group"),
+        (~own).alias("longer")))
+    itself = F.when(own, F.array(F.struct(F.xxhash64(F.lit("d"), F.col("key"), F.array_join(rest, " ")).alias("group"),
+                                          F.lit(False).alias("longer")))).otherwise(F.expr("array()").cast("array<struct<group:bigint,longer:boolean>>"))
+    rows = met.select("h1", "h2", "place", F.explode(F.concat(variants, itself)).alias("v")).select(
+        "h1", "h2", "place", F.col("v.group").alias("group"), F.col("v.longer").alias("longer")).distinct()
+    return _after_another(rows)
+
+
+def _after_another(rows: DataFrame) -> DataFrame:
+    """(h1, h2) of the rows (h1, h2, place, group, longer) with an earlier partner in a group."""
     groups = (rows.groupBy("group").agg(F.min("place").alias("first"), F.max("place").alias("last"),
                                         F.min(F.when(F.col("longer"), F.col("place"))).alias("first_longer"),
                                         F.min(F.when(~F.col("longer"), F.col("place"))).alias("first_short"))
@@ -139,34 +197,52 @@ def _hot_losers(hot: DataFrame) -> DataFrame:
     return rows.join(groups, "group").where(before < F.col("place")).select("h1", "h2").distinct()
 
 
-def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key: int) -> DataFrame:
+def _met(keyed: DataFrame, threshold: int) -> DataFrame:
+    """The rows (h1, key, role) of live entries: two distinct lines meet there, one of them as index."""
+    # joins with a side that grows are sort-merge at every size, never broadcast
+    live = (keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("role").alias("r"))
+            .where((F.col("lo") != F.col("hi")) & (F.col("r") <= threshold)).select("key"))
+    return keyed.join(live.hint("merge"), "key").distinct()
+
+
+def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key: int, min_words: int | None = None) -> DataFrame:
     """(rk, drop): positions of the lines that go, for rows that lose any.
     ``docs`` has (rk, doc_id, text, ...)."""
     # the texts are split and hashed once; what follows reads a few columns of this table
     lines = _lines(docs.select("rk", "doc_id", "text"), min_chars)
-    lines = stage(lines.select("rk", "doc_id", "pos", "h1", "h2", segment_keys(F.col("line"), F.col("n"), threshold).alias("keys")), "lines")
+    by_word = [] if min_words is None else [word_keys(words(F.col("line")), min_words).alias("word_keys")]
+    lines = stage(lines.select("rk", "doc_id", "pos", "h1", "h2", segment_keys(F.col("line"), F.col("n"), threshold).alias("keys"), *by_word), "lines")
     place = F.struct(F.col("doc_id"), F.col("pos"), F.col("rk"))
     classes = stage(lines.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("n")), "line_classes")
 
-    keyed = lines.select("h1", F.explode("keys").alias("k")).select(
-        "h1", F.col("k.key").alias("key"), F.col("k.role").alias("role"))
-    # joins with a side that grows are sort-merge at every size, never broadcast
-    # an entry lives if two distinct lines meet in it, one of them as index
-    live = (keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("role").alias("r"))
-            .where((F.col("lo") != F.col("hi")) & (F.col("r") <= threshold)).select("key"))
-    met = stage(keyed.join(live.hint("merge"), "key").distinct(), "line_keys")
+    def keyed(column):
+        return lines.select("h1", F.explode(column).alias("k")).select(
+            "h1", F.col("k.key").alias("key"), F.col("k.role").alias("role"))
+
+    met = stage(_met(keyed("keys"), threshold), "line_keys")
     sizes = met.groupBy("key").agg(F.count("*").alias("size"))
     small = met.join(sizes.where(F.col("size") <= max_per_key).select("key"), "key")
     hot = met.join(sizes.where(F.col("size") > max_per_key).select("key"), "key")
     a = small.where(F.col("role") <= threshold).select("key", F.col("h1").alias("a"))
     b = small.select("key", F.col("h1").alias("b"), (F.col("role") > threshold).alias("longer"))
-    pairs = stage(a.join(b, "key").where((F.col("longer") & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b")))
+    joined = a.join(b, "key")
+    if threshold > 1:  # crowded entries: the lines of a block with all others, a block a key
+        cuts = sizes.where(F.col("size") > max_per_key).select("key", F.ceil(F.col("size") / BLOCK_LINES).cast("int").alias("cuts"))
+        split = hot.join(cuts.hint("merge"), "key")
+        a = split.where(F.col("role") <= threshold).select("key", F.pmod(F.xxhash64("h1"), F.col("cuts")).cast("int").alias("block"), F.col("h1").alias("a"))
+        b = split.select("key", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("block"), F.col("h1").alias("b"),
+                         (F.col("role") > threshold).alias("longer"))
+        joined = joined.unionByName(a.join(b.hint("merge"), ["key", "block"]).drop("block"))
+        hot = hot.limit(0)
+    pairs = stage(joined.where((F.col("longer") & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b")))
                   .select("a", "b").distinct(), "line_pairs")
     hot = stage(hot, "hot_lines")
+    met_words = None if min_words is None else stage(_met(keyed("word_keys"), 1), "word_lines")
 
     # the texts of the lines concerned, read where each occurs first
     wanted = (pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h")))
-              .unionByName(hot.select(F.col("h1").alias("h"))).distinct())
+              .unionByName(hot.select(F.col("h1").alias("h"))))
+    wanted = (wanted if met_words is None else wanted.unionByName(met_words.select(F.col("h1").alias("h")))).distinct()
     at = (classes.join(wanted, F.col("h1") == F.col("h")).select("h1", "h2", "place", F.col("place.rk").alias("w"), F.col("place.pos").alias("pos"))
           .groupBy("w").agg(F.collect_list(F.struct("h1", "h2", "place", "pos")).alias("at")))
     texts = (docs.select("rk", "text").join(at.hint("merge"), F.col("rk") == F.col("w"))
@@ -184,7 +260,11 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
     losers = verified.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h1"),
                              F.when(later, F.col("h2_a")).otherwise(F.col("h2_b")).alias("h2"))
     hot_lines = hot.join(texts, "h1").withColumn("n", F.length("line"))
-    losers = stage(losers.unionByName(_hot_losers(hot_lines)).distinct(), "line_losers").withColumn("near", F.lit(True))
+    if threshold == 1:
+        losers = losers.unionByName(_hot_losers(hot_lines))
+    if met_words is not None:
+        losers = losers.unionByName(_word_losers(met_words.join(texts.drop("chars"), "h1")))
+    losers = stage(losers.distinct(), "line_losers").withColumn("near", F.lit(True))
 
     # a line goes where it isn't the first of its class, or its class has an earlier near line
     status = (classes.join(losers, ["h1", "h2"], "left").where("n > 1 OR near")
@@ -195,24 +275,26 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                min_chars: int = MIN_CHARS, max_per_key: int = MAX_PER_KEY) -> DataFrame:
+                min_chars: int = MIN_CHARS, max_per_key: int = MAX_PER_KEY, min_words: int | None = None) -> DataFrame:
     """``docs`` with every column, the text without its repeated lines, and
     ``lines_total`` and ``lines_removed`` (long).
 
     Lines are cut at line feeds and compared without ASCII white space at their
     ends.  A line goes if an equal one, or a distinct one within ``threshold``
-    edits (1) whose first occurrence is earlier, stands before it, by document id (null
-    first), then line number.  Lines under ``min_chars`` characters always stay.
+    edits whose first occurrence is earlier, stands before it, by document id (null
+    first), then line number.  With ``min_words``, so does a line of that many words
+    or more for which such a line, with one word replaced, added or left out, is earlier;
+    white space between words doesn't count there.  Lines under ``min_chars`` characters always stay.
     Null text stays null with 0 lines; an empty text is one empty line; a
     document may be left with an empty text but never goes.  Rows that repeat an
     id and its text share one place, so each keeps what the first keeps.  An
     empty table gives an empty result.
     """
-    if threshold != 1:
-        raise ValueError("only threshold 1 has an exact form for crowded index entries")
+    if threshold < 1 or min_chars <= threshold or (min_words is not None and min_words < 2):
+        raise ValueError("at least one edit, more characters than edits, and two words")
     rows = docs.withColumn("__rk", F.xxhash64(F.col(id_col), F.col(text_col)))
     plain = rows.select(F.col("__rk").alias("rk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    drops = dropped_lines(plain, threshold, min_chars, max_per_key).select(F.col("rk").alias("__rk2"), F.col("drop").alias("__drop"))
+    drops = dropped_lines(plain, threshold, min_chars, max_per_key, min_words).select(F.col("rk").alias("__rk2"), F.col("drop").alias("__drop"))
     rows = rows.join(drops.hint("merge"), F.col("__rk") == F.col("__rk2"), "left")
     split = F.split(F.col(text_col), "\n")
     stay = F.filter(split, lambda line, i: ~F.array_contains(F.col("__drop"), i))
