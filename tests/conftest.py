@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -14,8 +12,3 @@ def spark():
     s = get_spark(master="local[4]", shuffle_partitions=4, app_name="vireo-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return [tuple(r[c] for c in cols) for r in df.collect()]
