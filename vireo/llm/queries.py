@@ -71,13 +71,19 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_read(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vireo.llm.conversation_repair import damaged_and_repaired
+    return damaged_and_repaired(_read(spark, sf_dir, "conversations")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_mixing, op3_warc, op4_line_dedup, op5_quality, op6_language, op7_ngram_join,
-                                   op8_substring_dedup, op9_exact_dedup, op10_embedding_dedup, pipeline)}
+                                   op8_substring_dedup, op9_exact_dedup, op10_embedding_dedup, op11_conversation_repair, pipeline)}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
