@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import SPACE_CHARS, ship_package, stage
+from vireo.llm.common import SPACE_CHARS, WORD_PATTERN, ship_package, stage
 
 #: edits: keep, give another role, delete, insert; what a kept truncated row adds
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
@@ -392,9 +392,10 @@ def repair_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     tables.  The report has a row per conversation: ``conv_id``, ``gaps``,
     ``blank``, ``duplicate``, ``truncated``, ``illegal``, ``cost`` and
     ``audit`` (initials of Keep, Rerole, Delete and Insert).  The parts hold
-    the repaired conversations: ``conv_id``, ``part``, ``lines`` and
-    ``repaired`` (``role:text`` lines joined by newline); nearly all have one
-    part, longer ones a part per block, to be read in the order of ``part``.
+    the repaired conversations: ``conv_id``, ``part``, ``parts`` (how many the
+    conversation has), ``lines`` and ``repaired`` (``role:text`` lines joined
+    by newline); nearly all have one part, longer ones a part per block, to be
+    read in the order of ``part``.
 
     A null role or text counts as one space; null conversation ids are one
     conversation; null turns come first and count for no gap.  Equal rows
@@ -416,9 +417,9 @@ def _repair(turns: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = B
                         "turn", "role", "text", F.col("copies").cast("long").alias("copies"))
     order = F.struct(F.col("turn").isNotNull().alias("known"), F.coalesce("turn", F.lit(0)).alias("turn"))
     counted = rows.groupBy(*keys, "turn", "role", "text").agg(F.sum("copies").alias("n"))
-    # where a role and text stand at several turns, all but the first were seen
+    # where a role and text stand at several turns, all but the first were seen; blank rows have their own fault
     mark = [F.xxhash64("role", "text").alias("h1"), F.xxhash64(F.lit(1), "text", "role").alias("h2")]
-    first = (rows.select(*keys, *mark, order.alias("at")).groupBy(*keys, "h1", "h2")
+    first = (rows.where(F.col("text").rlike(WORD_PATTERN)).select(*keys, *mark, order.alias("at")).groupBy(*keys, "h1", "h2")
              .agg(F.min("at").alias("first_at"), F.max("at").alias("last_at")).where("first_at <> last_at").drop("last_at"))
     seen = (counted.select("*", *mark, order.alias("at")).join(first, [*keys, "h1", "h2"], "left")
             .select(*keys, "turn", "role", "text", "n", F.coalesce(F.col("at") > F.col("first_at"), F.lit(False)).alias("seen")))
@@ -450,8 +451,9 @@ def _repair(turns: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = B
 
     conv = F.when(~F.col("conv_missing"), F.col("conv")).alias("conv_id")
     report = closed.select(*columns).unionByName(long_ones).select(conv, *columns[2:])
-    whole = closed.select(*keys, F.lit(0).cast("long").alias("part"), F.length(F.translate("audit", "D", "")).cast("long").alias("lines"), "repaired")
-    return report, whole.unionByName(parts).select(conv, "part", "lines", "repaired")
+    parts = parts.join(plan.groupBy(*keys).agg(F.count("*").alias("parts")), keys)
+    whole = closed.select(*keys, F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), F.length(F.translate("audit", "D", "")).cast("long").alias("lines"), "repaired")
+    return report, whole.unionByName(parts).select(conv, "part", "parts", "lines", "repaired")
 
 
 def _digest(frames):
@@ -480,13 +482,14 @@ def _digest(frames):
 def repaired_digests(parts: DataFrame) -> DataFrame:
     """SHA-256 of every repaired conversation: (conv_id, repaired_sha256).
 
-    A conversation's digest needs its bytes in order, so the parts of one
-    conversation stream through one task, a part in memory at a time."""
+    A digest needs the bytes in order, so several parts of one conversation
+    stream through one task, a part in memory at a time."""
     ship_package(parts.sparkSession)
-    rows = parts.select(F.col("conv_id").isNull().alias("conv_missing"), F.coalesce("conv_id", F.lit(0)).alias("conv"), "part", "lines", "repaired")
+    whole = parts.where("parts = 1").select("conv_id", F.sha2("repaired", 256).alias("repaired_sha256"))
+    rows = parts.where("parts > 1").select(F.col("conv_id").isNull().alias("conv_missing"), F.coalesce("conv_id", F.lit(0)).alias("conv"), "part", "lines", "repaired")
     sums = (rows.repartition("conv_missing", "conv").sortWithinPartitions("conv_missing", "conv", "part")
             .mapInPandas(_digest, _KEY + "sha256 string"))
-    return sums.select(F.when(~F.col("conv_missing"), F.col("conv")).alias("conv_id"), F.col("sha256").alias("repaired_sha256"))
+    return whole.unionByName(sums.select(F.when(~F.col("conv_missing"), F.col("conv")).alias("conv_id"), F.col("sha256").alias("repaired_sha256")))
 
 
 def damage(turns: DataFrame) -> DataFrame:
