@@ -124,21 +124,17 @@ def _spans(placements: DataFrame) -> DataFrame:
     """Verified spans: every whole placement of a base phrase, and merged
     placements of the other templates."""
     grams = F.col("words") - (K - 1)
-    base = (placements.where("base").where(F.size("at") == grams)
-            .select(*_KEY, "template", "label", "base", F.col("diagonal").alias("start"), F.col("words").cast("long").alias("length"),
-                    F.lit(1.0).alias("coverage")))
-    strong = placements.where("NOT base").where(F.size("at") >= F.least(F.lit(MIN_VOTES), grams))
+    strong = placements.where(F.size("at") >= F.when(F.col("base"), grams).otherwise(F.least(F.lit(MIN_VOTES), grams)))
     by = W.partitionBy(*_KEY, "template").orderBy("diagonal")
-    merged = (strong.withColumn("fresh", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > GAP).cast("int"), F.lit(1)))
-              .withColumn("span", F.sum("fresh").over(by))
+    merged = (strong.withColumn("near", ~F.col("base") & (F.col("diagonal") - F.lag("diagonal").over(by) <= GAP))
+              .withColumn("span", F.sum(F.coalesce((~F.col("near")).cast("int"), F.lit(1))).over(by))
               .groupBy(*_KEY, "template", "label", "base", "words", "span")
               .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
-                   F.min(F.col("diagonal") + F.array_min("at")).alias("start"), F.max(F.col("diagonal") + F.array_max("at") + K).alias("end")))
-    coverage = _covered(F.col("at")) / F.col("words")
-    length = F.col("end") - F.col("start")
-    other = (merged.where((coverage >= MIN_COVERAGE) & (_covered(F.col("at")) / length >= MIN_DENSITY))
-             .select(*_KEY, "template", "label", "base", "start", length.alias("length"), coverage.alias("coverage")))
-    return base.unionByName(other)
+                   F.min(F.col("diagonal") + F.array_min("at")).alias("start"), F.max(F.col("diagonal") + F.array_max("at") + K).alias("end"))
+              .withColumn("covered", _covered(F.col("at"))).withColumn("length", F.col("end") - F.col("start")))
+    coverage = F.col("covered") / F.col("words")
+    return (merged.where((coverage >= MIN_COVERAGE) & (F.col("covered") / F.col("length") >= MIN_DENSITY))
+            .select(*_KEY, "template", "label", "base", "start", "length", coverage.alias("coverage")))
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=BASE_PHRASES, notices=NOTICES) -> DataFrame:
