@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vireo.llm.lexical_search import search_sql
 from vireo.llm.license_scan import scan_sql
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -84,13 +85,19 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_read(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vireo.llm.lexical_search import search_documents
+    return search_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_mixing, op3_warc, op4_line_dedup, op5_quality, op6_language, op7_ngram_join,
-                                   op8_substring_dedup, op9_exact_dedup, op10_embedding_dedup, op11_conversation_repair, op12_license_scan, pipeline)}
+                                   op8_substring_dedup, op9_exact_dedup, op10_embedding_dedup, op11_conversation_repair, op12_license_scan,
+                                   op13_lexical_search, pipeline)}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -167,4 +174,5 @@ r AS (SELECT a AS id, b AS other FROM l UNION SELECT r.id, l.b FROM r JOIN l ON
 c AS (SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, least(vec_id, (SELECT min(other) FROM r WHERE r.id = vec_id)) AS component_id FROM v)
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c""",
     "op12_license_scan": scan_sql(),
+    "op13_lexical_search": search_sql(),
 }
