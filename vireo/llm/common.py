@@ -97,6 +97,34 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = now
 
 
+def keep_one(docs: DataFrame, keys: dict, members: DataFrame) -> DataFrame:
+    """``docs`` with one row of every group, all columns.
+
+    ``members`` has a row per row of ``docs``: the columns named in ``keys``
+    (which give them for ``docs``; rows alike in all of them are copies),
+    ``grp`` (null: the row stays) and ``rank``; the lowest rank of a group
+    stays.  Only the keys of rows that go, and of copies among those that
+    stay, are joined with ``docs``; copies meet after a partial aggregation."""
+    names = list(keys)
+    grouped = members.where("grp IS NOT NULL").groupBy("grp", "rank", *names).agg(F.count("*").alias("n"))
+    best = grouped.groupBy(F.col("grp").alias("g")).agg(F.min("rank").alias("best"))
+    status = stage(grouped.join(best, F.col("grp") == F.col("g"))
+                   .select(*names, (F.col("rank") == F.col("best")).alias("stays"), "n").where("n > 1 OR NOT stays"), "copies")
+    marked = docs.select("*", *[c.alias(f"__{n}") for n, c in keys.items()])
+
+    def same(table):
+        cond = None
+        for n in names:
+            c = marked[f"__{n}"].eqNullSafe(table[n])
+            cond = c if cond is None else cond & c
+        return cond
+
+    gone, copies = status.where("NOT stays").distinct(), status.where("stays").distinct()
+    left = marked.join(gone, same(gone), "left_anti")
+    single, several = left.join(copies, same(copies), "left_anti"), left.join(copies, same(copies), "left_semi")
+    return single.unionByName(several.dropDuplicates([f"__{n}" for n in names])).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 # --- hashed word sequences (numpy, inside tasks) ---------------------------
 
 _U = np.uint64

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import components, ship_package, stage
+from vireo.llm.common import components, keep_one, ship_package, stage
 
 COSINE = 0.95
 #: vectors the centres are fitted on (bounded), their number, and the iterations
@@ -55,17 +55,17 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = FIT_ROUNDS, seed: int
 
 
 def unit_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v): vectors in double precision, scaled to length 1; ``v`` is
+    """(vec_id, vector_hash, v): vectors in double precision, scaled to length 1; ``v`` is
     null for vectors that are null, empty, zero or hold a null or non-finite component."""
     v = F.col(vector_col).cast("array<double>")
     bad = F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     top = F.array_max(F.transform(v, lambda e: F.abs(e)))
     # scaled by the largest component first, so that squares neither overflow nor vanish
     scaled = F.transform(v, lambda e: e / top)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.xxhash64(F.col(vector_col)).alias("vector_hash"),
                           F.when(v.isNotNull() & (F.size(v) > 0) & ~bad & (top > 0), scaled).alias("s"))
     norm = F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, e: a + e * e))
-    return rows.select("vec_id", F.transform("s", lambda e: e / norm).alias("v"))
+    return rows.select("vec_id", "vector_hash", F.transform("s", lambda e: e / norm).alias("v"))
 
 
 def fit_centres(units: DataFrame, fit_rows: int = FIT_ROWS, per_cell: int = VECTORS_PER_CELL, max_cells: int = MAX_CELLS) -> np.ndarray | None:
@@ -192,6 +192,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     id are rows of their own.  A row with a null id never names a component.  An
     empty table gives an empty result; other columns are ignored.
     """
+    return _linked(vectors, id_col, vector_col, cosine, block_rows, margin, **fit).select(
+        F.col("vec_id").alias(id_col), "n_links", "component_id", "kept")
+
+
+def _linked(vectors: DataFrame, id_col: str, vector_col: str, cosine: float = COSINE, block_rows: int = BLOCK_ROWS,
+            margin: float | None = MARGIN, **fit) -> DataFrame:
+    """The links of every row with ``vector_hash`` (of its vector as given) and
+    the ``root`` of its component (null if the row can link with nothing)."""
     units = stage(unit_vectors(vectors, id_col, vector_col), "units")
     good = units.where("v IS NOT NULL")
     # equal vectors: one row with a multiplicity (pre-aggregated)
@@ -199,8 +207,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                  .select("v", "m", "rep", F.monotonically_increasing_id().alias("key")), "distinct")
     centres = fit_centres(same, **fit)
     if centres is None:
-        return units.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                            F.lit(True).alias("kept"))
+        return units.select("vec_id", "vector_hash", F.lit(None).cast("long").alias("root"), F.lit(0).cast("long").alias("n_links"),
+                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     placed = stage(assign_cells(same.select("key", "m", "v"), centres, cosine, margin), "cells")
     sizes = placed.groupBy("cell").agg(F.ceil(F.sum("n") / block_rows).cast("int").alias("cuts"))
     sides = (placed.join(sizes, "cell").withColumn("side", F.pmod(F.xxhash64("first"), F.col("cuts")).cast("int"))
@@ -212,16 +220,21 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     roots = components(links.select(F.col("key").alias("a"), F.col("label").alias("b")))
     reps = same.select("key", "rep")
     lowest = roots.join(reps, F.col("id") == F.col("key")).groupBy("component").agg(F.min("rep").alias("low"))
-    named = roots.join(lowest, "component").select(F.col("id").alias("key"), "low")
+    named = roots.join(lowest, "component").select(F.col("id").alias("key"), "low", F.col("component").alias("root"))
     per = (same.join(named, "key", "left").join(counted, "key", "left")
-           .select(F.col("v").alias("v2"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("low", "rep").alias("low")))
+           .select(F.col("v").alias("v2"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("low", "rep").alias("low"),
+                   F.coalesce("root", "key").alias("root")))
     return (units.join(per, F.col("v") == F.col("v2"), "left")
-            .select(F.col("vec_id").alias(id_col), F.coalesce("links", F.lit(0)).alias("n_links"),
+            .select("vec_id", "vector_hash", "root", F.coalesce("links", F.lit(0)).alias("n_links"),
                     F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("low")).alias("component_id"))
-            .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
+            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 
 
 def near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", **kw) -> DataFrame:
-    """The rows of ``vectors`` that stay: one representative per component."""
-    keep = near_vectors(vectors, id_col, vector_col, **kw).where("kept").select(F.col(id_col).alias("__keep")).distinct()
-    return vectors.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    """The rows of ``vectors`` that stay, with all their columns: of each
+    component the smallest id (null ids last), once if equal rows repeat it.
+    Rows are told apart by id and vector; those that link with nothing stay."""
+    rank = F.struct(F.col("vec_id").isNull().alias("n"), "vec_id", "vector_hash")
+    members = _linked(vectors, id_col, vector_col, **kw).select(
+        F.col("vec_id").alias("k_id"), F.col("vector_hash").alias("k_vector"), F.col("root").alias("grp"), rank.alias("rank"))
+    return keep_one(vectors, {"k_id": F.col(id_col).cast("long"), "k_vector": F.xxhash64(F.col(vector_col))}, members)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import SPACE_CHARS, scratch_path, write_table
+from vireo.llm.common import SPACE_CHARS, keep_one, scratch_path, write_table
 
 FIRST_DIGIT = 64
 GROWTH = 8
@@ -79,6 +79,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    keep = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: one of every
+    group, the longest text, then the smallest id (null first).  Rows are told
+    apart by id, length and normalised text; equal ones are copies."""
+    found = exact_groups(docs, id_col, text_col)
+    rank = F.struct((-F.col("n_chars")).alias("c"), F.col(id_col).alias("id"))
+    members = found.select(F.col(id_col).alias("k_id"), F.col("n_chars").alias("k_chars"), F.col("text_sha256").alias("k_sha"),
+                           F.col("text_sha256").alias("grp"), rank.alias("rank"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return keep_one(docs, {"k_id": F.col(id_col).cast("long"), "k_chars": F.length(text).cast("long"),
+                           "k_sha": F.sha2(F.translate(text, SPACE_CHARS, ""), 256)}, members)

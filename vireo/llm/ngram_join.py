@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import WordHasher, batch_plan, bucket_codes, components, mix, rolling, ship_package, stage
+from vireo.llm.common import WordHasher, batch_plan, bucket_codes, components, keep_one, mix, rolling, ship_package, stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -38,7 +38,7 @@ BLOCK_SETS = 1024
 STEP = 64
 BITMAP_BYTES = 32 << 20
 
-SETS = "doc_id long, n_shingles long, digest long, lead array<long>, tokens array<long>"
+SETS = "doc_id long, text_hash long, n_shingles long, digest long, lead array<long>, tokens array<long>"
 LINKS = "digest long, n_links long, label long"
 
 
@@ -108,32 +108,32 @@ def _frequencies(sets: list, replies: pd.DataFrame, n_buckets: int) -> np.ndarra
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT,
                   batch_chars: int = BATCH_CHARS, batches_per_bucket: int = BATCHES_PER_BUCKET) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``digest`` of the set and, if a
+    """One row per input row: id, ``text_hash``, ``n_shingles``, ``digest`` of the set and, if a
     leading shingle occurs in another document too, ``lead`` (those) and
     ``tokens`` (the set)."""
     ship_package(docs.sparkSession)
     n_batches = batch_plan(docs, batch_chars, text_col)
     n_buckets = max(1, -(-n_batches // batches_per_bucket))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int"))
 
     def offer(frame: pd.DataFrame) -> pd.DataFrame:
         return _offer(shingle_sets(frame["text"].tolist(), size), int(frame["batch"].iloc[0]), n_buckets)
 
     def order(frame: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        names = ["doc_id", "n_shingles", "digest", "lead", "tokens"]
+        names = ["doc_id", "text_hash", "n_shingles", "digest", "lead", "tokens"]
         if not len(frame):
             return pd.DataFrame(columns=names)
         sets = shingle_sets(frame["text"].tolist(), size)
         often = _frequencies(sets, replies, n_buckets)
         out, at = [], 0
-        for d, s in zip(frame["doc_id"].tolist(), sets):
+        for d, h, s in zip(frame["doc_id"].tolist(), frame["text_hash"].tolist(), sets):
             f = often[at:at + len(s)]
             at += len(s)
             first = np.argsort(f, kind="stable")[:lead_length(len(s), percent)]
             first = first[f[first] > 1]
             live = len(first) > 0
-            out.append((None if pd.isna(d) else int(d), len(s), set_digest(s),
+            out.append((None if pd.isna(d) else int(d), h, len(s), set_digest(s),
                         s[first].view(np.int64) if live else None, s.view(np.int64) if live else None))
         out = pd.DataFrame(out, columns=names)
         out["doc_id"] = out["doc_id"].astype("Int64")
@@ -265,7 +265,14 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     never name a component, a row without other links has a null one.  An empty
     table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
+    return _linked(docs, id_col, text_col, size, percent, block_sets, **batching).select(
+        F.col("doc_id").alias(id_col), "n_shingles", "component_id", "n_links")
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT,
+            block_sets: int = BLOCK_SETS, **batching) -> DataFrame:
+    """The links of every row with its ``text_hash`` and the ``root`` of its
+    component (the digest of a set; null for an empty set)."""
     sets = stage(document_sets(docs, id_col, text_col, size, percent, **batching), "sets")
     classes = (sets.where("n_shingles > 0").groupBy("digest").agg(F.count("*").alias("members"), F.min("doc_id").alias("rep")))
     clusters = stage(_candidate_clusters(sets), "clusters")
@@ -287,20 +294,24 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = links.groupBy("digest").agg(F.sum("n_links").alias("other_links"))
     roots = components(links.select(F.col("digest").alias("a"), F.col("label").alias("b")))
     lowest = (roots.join(classes, F.col("id") == F.col("digest")).groupBy("component").agg(F.min("rep").alias("low")))
-    named = roots.join(lowest, "component").select(F.col("id").alias("digest"), "low")
+    named = roots.join(lowest, "component").select(F.col("id").alias("digest"), "low", F.col("component").alias("root"))
     per_class = (classes.join(named, "digest", "left").join(counted, "digest", "left")
-                 .select(F.col("digest").alias("d3"), F.coalesce("low", "rep").alias("low"),
+                 .select(F.col("digest").alias("d3"), F.coalesce("low", "rep").alias("low"), F.coalesce("root", "digest").alias("root"),
                          (F.coalesce("other_links", F.lit(0)) + F.col("members") - 1).alias("links")))
-    rows = sets.select("doc_id", "n_shingles", "digest")
+    rows = sets.select("doc_id", "text_hash", "n_shingles", "digest")
     return (rows.join(per_class, (F.col("digest") == F.col("d3")) & (F.col("n_shingles") > 0), "left")
-            .select(F.col("doc_id").alias(id_col), "n_shingles",
+            .select("doc_id", "text_hash", "root", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.coalesce("links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does
-    (the smallest id), with all their columns.  Rows with a null id stay."""
-    drop = (ngram_links(docs, id_col, text_col, **kw).where(F.col(id_col) != F.col("component_id"))
-            .select(F.col(id_col).alias("__drop")))
-    return docs.join(drop, F.col(id_col) == F.col("__drop"), "left_anti")
+    """The rows of ``docs`` that stay when one row of each component does, with
+    all their columns: the smallest id (null ids last; of one id the text of
+    the smallest hash), once if equal rows repeat it.  Rows are told apart by
+    id and text, so a text of its own stays whatever other rows share its id.
+    Rows with an empty set (null or blank text) stay."""
+    linked = _linked(docs, id_col, text_col, **kw)
+    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
+    members = linked.select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_text"), F.col("root").alias("grp"), rank.alias("rank"))
+    return keep_one(docs, {"k_id": F.col(id_col).cast("long"), "k_text": F.xxhash64(F.col(text_col).cast("string"))}, members)

@@ -56,13 +56,16 @@ def encode(text: str | None, tokenizer_file: str) -> np.ndarray:
     """Token ids of a text as unsigned 32-bit; null counts as empty.
 
     Texts of Latin characters go through the rank encoder, which gives the same
-    ids several times faster; texts with other characters or with the written
-    form of a special token go through ``tokenizers``."""
+    ids several times faster; texts with other characters, with the written
+    form of a special token or that it cannot take go through ``tokenizers``."""
     if not text:
         return np.zeros(0, dtype="<u4")
     full, fast = _encoders(tokenizer_file)
     if fast is not None and "<|" not in text and (text.isascii() or ord(max(text)) < PLAIN_LIMIT):
-        return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+        try:
+            return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+        except ValueError:  # its pattern matcher has a bounded stack: very long runs of white space
+            pass
     return np.asarray(full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
