@@ -57,20 +57,15 @@ def test_corrupt_event_file_is_skipped_for_that_read_only(spark, tmp_path):
         spark.read.schema(schema).parquet(store).select("v").collect()
 
 
-def test_token_bucket_over_chunks():
-    from vireo.streaming.jobs import _bucket_fn
-    import pandas as pd
-    us = np.random.default_rng(0).permutation(np.arange(30_000) * 500_000)
-
-    class State:
-        exists = False
-
-        def update(self, x):
-            self.x = x
-
-    whole = next(_bucket_fn(60.0, 1.0, 1.0)(("k",), [pd.DataFrame({"__us": us})], State()))
-    parts = next(_bucket_fn(60.0, 1.0, 1.0)(("k",), [pd.DataFrame({"__us": x}) for x in np.array_split(us, 7)], State()))
-    assert whole.equals(parts) and abs(int(whole.n_rejected[0]) - 14_941) <= 1
+def test_token_bucket_over_slices():
+    from vireo.streaming.stateful import replay_bucket
+    us = (np.arange(30_000) * 500_000).tolist()
+    whole = replay_bucket(us, 60.0, None, 60.0, 1.0, 1.0)
+    tokens, last, rejected = 60.0, None, 0
+    for part in np.array_split(us, 7):
+        tokens, last, r = replay_bucket(part.tolist(), tokens, last, 60.0, 1.0, 1.0)
+        rejected += r
+    assert whole == (tokens, last, rejected) and abs(rejected - 14_941) <= 1
 
 
 def test_clustered_scores_spread(spark):

@@ -12,6 +12,7 @@ from vireo.operators.evaluate import confusion_counts, metrics_from_counts
 from vireo.plans.bindings import req_log, scored, table, with_views
 from vireo.plans.catalog import REGISTRY, query
 from vireo.streaming import jobs as W
+from vireo.streaming import stateful as ST
 
 
 def _ts_str(c, micro=False):
@@ -29,6 +30,18 @@ def w1_rolling_60s_latency(spark, d):
                     F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
+@query("w1_rolling_60s_latency_stream", f"""
+SELECT * FROM ({REGISTRY["w1_rolling_60s_latency"][1]}) r
+WHERE date_trunc('second', CAST(ts AS TIMESTAMP)) + INTERVAL 1 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE""")
+def w1_rolling_60s_latency_stream(spark, d):
+    """Streaming twin of w1: the rows of every second that the watermark has passed."""
+    s = _events_stream(spark, d).select(F.col("event_id").alias("request_id"), "ts", F.col("value").alias("latency_ms"))
+    out = W.shared_path(spark, "w1")
+    ST.run_stateful(ST.rolling_stats_stream(s, "request_id", "ts", "latency_ms"), out)
+    return spark.read.parquet(out).select("request_id", _ts_str("ts", True).alias("ts"), "n", F.round("mean", 6).alias("mean"),
+                                          F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
+
+
 MINUTE_SQL = """
 SELECT strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
   count(*) FILTER (WHERE status_code < 400) AS n_success, count(*) FILTER (WHERE status_code >= 500) AS n_errors,
@@ -86,6 +99,7 @@ def w2_minute_metrics_stream(spark, d):
 
 # a bucket small enough that the keys of the event table run it dry
 BUCKET, REFILL = 2.0, 0.000005
+SLICES = 3
 
 
 @query("w4_token_bucket_stream", f"""
@@ -98,11 +112,11 @@ r AS (SELECT key, i, us, CAST({BUCKET} - 1 AS DOUBLE) AS tokens, 0 AS rejected F
         FROM r JOIN e ON e.key = r.key AND e.i = r.i + 1))
 SELECT key, count(*) AS n_requests, CAST(sum(rejected) AS BIGINT) AS n_rejected FROM r GROUP BY key""")
 def w4_token_bucket_stream(spark, d):
-    """Exact token bucket per API key over the event stream."""
-    s = _events_stream(spark, d).select(F.col("user_id").alias("api_key"), "ts")
-    tb = W.token_bucket(s, "api_key", "ts", capacity=BUCKET, refill=REFILL)
+    """Exact token bucket per API key over the event log, replayed in slices
+    of time; a bucket that has filled up again leaves no state."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("api_key"), "ts")
     out = W.shared_path(spark, "w4")
-    W.run_available_now(tb, out, mode="append")
+    ST.run_in_time_slices(e, "ts", SLICES, lambda s: ST.token_bucket(s, "api_key", "ts", capacity=BUCKET, refill=REFILL), out)
     r = spark.read.parquet(out)
     return r.groupBy("key").agg(F.sum("n_requests").alias("n_requests"), F.sum("n_rejected").alias("n_rejected"))
 
@@ -194,3 +208,18 @@ def w9_late_rows_dropped(spark, d):
     progress += run()
     return W.watermark_account(spark.read.schema(e.schema).parquet(f"{src}/*"), spark.read.parquet(out), "ts",
                                W.final_watermark(progress), "1 hour")
+
+
+@query("w11_latest_state_stream", """
+WITH r AS (SELECT user_id, ts, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE ts IS NOT NULL)
+SELECT CAST(a.user_id AS VARCHAR) AS key, strftime(a.ts, '%Y-%m-%d %H:%M:%S.%f') AS latest_ts, a.event_type AS current, b.event_type AS previous,
+  c.event_type AS rolled_back_to
+FROM (SELECT * FROM r WHERE rn = 1) a LEFT JOIN (SELECT * FROM r WHERE rn = 2) b USING (user_id) LEFT JOIN (SELECT * FROM r WHERE rn = 4) c USING (user_id)""")
+def w11_latest_state_stream(spark, d):
+    """Streaming twin of w11 from a log that arrives out of order, with the
+    value three changes back."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    states = ST.run_latest_state(e, "ts", "user_id", "event_type", "event_id", W.shared_path(spark, "w11"))
+    back = ST.rolled_back(states, 3).select(F.col("key").alias("k"), F.col("current").alias("rolled_back_to"))
+    now = ST.rolled_back(states)
+    return now.join(back, now["key"] == back["k"]).select("key", _ts_str("latest_ts", True).alias("latest_ts"), "current", "previous", "rolled_back_to")

@@ -4,21 +4,16 @@ The windowed metrics are plain DataFrame functions: the same code runs on a
 batch DataFrame and on a streaming one (``readStream``), which is how the
 batch twins are tested.  Streams use event-time watermarks, checkpoints in
 the shared folder named by ``spark.checkpoint.dir``, and ``availableNow``
-triggers for replays.  Custom per-key state (the token bucket) uses
-``applyInPandasWithState``; its per-trigger input is bounded by
-``maxFilesPerTrigger``.
+triggers for replays.  Custom keyed state is in ``stateful``.
 """
 
 from __future__ import annotations
 
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vireo import config as C
 from vireo.session import ensure_checkpoint_dir
@@ -105,17 +100,6 @@ def rolling_stats(df: DataFrame, ts: str, value: str, seconds: int = 60, by: lis
     return out
 
 
-def sliding_latency(df: DataFrame, ts: str, value: str, length: str = "60 seconds", slide: str = "10 seconds",
-                    watermark: str | None = "2 minutes") -> DataFrame:
-    """Stream form of W1: sliding event-time windows with a watermark."""
-    d = _event_ts(df, ts)
-    if watermark and d.isStreaming:
-        d = d.withWatermark(ts, watermark)
-    return d.groupBy(F.window(ts, length, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"),
-        F.percentile(value, F.array(F.lit(0.5), F.lit(0.95))).alias("pcts"))
-
-
 # W2 / W3 -------------------------------------------------------------------
 def minute_metrics(df: DataFrame, ts: str, latency: str, status: str, length: str = "1 minute",
                    watermark: str | None = "2 minutes", score: str | None = None,
@@ -163,47 +147,6 @@ def rate_violations(df: DataFrame, key: str, ts: str, limit: int = C.RATE_LIMIT_
                               F.count_if(F.col("n") > limit).alias("n_violations"))
 
 
-TOKEN_OUT = T.StructType([T.StructField("key", T.StringType()), T.StructField("n_requests", T.LongType()),
-                          T.StructField("n_rejected", T.LongType()), T.StructField("tokens", T.DoubleType())])
-TOKEN_STATE = T.StructType([T.StructField("tokens", T.DoubleType()), T.StructField("last_us", T.LongType())])
-
-
-def _bucket_fn(capacity: float, refill: float, cost: float):
-    def fn(key, pdfs, state):
-        if state.exists:
-            tokens, last = state.get
-        else:
-            tokens, last = capacity, None
-        n = rej = 0
-        # time order over all chunks of the key, whatever the Arrow batch size
-        for us in np.sort(np.concatenate([pdf["__us"].to_numpy() for pdf in pdfs])).tolist():
-            # events older than the last one seen (late files) refill nothing
-            if last is not None:
-                tokens = min(capacity, tokens + refill * max(0, us - last) / 1e6)
-            last = us if last is None else max(last, us)
-            n += 1
-            if tokens >= cost:
-                tokens -= cost
-            else:
-                rej += 1
-        state.update((float(tokens), int(last) if last is not None else 0))
-        yield pd.DataFrame({"key": [str(key[0])], "n_requests": [n], "n_rejected": [rej], "tokens": [tokens]})
-    return fn
-
-
-def token_bucket(stream: DataFrame, key: str, ts: str, capacity: float = 60.0, refill: float = 1.0,
-                 cost: float = 1.0) -> DataFrame:
-    """(b) exact token bucket per key as streaming state.
-
-    Within one trigger a key's rows are replayed in time order; state
-    (tokens, last time) carries across triggers.  Input per trigger is
-    bounded by the source's ``maxFilesPerTrigger``.
-    """
-    d = stream.select(F.col(key).cast("string").alias(key), F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"))
-    return d.groupBy(key).applyInPandasWithState(
-        _bucket_fn(capacity, refill, cost), TOKEN_OUT, TOKEN_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
 # W5 ------------------------------------------------------------------------
 def inference_log(stream: DataFrame, ts: str = "ts", drop: list[str] | None = None) -> DataFrame:
     """Events with PII fields dropped and a per-row date partition column."""
@@ -262,10 +205,3 @@ def watermark_account(source: DataFrame, windows: DataFrame, ts: str, watermark:
     return combine_one_row(per, nulls, done).select(
         *[F.col(c).cast("bigint").alias(c) for c in ("rows_in_windows", "rows_open", "rows_without_time")],
         (F.col("timed") - F.col("rows_open") - F.col("rows_in_windows")).cast("bigint").alias("rows_dropped_late"))
-
-
-def dropped_by_watermark(progress: list) -> int:
-    """Rows the watermark dropped as late by the state operators' counters,
-    summed over the stream progress (rows after partial aggregation)."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-               for p in progress for op in (_progress(p).get("stateOperators") or []))
