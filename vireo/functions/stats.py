@@ -5,10 +5,11 @@
   bucket totals (a table of groups x buckets) give each bucket its offset, and
   the running sum is then a window over (group, bucket) only.
 * ``quantiles``: exact linear-interpolated quantiles (same as Spark
-  ``percentile`` and DuckDB ``quantile_cont``) computed from distinct value
-  counts and the prefix sums above, so no task ever holds a whole group.  An
-  approximate mode (``percentile_approx``) and the plain aggregate mode (for
-  groups known to be small) are available.
+  ``percentile`` and DuckDB ``quantile_cont``) by bracketing: a sketch gives
+  an interval per probability, a second pass counts below and between and
+  shuffles only the values inside.  An approximate mode
+  (``percentile_approx``) and the plain aggregate mode (for groups known to
+  be small) are available.
 """
 
 from __future__ import annotations
@@ -16,29 +17,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUT_ACCURACY = 1000
-DEFAULT_BUCKETS = 256  # raise with the data: a (group, bucket) holds ~distinct values / buckets
+#: accuracy of the sketch (its ranks are off by at most a row in this many), and
+#: how many times that error the brackets reach to each side
+SKETCH_ACCURACY, BRACKET = 2000, 2
+#: values of a group below which all of them are counted
+SMALL_GROUP = 10 * SKETCH_ACCURACY
 
 
-def add_sorted_rank(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) -> DataFrame:
-    """Add ``out`` = number of entries of the ascending array ``cuts`` that
-    are <= ``value``.
-
-    Binary lifting: log2(n) chained projections, each one CASE with a
-    computed array index - O(log n) work per row, expression size linear in
-    log n (an array ``filter`` lambda would be interpreted and cost n
-    comparisons per row).
-    """
-    d = df.withColumn(out, F.lit(0))
-    step = 1
-    while step * 2 <= n_cuts:
-        step *= 2
-    while step >= 1:
-        cand = F.col(out) + F.lit(step)
-        d = d.withColumn(out, F.when((cand <= F.lit(n_cuts)) & (F.element_at(F.col(cuts), cand) <= F.col(value)),
-                                     cand).otherwise(F.col(out)))
-        step //= 2
-    return d
+def join_groups(left: DataFrame, right: DataFrame, group_cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on the group columns, a null being a group like any other."""
+    other = right.withColumnsRenamed({c: f"__r{i}" for i, c in enumerate(group_cols)})
+    cond = None
+    for i, c in enumerate(group_cols):
+        same = F.col(c).eqNullSafe(F.col(f"__r{i}"))
+        cond = same if cond is None else cond & same
+    return left.join(other, cond, how).drop(*[f"__r{i}" for i in range(len(group_cols))])
 
 
 def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
@@ -56,7 +49,7 @@ def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, su
     wb = Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group_cols, "__bkt",
                      *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in sum_cols])
-    j = b.join(off, [*group_cols, "__bkt"])
+    j = join_groups(b, off, [*group_cols, "__bkt"])
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(*group_cols, "__bkt").orderBy(oc).rowsBetween(Window.unboundedPreceding, -1)
     return j.select(*[F.col(c) for c in df.columns],
@@ -73,55 +66,87 @@ def unit_bucket(col: str, buckets: int = 4096) -> Column:
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
-              method: str = "distributed", buckets: int = DEFAULT_BUCKETS,
-              names: list[str] | None = None) -> DataFrame:
+              method: str = "bracket", names: list[str] | None = None, also: list[Column] | None = None) -> DataFrame:
     """One row per group with a column per probability (null for empty groups).
 
-    method: ``distributed`` (exact, scalable), ``aggregate`` (exact Spark
-    ``percentile``; a whole group's value counts meet in one task - use for
-    groups known to be bounded), ``approx`` (``percentile_approx``, accuracy
-    10000).  The default is the same at every size.
+    method: ``bracket`` (exact, two passes, see below), ``aggregate`` (exact
+    Spark ``percentile``; a whole group's value counts meet in one task - use
+    for groups known to be bounded), ``approx`` (``percentile_approx``,
+    accuracy 10000).  The default is the same at every size.
+
+    ``bracket``: the first pass takes a bounded sketch per group, which gives
+    an interval for every probability that is sure to hold its rank; ``also``
+    (aggregates over the group's rows, nulls included) rides on that pass.  The
+    second pass counts: values inside an interval are counted one by one, all
+    others only by the gap between intervals they lie in, so a group costs a
+    few rows plus the values inside, whatever its size.  The wanted ranks are
+    then read from the running count over that table.
     """
     g = list(group_cols or [])
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     v = F.col(value_col).cast("double")
-    base = df.select(*g, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if method == "aggregate":
-        arr = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
-        out = base.groupBy(*g).agg(arr.alias("__q"))
-        return out.select(*g, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    if method == "approx":
-        arr = F.percentile_approx("__v", F.array(*[F.lit(float(p)) for p in probs]), 10000)
-        out = base.groupBy(*g).agg(arr.alias("__q"))
-        return out.select(*g, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    if method != "distributed":
+    base = df.withColumn("__v", F.when(~F.isnan(v), v))
+    extra = list(also or [])
+    if method in ("aggregate", "approx"):
+        at = F.array(*[F.lit(float(p)) for p in probs])
+        arr = F.percentile("__v", at) if method == "aggregate" else F.percentile_approx("__v", at, 10000)
+        out = base.groupBy(*g).agg(*extra, F.count("__v").alias("__n"), arr.alias("__q"))
+        out = out if extra else out.where("__n > 0")
+        return out.drop("__n").withColumns({n: F.col("__q")[i] for i, n in enumerate(names)}).drop("__q")
+    if method != "bracket":
         raise ValueError(method)
 
-    if not g:
-        return _quantiles_single(base, probs, buckets, names)
-    # 1) distinct values with counts (map-side combined; a hot value is one row)
-    vc = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    # 2) per group: size and approximate cut points (a bounded sketch)
-    cuts_arr = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # the cut points only balance the buckets (exactness comes from the
-    # counts), so a coarse sketch is enough
-    stats = base.groupBy(*g).agg(F.percentile_approx("__v", cuts_arr, CUT_ACCURACY).alias("__cuts"),
-                                 F.count(F.lit(1)).alias("__n"))
-    # stats has one row per group; AQE broadcasts it when it is small.
-    vcb = vc.join(stats, g)
-    vcb = add_sorted_rank(vcb, "__v", "__cuts", buckets - 1, "__b").drop("__cuts")
-    ps = ordered_prefix_sums(vcb, g, "__v", ["__c"], F.col("__b"))
-    # 3) rank positions per probability; each is found in exactly one row
-    aggs = _pick(ps, probs, F.col("__n"), g)
-    picked = ps.groupBy(*g).agg(*aggs)
+    # pass 1: for every probability two cut points whose ranks enclose its own
+    low = [max(0.0, p - BRACKET / SKETCH_ACCURACY) for p in probs]
+    high = [min(1.0, p + BRACKET / SKETCH_ACCURACY) for p in probs]
+    sketch = F.percentile_approx("__v", F.array(*[F.lit(float(p)) for p in low + high]), SKETCH_ACCURACY)
+    # the ends are the extremes themselves: a sketch may fall short of them
+    ends = [F.min("__v").alias("__min"), F.max("__v").alias("__max")]
+    stats = base.groupBy(*g).agg(*extra, F.count("__v").alias("__n"), sketch.alias("__s"), *ends)
+    own = [c for c in stats.columns if c not in {*g, "__n", "__s", "__min", "__max"}]
+    k = len(probs)
+    # small groups are counted whole: their sketch may be off by a rank or two
+    small = F.col("__n") < SMALL_GROUP
+    lo = [F.when(small | F.lit(low[i] == 0), F.col("__min")).otherwise(F.col("__s")[i]).alias(f"__l{i}") for i in range(k)]
+    hi = [F.when(small | F.lit(high[i] == 1), F.col("__max")).otherwise(F.col("__s")[k + i]).alias(f"__h{i}") for i in range(k)]
+    stats = stats.select(*g, *own, "__n", *lo, *hi)
+    bounds = [f"__{x}{i}" for i in range(k) for x in "lh"]
+    rows = base.select(*g, "__v").where(F.col("__v").isNotNull())
+    if g:
+        # one row per group, written once: the join then knows its size and
+        # broadcasts it below Spark's threshold
+        from vireo.session import cut_lineage
+        stats = cut_lineage(stats)
+        rows = join_groups(rows, stats.where("__n > 0").select(*g, *bounds), g)
+    else:
+        one = stats.first()
+        rows = rows.select("__v", *[F.lit(one[c]).cast("double").alias(c) for c in bounds])
+    # pass 2: the gap a value lies in, and the value itself inside an interval
+    inside = F.lit(False)
+    gap = F.lit(0)
+    for i in range(k):
+        inside = inside | ((F.col("__v") >= F.col(f"__l{i}")) & (F.col("__v") <= F.col(f"__h{i}")))
+        gap = gap + (F.col("__v") >= F.col(f"__l{i}")).cast("int") + (F.col("__v") > F.col(f"__h{i}")).cast("int")
+    counts = (rows.groupBy(*g, gap.alias("__g"), F.when(inside, F.col("__v")).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+              .withColumn("__o", F.struct("__g", F.col("__v").isNull().alias("miss"), F.col("__v"))))
+    ps = ordered_prefix_sums(counts, g, "__o", ["__c"], F.col("__g"))
+    picked = join_groups(ps, stats.select(*g, "__n"), g) if g else ps.withColumn("__n", F.lit(int(one["__n"])))
+    picked = picked.groupBy(*g).agg(*_pick(picked, probs, F.col("__n")))
     outs = []
     for i, n in enumerate(names):
-        lo, hi, fr = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
-        outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(n))
-    return picked.select(*g, *outs)
+        a, b, fr = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
+        # a rank outside its interval would be a fault of the sketch: never answer wrongly
+        sure = F.when(fr.isNotNull() & (a.isNull() | b.isNull()), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+        outs.append(F.coalesce(sure, F.when(fr == 0, a).otherwise(a + fr * (b - a))).alias(n))
+    picked = picked.select(*g, *outs)
+    if not extra:
+        return picked
+    if not g:
+        return picked.select(*[F.lit(one[c]).cast(t).alias(c) for c, t in stats.select(*own).dtypes], *names)
+    return join_groups(stats.select(*g, *own), picked, g, "left")
 
 
-def _pick(ps: DataFrame, probs: list[float], n, group_cols: list[str]) -> list:
+def _pick(ps: DataFrame, probs: list[float], n) -> list:
     aggs = []
     for i, p in enumerate(probs):
         h = (n - 1) * F.lit(float(p))
@@ -133,27 +158,6 @@ def _pick(ps: DataFrame, probs: list[float], n, group_cols: list[str]) -> list:
     return aggs
 
 
-def _quantiles_single(base: DataFrame, probs: list[float], buckets: int, names: list[str]) -> DataFrame:
-    """Whole-column quantiles: the cut points and the count are one small
-    driver-side result, used as literals (no join against a one-row table)."""
-    cuts_arr = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    st = base.agg(F.percentile_approx("__v", cuts_arr, CUT_ACCURACY).alias("c"), F.count(F.lit(1)).alias("n")).first()
-    vc = base.groupBy("__v").agg(F.count(F.lit(1)).alias("__c"))
-    cuts = list(st["c"] or [])
-    if cuts:
-        vc = vc.withColumn("__cuts", F.array(*[F.lit(float(c)) for c in cuts]))
-        vc = add_sorted_rank(vc, "__v", "__cuts", len(cuts), "__b").drop("__cuts")
-    else:
-        vc = vc.withColumn("__b", F.lit(0))
-    ps = ordered_prefix_sums(vc, [], "__v", ["__c"], F.col("__b"))
-    picked = ps.agg(*_pick(ps, probs, F.lit(int(st["n"] or 0)), []))
-    outs = []
-    for i, n in enumerate(names):
-        lo, hi, fr = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
-        outs.append(F.when(fr == 0, lo).otherwise(lo + fr * (hi - lo)).alias(n))
-    return picked.select(*outs)
-
-
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
                     salt_col: str | None = None, salt_buckets: int = 64, rank_name: str = "rank") -> DataFrame:
     """Exact top-k rows per group, ranked 1..k by ``order_cols`` (a total order).

@@ -184,7 +184,7 @@ def score_drift(baseline_scores: DataFrame, current_scores: DataFrame, score: st
 def feature_drift(base_num: DataFrame, cur_num: DataFrame, base_cat: DataFrame, cur_cat: DataFrame,
                   n_cur_events: int, numeric_features: list[str],
                   categorical_features: list[str], top_k: int = 10, baseline: str = "quantile",
-                  method: str = "distributed", digits: int = 4) -> DataFrame:
+                  method: str = "bracket", digits: int = 4) -> DataFrame:
     """Per-feature drift rows: psi, missing rates and delta, status.
 
     ``base_*`` / ``cur_*`` are long ``(feature, value)`` tables where a
@@ -222,15 +222,12 @@ def feature_drift(base_num: DataFrame, cur_num: DataFrame, base_cat: DataFrame,
                       F.round(delta, digits).alias("missing_delta"), st.alias("status"))
 
 
-def numeric_profile_long(values: DataFrame, method: str = "distributed") -> DataFrame:
+def numeric_profile_long(values: DataFrame, method: str = "bracket") -> DataFrame:
     """numeric_profile for a long (feature, value) table."""
     from vireo.functions.stats import quantiles
     v = values.withColumn("value", F.col("value").cast("double"))
-    mom = v.groupBy("feature").agg(F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__nn"),
-                                   F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = quantiles(v, "value", C.PROFILE_QUANTILES, ["feature"], method=method,
-                   names=["p05", "p25", "p50", "p75", "p95"])
-    j = mom.join(qs, "feature", "left")
+    j = quantiles(v, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=["p05", "p25", "p50", "p75", "p95"], also=[
+        F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__nn"), F.min("value").alias("min"), F.max("value").alias("max")])
     return j.select("feature", *[F.round(c, 4).alias(c) for c in ["p05", "p25", "p50", "p75", "p95", "min", "max"]],
                     F.when(F.col("__nn") == 0, F.lit(1.0)).otherwise(1 - F.col("__nn") / F.col("__rows"))
                     .alias("missing_rate"))

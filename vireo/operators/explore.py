@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.functions.stats import combine_one_row, quantiles
+from vireo.functions.stats import join_groups, quantiles
 
 
 def _q(n: str) -> str:
@@ -33,16 +33,13 @@ def long_values(df: DataFrame, cols: list[str], name: str = "column", value: str
 
 
 # X1 ------------------------------------------------------------------------
-def describe(df: DataFrame, cols: list[str] | None = None, method: str = "distributed",
+def describe(df: DataFrame, cols: list[str] | None = None, method: str = "bracket",
              digits: int = 6) -> DataFrame:
     cols = cols or numeric_columns(df)
     lv = long_values(df, cols).where(F.col("value").isNotNull())
-    mom = lv.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = quantiles(lv, "value", [0.25, 0.5, 0.75], ["column"], method=method,
-                   names=["p25", "p50", "p75"])
-    j = mom.join(qs, "column")
+    j = quantiles(lv, "value", [0.25, 0.5, 0.75], ["column"], method=method, names=["p25", "p50", "p75"], also=[
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max")])
     return j.select("column", "count", *[F.round(c, digits).alias(c)
                                           for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
@@ -88,7 +85,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: list[str] | None = No
 
 # X5 ------------------------------------------------------------------------
 def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whisker: float = 1.5,
-              method: str = "distributed") -> DataFrame:
+              method: str = "bracket") -> DataFrame:
     by = list(by or [])
     qs = quantiles(df, col, [0.25, 0.5, 0.75], by, method=method, names=["q1", "median", "q3"])
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -98,7 +95,7 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whisker: flo
     base = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull())
     if by:
         # qs has one row per group; AQE broadcasts it when small.
-        j = base.join(qs, by)
+        j = join_groups(base, qs, by)
         by_ = by
     else:
         # whole column: the five numbers are driver-side literals
@@ -192,12 +189,10 @@ def pivot_metrics(long: DataFrame, index: str = "model", metric: str = "metric",
 
 
 # X13 -----------------------------------------------------------------------
-def summary_stats(df: DataFrame, col: str, by: list[str] | None = None, method: str = "distributed",
+def summary_stats(df: DataFrame, col: str, by: list[str] | None = None, method: str = "bracket",
                   digits: int = 4) -> DataFrame:
     by = list(by or [])
     v = F.col(_q(col)).cast("double")
-    mom = df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"),
-                              F.min(v).alias("min"), F.max(v).alias("max"))
-    med = quantiles(df, col, [0.5], by, method=method, names=["median"])
-    j = mom.join(med, by) if by else combine_one_row(mom, med).withColumn("n", F.col("n").cast("bigint"))
+    j = quantiles(df, col, [0.5], by, method=method, names=["median"], also=[
+        F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")]).where("n > 0")
     return j.select(*by, "n", *[F.round(c, digits).alias(c) for c in ["mean", "median", "min", "max"]])

@@ -258,12 +258,12 @@ def retrain_triggers(daily_psi: DataFrame, perf: DataFrame | None, n_new_labels:
 
 # D14 -----------------------------------------------------------------------
 def ops_dashboard(log: DataFrame, ts: str, latency: str, status: str, unit: str = "hour",
-                  method: str = "distributed") -> DataFrame:
+                  method: str = "bracket") -> DataFrame:
     """Traffic, error rate and p95 latency per time bucket."""
     b = log.withColumn("bucket", F.date_trunc(unit, F.col(ts)))
-    base = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(status) >= 500).alias("n_errors"))
-    p95 = quantiles(b, latency, [0.95], ["bucket"], method=method, names=["p95_latency"])
-    return base.join(p95, "bucket", "left").select(
+    j = quantiles(b, latency, [0.95], ["bucket"], method=method, names=["p95_latency"], also=[
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(status) >= 500).alias("n_errors")])
+    return j.select(
         "bucket", "n", "n_errors", F.round(F.col("n_errors") / F.col("n"), 6).alias("error_rate"),
         F.round("p95_latency", 6).alias("p95_latency"))
 
@@ -304,7 +304,7 @@ def volume_anomalies(log: DataFrame, ts: str, by: list[str] | None = None, trail
 
 # D16 -----------------------------------------------------------------------
 def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float = 0.99,
-              method: str = "distributed") -> DataFrame:
+              method: str = "bracket") -> DataFrame:
     """Clip each column to its own [lower, upper] percentiles.
 
     One grouped quantile job over all columns (unpivoted); the bounds are two

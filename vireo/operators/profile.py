@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vireo import config as C
 from vireo.functions.expr import risk_band
-from vireo.functions.stats import combine_one_row, quantiles, top_k_per_group
+from vireo.functions.stats import quantiles, top_k_per_group
 
 
 def _q(n: str) -> str:
@@ -34,14 +34,12 @@ def _long(df: DataFrame, cols: list[str], cast: str, ids: list[str] | None = Non
 
 
 # A1 ------------------------------------------------------------------------
-def numeric_profile(df: DataFrame, cols: list[str], method: str = "distributed", digits: int = 4) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: list[str], method: str = "bracket", digits: int = 4) -> DataFrame:
     """count (rows; 0 if all null), missing_rate, p05..p95, mean, std, min, max."""
     lv = _long(df, cols, "double")
-    mom = lv.groupBy("feature").agg(
+    j = quantiles(lv, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=QNAMES, also=[
         F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__nn"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = quantiles(lv, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=QNAMES)
-    j = mom.join(qs, "feature", "left")
+        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")])
     r = lambda c: F.round(c, digits)
     return j.select(
         "feature", F.lit("numeric").alias("type"),
@@ -102,22 +100,16 @@ def edge_bin(col, edges: list[float]):
     return F.when((v >= edges[0]) & (v <= edges[-1]), F.least(idx, F.lit(n - 1)))
 
 
-def score_summary(df: DataFrame, score: str, by: list[str] | None = None, method: str = "distributed",
+def score_summary(df: DataFrame, score: str, by: list[str] | None = None, method: str = "bracket",
                   digits: int = 4) -> DataFrame:
     """count, mean, population std, min, max, 7 quantiles, positive rate."""
     by = list(by or [])
     s = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
     base = df.select(*by, s.alias("__s")).where(F.col("__s").isNotNull())
-    mom = base.groupBy(*by).agg(F.count(F.lit(1)).alias("count"), F.avg("__s").alias("mean"),
-                                F.stddev_pop("__s").alias("std"), F.min("__s").alias("min"),
-                                F.max("__s").alias("max"),
-                                F.avg((F.col("__s") >= 0.5).cast("double")).alias("positive_rate"))
     names = [f"p{int(round(q * 100)):02d}" for q in C.SCORE_QUANTILES]
-    qs = quantiles(base, "__s", C.SCORE_QUANTILES, by, method=method, names=names)
-    if by:
-        j = mom.join(qs, by)
-    else:
-        j = combine_one_row(mom, qs).withColumn("count", F.col("count").cast("bigint"))
+    j = quantiles(base, "__s", C.SCORE_QUANTILES, by, method=method, names=names, also=[
+        F.count(F.lit(1)).alias("count"), F.avg("__s").alias("mean"), F.stddev_pop("__s").alias("std"), F.min("__s").alias("min"),
+        F.max("__s").alias("max"), F.avg((F.col("__s") >= 0.5).cast("double")).alias("positive_rate")])
     return j.select(*by, "count", *[F.round(c, digits).alias(c) for c in
                                     ["mean", "std", "min", "max", *names, "positive_rate"]])
 
@@ -145,7 +137,7 @@ def score_histogram(df: DataFrame, score: str, bins: int = C.SCORE_BINS, by: lis
 
 
 # A4 / A5 -------------------------------------------------------------------
-def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "distributed") -> DataFrame:
+def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "bracket") -> DataFrame:
     """Summary row per signature feature: numeric / categorical / unknown."""
     spark = df.sparkSession
     text_types = {"string", "object", "category"}
@@ -167,7 +159,7 @@ def feature_profiles(df: DataFrame, signature: dict[str, str], method: str = "di
 
 
 def build_baseline(df: DataFrame, signature: dict[str, str], score: str, model_version: str,
-                   method: str = "distributed") -> dict[str, DataFrame]:
+                   method: str = "bracket") -> dict[str, DataFrame]:
     """Versioned baseline tables: numeric, categorical, score summary, score histogram.
 
     Real scores only: a missing score column is an error (no synthetic profile).
