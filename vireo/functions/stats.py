@@ -66,7 +66,7 @@ def unit_bucket(col: str, buckets: int = 4096) -> Column:
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
-              method: str = "bracket", names: list[str] | None = None, also: list[Column] | None = None) -> DataFrame:
+              method: str = "bracket", names: list[str] | None = None, also: list[Column] | None = None, few_groups: bool = False) -> DataFrame:
     """One row per group with a column per probability (null for empty groups).
 
     method: ``bracket`` (exact, two passes, see below), ``aggregate`` (exact
@@ -80,7 +80,9 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
     second pass counts: values inside an interval are counted one by one, all
     others only by the gap between intervals they lie in, so a group costs a
     few rows plus the values inside, whatever its size.  The wanted ranks are
-    then read from the running count over that table.
+    then read from the running count over that table.  ``few_groups`` says that
+    the groups are bounded by the schema (one per column): their sketch rows
+    then pass through the driver instead of a small table.
     """
     g = list(group_cols or [])
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
@@ -116,7 +118,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
         # one row per group, written once: the join then knows its size and
         # broadcasts it below Spark's threshold
         from vireo.session import cut_lineage
-        stats = cut_lineage(stats)
+        stats = F.broadcast(df.sparkSession.createDataFrame(stats.collect(), stats.schema)) if few_groups else cut_lineage(stats)
         rows = join_groups(rows, stats.where("__n > 0").select(*g, *bounds), g)
     else:
         one = stats.first()
@@ -143,7 +145,7 @@ def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: lis
         return picked
     if not g:
         return picked.select(*[F.lit(one[c]).cast(t).alias(c) for c, t in stats.select(*own).dtypes], *names)
-    return join_groups(stats.select(*g, *own), picked, g, "left")
+    return join_groups(stats.select(*g, *own), F.broadcast(picked) if few_groups else picked, g, "left")
 
 
 def _pick(ps: DataFrame, probs: list[float], n) -> list:

@@ -226,7 +226,7 @@ def numeric_profile_long(values: DataFrame, method: str = "bracket") -> DataFram
     """numeric_profile for a long (feature, value) table."""
     from vireo.functions.stats import quantiles
     v = values.withColumn("value", F.col("value").cast("double"))
-    j = quantiles(v, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=["p05", "p25", "p50", "p75", "p95"], also=[
+    j = quantiles(v, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=["p05", "p25", "p50", "p75", "p95"], few_groups=True, also=[
         F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__nn"), F.min("value").alias("min"), F.max("value").alias("max")])
     return j.select("feature", *[F.round(c, 4).alias(c) for c in ["p05", "p25", "p50", "p75", "p95", "min", "max"]],
                     F.when(F.col("__nn") == 0, F.lit(1.0)).otherwise(1 - F.col("__nn") / F.col("__rows"))

@@ -37,7 +37,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "bracke
              digits: int = 6) -> DataFrame:
     cols = cols or numeric_columns(df)
     lv = long_values(df, cols).where(F.col("value").isNotNull())
-    j = quantiles(lv, "value", [0.25, 0.5, 0.75], ["column"], method=method, names=["p25", "p50", "p75"], also=[
+    j = quantiles(lv, "value", [0.25, 0.5, 0.75], ["column"], method=method, names=["p25", "p50", "p75"], few_groups=True, also=[
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max")])
     return j.select("column", "count", *[F.round(c, digits).alias(c)

@@ -310,7 +310,7 @@ def winsorize(df: DataFrame, cols: list[str], lower: float = 0.01, upper: float
     One grouped quantile job over all columns (unpivoted); the bounds are two
     numbers per column, applied as literals."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    q = quantiles(long, "value", [lower, upper], ["column"], method=method, names=["lo", "hi"])
+    q = quantiles(long, "value", [lower, upper], ["column"], method=method, names=["lo", "hi"], few_groups=True)
     bounds = {r["column"]: (r["lo"], r["hi"]) for r in q.collect()}
     # least and greatest skip nulls: a null stays null, and so does NaN
     return df.select(*[F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")),

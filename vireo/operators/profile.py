@@ -37,7 +37,7 @@ def _long(df: DataFrame, cols: list[str], cast: str, ids: list[str] | None = Non
 def numeric_profile(df: DataFrame, cols: list[str], method: str = "bracket", digits: int = 4) -> DataFrame:
     """count (rows; 0 if all null), missing_rate, p05..p95, mean, std, min, max."""
     lv = _long(df, cols, "double")
-    j = quantiles(lv, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=QNAMES, also=[
+    j = quantiles(lv, "value", C.PROFILE_QUANTILES, ["feature"], method=method, names=QNAMES, few_groups=True, also=[
         F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__nn"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")])
     r = lambda c: F.round(c, digits)
