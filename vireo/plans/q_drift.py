@@ -7,10 +7,12 @@ categorical: ``event_type`` and ``user_id``; score = value / (value + 50).
 
 from pyspark.sql import functions as F
 
+from vireo.operators import baselines as B
 from vireo.operators import drift as D
 from vireo.plans.bindings import table
-from vireo.plans.catalog import query
+from vireo.plans.catalog import REGISTRY, query
 from vireo.plans.sqlgen import edge_bin_sql
+from vireo.streaming.jobs import shared_path
 
 SPLIT = "2024-01-22"
 NUM = ["k", "value"]
@@ -146,6 +148,24 @@ def a10_feature_drift_events(spark, d):
     return _feature_drift(spark, d)
 
 
+def _from_days(spark, d):
+    """The baseline window stored once; the days after it counted once each."""
+    b, c = _windows(spark, d)
+    base, store = shared_path(spark, "baseline"), shared_path(spark, "day-counts")
+    B.store_baseline(b, base, "v1", NUM, CAT, "score", TOPK)
+    stored = B.read_baseline(spark, base, "v1")
+    B.write_day_counts(c, "ts", stored, store, "score")
+    return B.read_day_counts(spark, store, stored, SPLIT), stored
+
+
+@query("a10_feature_drift_from_days", DRIFT_SQL + f"""
+SELECT feature, type, round(psi, 4) AS psi, round(bm, 4) AS baseline_missing_rate, round(cm, 4) AS current_missing_rate,
+  round(md, 4) AS missing_delta, {_STATUS} AS status FROM st_""")
+def a10_feature_drift_from_days(spark, d):
+    """The rows of a10_feature_drift_events from stored counts alone."""
+    return B.drift_from_counts(*_from_days(spark, d))
+
+
 def _feature_drift(spark, d):
     b, c = _windows(spark, d)
     n_cur = c.count()
@@ -190,6 +210,16 @@ def a10_global_drift_status(spark, d):
     return D.global_status(fd, sd, c.count())
 
 
+@query("a10_global_status_from_days", REGISTRY["a10_global_drift_status"][1])
+def a10_global_status_from_days(spark, d):
+    return B.global_status_from_counts(*_from_days(spark, d))
+
+
+@query("a13_score_drift_from_days", REGISTRY["a13_score_drift_events"][1])
+def a13_score_drift_from_days(spark, d):
+    return B.score_drift_from_counts(*_from_days(spark, d))
+
+
 @query("a11_extract_feature_values", """
 SELECT event_id AS request_id, 'k' AS feature, json_extract_string(props, '$.k') AS value FROM events""")
 def a11_extract_feature_values(spark, d):
