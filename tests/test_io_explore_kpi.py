@@ -83,7 +83,7 @@ def test_histogram_and_box(spark):
 def test_composites_prefix_quirk(spark):
     df = spark.createDataFrame([(5.0, 1, 7.0)], "ida_2023 double, ida_2023_missing int, ieg_2023 double")
     strict = FE.add_row_composites(df, ["ida_2023", "ieg_2023"]).first()
-    loose = FE.add_row_composites(df, prefer="_2023").first()
+    loose = FE.add_row_composites(df, year="2023").first()
     assert strict.media_indicadores == 6.0 and loose.media_indicadores == 13.0 / 3
 
 

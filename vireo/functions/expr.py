@@ -34,11 +34,6 @@ def fold(c) -> Column:
     return strip_accents(F.lower(F.trim(col_(c))))
 
 
-def nan_to_null(c) -> Column:
-    c = col_(c)
-    return F.nanvl(c, F.lit(None).cast("double"))
-
-
 def parse_number(c) -> Column:
     """String -> double only for plain numbers; anything else -> null."""
     c = col_(c)

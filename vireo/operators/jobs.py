@@ -78,10 +78,12 @@ class TrainingSet:
 
 def load_and_prepare(df: DataFrame, target: str = "em_risco", ids: tuple = ("ra",), target_year: int | None = None,
                      indicators: list[str] | None = None, min_ratio: float = 0.7,
-                     missing_columns: list[str] | None = None) -> TrainingSet:
+                     missing_columns: list[str] | None = None, keep_ids: bool = False) -> TrainingSet:
     """M7: coerce mixed text under the training rule (P3), add the features
     (F6), drop ids and refuse leaking columns (P11).  The list of missing flags
-    is decided once here and returned; scoring passes it back in."""
+    is decided once here and returned; scoring passes it back in.  With
+    ``keep_ids`` the ids stay in the table, for folds by subject, but are no
+    part of the signature."""
     coerced = P.coerce_mixed(df, min_ratio, require_non_null=True, exclude=list(ids))
     indicators = indicators or [c for c in FE.INDICATOR_PREFIXES if c in coerced.columns]
     if missing_columns is None:
@@ -90,6 +92,8 @@ def load_and_prepare(df: DataFrame, target: str = "em_risco", ids: tuple = ("ra"
     table = P.split_xy(made, target, list(ids), target_year)
     sig = P.schema_signature(table)
     sig.pop("label")
+    if keep_ids:
+        table = made.select(*ids, *[F.col(f"`{c}`") for c in sig], F.col(target).alias("label"))
     return TrainingSet(table, missing_columns, sig)
 
 

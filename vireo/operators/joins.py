@@ -113,9 +113,3 @@ def verify_hashes(expected: DataFrame, actual: DataFrame, name: str = "name",
     j = expected.join(act, name, "left")
     return j.select(name, F.col(hash_col).alias("expected"), F.col("__actual").alias("actual"),
                     F.coalesce(F.col(hash_col) == F.col("__actual"), F.lit(False)).alias("ok"))
-
-
-def verify_summary(checked: DataFrame) -> DataFrame:
-    return checked.agg(F.count(F.lit(1)).alias("n_files"),
-                       F.count_if(~F.col("ok")).alias("n_mismatch"),
-                       F.coalesce(F.bool_and("ok"), F.lit(False)).alias("verified"))

@@ -9,14 +9,13 @@ window over a raw key that could hold a third of the data.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import config as C
 from vireo.functions.expr import risk_band
-from vireo.functions.stats import combine_one_row, quantiles, top_k_per_group
+from vireo.functions.stats import combine_one_row, join_groups, ordered_prefix_sums, quantiles, top_k_per_group
 
 # FIXED VALUES: decision matrix (band, modifier) -> decision, SLA in days.
 ACTION_RULES = [
@@ -109,11 +108,14 @@ def kpis_by_segment(df: DataFrame, sets: list[list[str]], lag_col: str = "defasa
 # D5 ------------------------------------------------------------------------
 def relative_change(rates: DataFrame, by: list[str], period: str, value: str, lag: int = 1,
                     digits: int = 6) -> DataFrame:
-    """(value - value ``lag`` periods before) / before, on a per-period table."""
-    w = Window.partitionBy(*by).orderBy(period) if by else Window.orderBy(period)
-    base = F.lag(value, lag).over(w)
-    return rates.select("*", base.alias("baseline"),
-                        F.round(F.try_divide(F.col(value) - base, base), digits).alias("relative_change"))
+    """(value - value ``lag`` periods before) / before, on a per-period table.
+
+    The base is the row of period - ``lag``, not the ``lag``-th row before: after
+    a gap in the periods there is none, and baseline and change are null."""
+    before = rates.select(*by, (F.col(period) + F.lit(lag)).alias(period), F.col(value).alias("baseline"))
+    j = join_groups(rates, before, [*by, period], "left")
+    base = F.col("baseline")
+    return j.select("*", F.round(F.try_divide(F.col(value) - base, base), digits).alias("relative_change"))
 
 
 # D6 ------------------------------------------------------------------------
@@ -150,16 +152,6 @@ def two_sample_t(df: DataFrame, group: str, value: str) -> DataFrame:
                     F.round(t, 6).alias("t"), dof.alias("dof"))
 
 
-def t_pvalue(t: float, dof: int) -> float:
-    """Two-sided p-value (normal approximation for large dof) - driver-side
-    arithmetic on the one-row result."""
-    try:
-        from scipy import stats  # type: ignore
-        return float(2 * stats.t.sf(abs(t), dof))
-    except Exception:  # noqa: BLE001
-        return math.erfc(abs(t) / math.sqrt(2))
-
-
 # D8 ------------------------------------------------------------------------
 def missing_target_association(df: DataFrame, features: list[str], target: str, gap: float = 0.1,
                                digits: int = 6) -> DataFrame:
@@ -210,19 +202,38 @@ def temporal_consistency(df: DataFrame, key: str, period: str, tenure: str | Non
 # D11 -----------------------------------------------------------------------
 def subject_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Fold by a hash of the subject key: no subject on both sides."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
-
-
-def temporal_folds(df: DataFrame, period: str, test_periods: list[int]) -> DataFrame:
-    """One (fold, role) pair per test period: train on earlier periods only."""
-    parts = []
-    for p in test_periods:
-        parts.append(df.where(F.col(period) < p).withColumn("fold", F.lit(p)).withColumn("role", F.lit("train")))
-        parts.append(df.where(F.col(period) == p).withColumn("fold", F.lit(p)).withColumn("role", F.lit("test")))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("fold", (bits % k).cast("int"))
+
+
+def balanced_folds(df: DataFrame, key: str, label: str, k: int = 5) -> DataFrame:
+    """(key, n_rows, n_pos, fold): whole subjects dealt to folds of equal size
+    and class share.
+
+    Subjects are put in the order of their rows, their positives and the MD5 of
+    their key and dealt out in turn.  So folds differ by at most one subject,
+    and by at most the rows of the largest one; among subjects of n rows
+    positives differ by at most n, so in all by at most the sum of the sizes
+    that occur.  The place in the order is a prefix sum over the histogram of
+    (rows, positives, first MD5 digits), not a window over all subjects."""
+    md5 = F.md5(F.col(key).cast("string"))
+    subjects = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(label) == 1).alias("n_pos"))
+    s = subjects.withColumn("__o", F.struct((-F.col("n_rows")).alias("r"), (-F.col("n_pos")).alias("p"), F.coalesce(md5, F.lit("")).alias("m")))
+    s = s.withColumn("__one", F.lit(1))
+    cell = F.struct(F.col("__o.r").alias("r"), F.col("__o.p").alias("p"), F.substring("__o.m", 1, 3).alias("m"))
+    dealt = ordered_prefix_sums(s, [], "__o", ["__one"], cell)
+    return dealt.select(key, "n_rows", "n_pos", F.pmod("__one_cum", F.lit(k)).cast("int").alias("fold"))
+
+
+def temporal_folds(df: DataFrame, period: str, test_periods: list[int], gap: int = 0) -> DataFrame:
+    """Every row once per fold it has a part in, with ``fold`` (the test period)
+    and ``role``: test in its own period, train in those that end more than
+    ``gap`` periods before it; the periods of the gap are left out."""
+    p = F.col(period)
+    parts = [F.when(p == t, F.struct(F.lit(t).alias("fold"), F.lit("test").alias("role")))
+             .when(p < t - gap, F.struct(F.lit(t).alias("fold"), F.lit("train").alias("role"))) for t in test_periods]
+    out = df.withColumn("__part", F.explode(F.array_compact(F.array(*parts))))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "__part.fold", "__part.role")
 
 
 # D13 -----------------------------------------------------------------------

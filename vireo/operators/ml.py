@@ -12,47 +12,64 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.functions.stats import ordered_prefix_sums
+from vireo.functions.stats import ordered_prefix_sums, quantiles
 
 SEED = 42
+MAX_CLASSES = 1000
 
 
 # M1 ------------------------------------------------------------------------
-def preprocessor_stages(numeric: list[str], categorical: list[str]) -> list:
+def numeric_statistics(df: DataFrame, numeric: list[str]) -> DataFrame:
+    """(feature, median, mean, std): the exact median of each numeric column,
+    and mean and population deviation after it has filled the gaps."""
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in numeric]).unpivot([], numeric, "feature", "value")
+    med = quantiles(long, "value", [0.5], ["feature"], names=["median"], few_groups=True, also=[F.count(F.lit(1)).alias("__rows")])
+    filled = long.join(F.broadcast(med), "feature").withColumn("__x", F.coalesce(F.nanvl("value", "median"), "median"))
+    return filled.groupBy("feature").agg(F.first("median").alias("median"), F.avg("__x").alias("mean"), F.stddev_pop("__x").alias("std"))
+
+
+def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> PipelineModel:
     """Median impute + standardise numerics; 'missing' fill + one-hot text
-    (unseen levels -> all zeros)."""
-    stages, parts = [], []
+    (unseen levels -> all zeros).  The learned numbers (three per numeric
+    column) are literals of one projection; a column without any value becomes
+    0, and one without spread is only centred."""
+    parts, exprs, stages = [], [], []
     if numeric:
-        imp = [f"{c}__imp" for c in numeric]
-        stages += [Imputer(inputCols=numeric, outputCols=imp, strategy="median"),
-                   VectorAssembler(inputCols=imp, outputCol="__num", handleInvalid="keep"),
-                   StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True)]
-        parts.append("__num_scaled")
+        learned = {r["feature"]: r for r in numeric_statistics(df, numeric).collect()}
+        for c in numeric:
+            r = learned[c] if c in learned and learned[c]["median"] is not None else None
+            x = f"CAST(`{c}` AS DOUBLE)"
+            exprs.append(f"(coalesce(nanvl({x}, NULL), {r['median']!r}D) - {r['mean']!r}D) / {r['std'] or 1.0!r}D AS `{c}__std`" if r
+                         else f"0.0D AS `{c}__std`")
+            parts.append(f"{c}__std")
+    exprs += [f"coalesce(CAST(`{c}` AS STRING), 'missing') AS `{c}__txt`" for c in categorical]
+    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
     if categorical:
-        fill = ", ".join(f"coalesce(CAST(`{c}` AS STRING), 'missing') AS `{c}__txt`" for c in categorical)
-        stages.append(SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"))
-        idx = [f"{c}__idx" for c in categorical]
-        ohe = [f"{c}__ohe" for c in categorical]
+        idx, ohe = [f"{c}__idx" for c in categorical], [f"{c}__ohe" for c in categorical]
         stages += [StringIndexer(inputCols=[f"{c}__txt" for c in categorical], outputCols=idx,
                                  handleInvalid="keep", stringOrderType="alphabetAsc"),
                    OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True)]
         parts += ohe
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
-    return stages
+    return Pipeline(stages=stages).fit(df)
 
 
 # M2 ------------------------------------------------------------------------
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """n / (k * n_class).  The class counts are k numbers (one per class),
-    fetched once and applied as a literal CASE - no join."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    fetched once and applied as a literal CASE - no join.  A label with over
+    ``MAX_CLASSES`` values is refused."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1))).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has over {MAX_CLASSES} values")
+    counts = {r[0]: r[1] for r in rows}
     n, k = sum(counts.values()), len(counts)
     w = None
     for cls, nc in counts.items():
@@ -102,54 +119,83 @@ def stratified_split(df: DataFrame, label: str, key: str | list[str], test_frac:
 # M5 ------------------------------------------------------------------------
 @dataclass
 class ScoringModel:
-    """A fitted pipeline, or an ensemble of (pipeline, Platt calibrator) pairs."""
-    members: list = field(default_factory=list)   # [(PipelineModel, calibrator or None)]
+    """A fitted preprocessor and an ensemble of (classifier, calibrator) pairs."""
+    prep: PipelineModel | None = None
+    members: list = field(default_factory=list)   # [(classification model, calibrator or None)]
     name: str = "model"
 
     def transform(self, df: DataFrame, out: str = "risk_score") -> DataFrame:
-        cols = df.columns
-        acc = df
-        names = []
-        for i, (pm, cal) in enumerate(self.members):
-            sc = pm.transform(acc)
-            raw = vector_to_array(F.col("probability"))[1]
-            sc = sc.select(*cols, *names, raw.alias("__raw"))
-            if cal is not None:
-                sc = VectorAssembler(inputCols=["__raw"], outputCol="__calx").transform(sc)
-                sc = cal.transform(sc.withColumnRenamed("__calx", "features"))
-                sc = sc.select(*cols, *names, vector_to_array(F.col("probability"))[1].alias(f"__p{i}"))
+        """Mean of the members' calibrated probabilities; the features are made once."""
+        return self.score_features(self.prep.transform(df), df.columns, out)
+
+    def score_features(self, made: DataFrame, keep: list[str], out: str = "risk_score") -> DataFrame:
+        acc = made.select(*[f"`{c}`" for c in keep], F.col("features").alias("__x"))
+        scores = []
+        for i, (clf, cal) in enumerate(self.members):
+            one = clf.copy({clf.featuresCol: "__x", clf.probabilityCol: f"__v{i}", clf.rawPredictionCol: "", clf.predictionCol: ""})
+            acc = one.transform(acc).withColumn(f"__r{i}", vector_to_array(f"__v{i}")[1]).drop(f"__v{i}")
+            if isinstance(cal, IsotonicRegressionModel):
+                acc = cal.copy({cal.featuresCol: f"__r{i}", cal.predictionCol: f"__p{i}"}).transform(acc)
+                scores.append(F.col(f"__p{i}"))
+            elif cal is not None:
+                z = F.col(f"__r{i}") * F.lit(float(cal.coefficients[0])) + F.lit(float(cal.intercept))
+                scores.append(1 / (1 + F.exp(-z)))
             else:
-                sc = sc.select(*cols, *names, F.col("__raw").alias(f"__p{i}"))
-            names.append(f"__p{i}")
-            acc = sc
-        mean = sum((F.col(n) for n in names), F.lit(0.0)) / F.lit(len(names))
-        return acc.select(*cols, mean.alias(out))
+                scores.append(F.col(f"__r{i}"))
+        mean = sum(scores, F.lit(0.0)) / F.lit(len(scores))
+        return acc.select(*[f"`{c}`" for c in keep], mean.alias(out))
+
+
+def fit_calibrator(held: DataFrame, method: str, label: str = "label", raw: str = "__raw", digits: int = 6):
+    """A calibrator of raw scores: ``sigmoid`` (logistic regression on the score)
+    or ``isotonic`` (pool adjacent violators).  For the latter equal scores, to
+    ``digits`` places, are first pooled to one weighted row, so at most
+    10**digits rows are left; Spark pools violators inside ranges of the score
+    before it joins the ranges."""
+    if method == "sigmoid":
+        rows = VectorAssembler(inputCols=[raw], outputCol="features").transform(held.select(raw, F.col(label).alias("label")))
+        return LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(rows)
+    if method != "isotonic":
+        raise ValueError(f"unknown calibration {method!r}")
+    pooled = (held.groupBy(F.round(raw, digits).alias("__score"))
+              .agg(F.avg(F.col(label).cast("double")).alias("__mean"), F.count(F.lit(1)).cast("double").alias("__n")))
+    return IsotonicRegression(featuresCol="__score", labelCol="__mean", weightCol="__n", isotonic=True).fit(pooled)
+
+
+def made_features(df: DataFrame, numeric: list[str], categorical: list[str], folds: int = 3, key: str = "ra",
+                  seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
+    """The fitted preprocessor and the training rows as features with their
+    fold (by a hash of the key), written once for every fit that reads them."""
+    from vireo.session import cut_lineage
+    prep = fit_preprocessor(df, numeric, categorical)
+    fold = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed + 1)), F.lit(folds)).alias("__fold")
+    keep = [c for c in ("label", "weight") if c in df.columns]
+    return prep, cut_lineage(prep.transform(df).select("features", *keep, fold))
 
 
 def fit(df: DataFrame, numeric: list[str], categorical: list[str], estimator, calibration: str | None = "sigmoid",
         folds: int = 3, key: str = "ra", seed: int = SEED, label: str = "label",
-        parallelism: int = 3) -> ScoringModel:
-    """Fit; with ``calibration='sigmoid'`` cross-fit ``folds`` models, each
-    with a Platt calibrator fitted on its held-out fold, averaged at scoring.
+        parallelism: int = 3, made: tuple[PipelineModel, DataFrame] | None = None) -> ScoringModel:
+    """Fit; with ``calibration`` ``'sigmoid'`` or ``'isotonic'`` cross-fit
+    ``folds`` models, each with a calibrator fitted on its held-out fold,
+    averaged at scoring.  ``made`` (from ``made_features``) shares one table of
+    features between candidates; the preprocessor learns from all training rows.
 
     The folds are independent Spark jobs submitted from ``parallelism``
     threads (as Spark ML's own tuning does), so small fits overlap."""
-    from vireo.session import cut_lineage
-    pipe = Pipeline(stages=preprocessor_stages(numeric, categorical) + [estimator])
+    if label != "label":
+        df = df.withColumnRenamed(label, "label")
+        estimator = estimator.copy({estimator.labelCol: "label"})
+    prep, rows = made or made_features(df, numeric, categorical, folds, key, seed)
     if not calibration:
-        return ScoringModel([(pipe.fit(df), None)], type(estimator).__name__)
-    f = cut_lineage(df.withColumn("__fold", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed + 1)),
-                                                   F.lit(folds))))
+        return ScoringModel(prep, [(estimator.fit(rows), None)], type(estimator).__name__)
+
     def one(k: int):
-        pm = pipe.copy().fit(f.where(F.col("__fold") != k))
-        held = pm.transform(f.where(F.col("__fold") == k)) \
-                 .select(vector_to_array(F.col("probability"))[1].alias("__raw"), F.col(label).alias("label"))
-        held = VectorAssembler(inputCols=["__raw"], outputCol="features").transform(held)
-        cal = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(held)
-        return pm, cal
+        clf = estimator.copy().fit(rows.where(F.col("__fold") != k))
+        held = ScoringModel(None, [(clf, None)]).score_features(rows.where(F.col("__fold") == k), ["label"], "__raw")
+        return clf, fit_calibrator(held, calibration)
 
-    members = _parallel_map(one, list(range(folds)), parallelism)
-    return ScoringModel(members, type(estimator).__name__)
+    return ScoringModel(prep, _parallel_map(one, list(range(folds)), parallelism), type(estimator).__name__)
 
 
 def _parallel_map(fn, items: list, parallelism: int) -> list:
@@ -179,8 +225,12 @@ def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str],
     train = cut_lineage(balanced_weights(rest.where(~F.col("__val")).drop("__val"), label))
     n_train = train.count()
     cands = [(n, e) for n, e in candidates(n_train, seed, label).items() if not names or n in names]
+    if label != "label":
+        raise ValueError("the target is named label")
+    # one preprocessor and one table of features for all candidates
+    made = made_features(train, numeric, categorical, key=key, seed=seed)
     fitted = _parallel_map(lambda ne: fit(train, numeric, categorical, ne[1], calibration, key=key, seed=seed,
-                                          label=label, parallelism=3), cands, len(cands))
+                                          parallelism=3, made=made), cands, len(cands))
     rows, models = [], {}
     for (name, _), m in zip(cands, fitted):
         sv = m.transform(val).withColumn("__m", F.lit(name))
@@ -220,17 +270,16 @@ def score(df: DataFrame, model: ScoringModel, threshold: float, version: str,
 
 
 def save(model: ScoringModel, path: str) -> None:
-    for i, (pm, cal) in enumerate(model.members):
-        pm.write().overwrite().save(f"{path}/member_{i}/pipeline")
+    model.prep.write().overwrite().save(f"{path}/preprocessor")
+    for i, (clf, cal) in enumerate(model.members):
+        clf.write().overwrite().save(f"{path}/member_{i}/classifier")
         if cal is not None:
             cal.write().overwrite().save(f"{path}/member_{i}/calibrator")
 
 
-def load(path: str, n_members: int, calibrated: bool = True) -> ScoringModel:
-    from pyspark.ml.classification import LogisticRegressionModel
-    members = []
-    for i in range(n_members):
-        pm = PipelineModel.load(f"{path}/member_{i}/pipeline")
-        cal = LogisticRegressionModel.load(f"{path}/member_{i}/calibrator") if calibrated else None
-        members.append((pm, cal))
-    return ScoringModel(members)
+def load(path: str, n_members: int, calibration: str | None = "sigmoid", kind=LogisticRegressionModel) -> ScoringModel:
+    """A saved model: ``kind`` is the class of its classifiers."""
+    read = {"sigmoid": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}
+    return ScoringModel(PipelineModel.load(f"{path}/preprocessor"), [
+        (kind.load(f"{path}/member_{i}/classifier"), read[calibration].load(f"{path}/member_{i}/calibrator") if calibration else None)
+        for i in range(n_members)])

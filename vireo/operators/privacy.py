@@ -7,14 +7,14 @@ walking the schema once on the driver and emitting one projection.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vireo import config as C
 from vireo.functions.expr import has_pii, pii_match_count, pii_redact, pseudonymize
+from vireo.functions.stats import ordered_prefix_sums
+from vireo.sources.tables import path_exists
 
 
 def _q(n: str) -> str:
@@ -140,13 +140,15 @@ def row_fingerprint(df: DataFrame, cols: list[str] | None = None, length: int =
     return F.substring(F.sha2(F.concat_ws(",", *parts), 256), 1, length)
 
 
-def audit_records(df: DataFrame, action: str, cols: list[str] | None = None,
-                  safe: list[str] = C.SAFE_FIELDS) -> DataFrame:
-    cols = cols or df.columns
-    safe_present = sorted(set(cols) & set(safe))
-    return df.select(F.lit(action).alias("action"), row_fingerprint(df, cols).alias("data_hash"),
-                     F.lit(len(cols)).alias("field_count"),
-                     F.array(*[F.lit(s) for s in safe_present]).cast("array<string>").alias("safe_fields"))
+def audit_records(log: DataFrame, request: str, inputs: list[str], probability: str, latency: str, success: Column,
+                  version: str, ts: str | None = None) -> DataFrame:
+    """One audit record per prediction, without personal data: the hash of its
+    inputs and how many they are, the rounded probability, the model version,
+    the rounded latency and whether it succeeded."""
+    return log.select(*([F.col(ts).alias("timestamp")] if ts else []), F.col(request).alias("request_id"),
+                      row_fingerprint(log, inputs).alias("input_hash"), F.lit(len(inputs)).alias("field_count"),
+                      F.round(probability, 6).alias("probability"), F.lit(version).alias("model_version"),
+                      F.round(latency, 2).alias("latency_ms"), success.alias("success"))
 
 
 # S7 ------------------------------------------------------------------------
@@ -203,31 +205,65 @@ def run_retention(spark, store: str, as_of: str, days: int, ts: str = "ts", dt:
     rows (total, removed, retained) and what is done with it.
 
     A partition whose rows are all older than the cutoff is dropped as a
-    folder; one that the cutoff cuts through is rewritten (staged first in a
-    folder of its own, which a failed run leaves); all others stay untouched.
-    Rows without a time stay.  Nothing changes unless ``dry_run=False``.  The
-    plan holds one row per partition, so it is bounded by the calendar."""
+    folder; one that the cutoff cuts through is rewritten; all others stay
+    untouched.  Rows without a time stay.  Nothing changes unless
+    ``dry_run=False``.  The plan holds one row per partition, so it is bounded
+    by the calendar.
+
+    A run that fails is finished by the next one.  Beside the store it first
+    writes the rows to keep of the partitions it will rewrite, then the plan;
+    only then does it change the store, by steps that may be repeated, and
+    at last it removes both.  A run that finds such a plan carries it out before
+    its own; rows written without a plan are from a run that changed nothing."""
+    if not dry_run:
+        _finish_retention(spark, store, dt)
     df = spark.read.option("basePath", store).parquet(store)
     rep = retention_report(df, ts, as_of, days, [dt])
     rep = rep.withColumn("action", F.when(F.col("removed") == 0, "keep").when(F.col("retained") == 0, "drop").otherwise("rewrite"))
-    rows = [tuple(r) for r in rep.orderBy(dt).collect()]
-    plan = spark.createDataFrame(rows, rep.schema)
-    if dry_run:
-        return plan
-    cut = [r[0] for r in rows if r[4] == "rewrite"]
-    if cut:
-        staged = f"{store.rstrip('/')}__retained-{uuid.uuid4().hex}"
-        kept = retained_rows(df.where(F.col(dt).isin(cut)), ts, as_of, days)
-        kept.write.partitionBy(dt).parquet(staged)
-        (spark.read.option("basePath", staged).parquet(staged)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(dt).parquet(store))
-        _delete(spark, staged)
-    for r in rows:
-        if r[4] == "drop":
-            _delete(spark, f"{store.rstrip('/')}/{dt}={r[0]}")
+    plan = spark.createDataFrame([tuple(r) for r in rep.orderBy(dt).collect()], rep.schema)
+    if not dry_run:
+        kept = retained_rows(df.join(F.broadcast(plan.where("action = 'rewrite'").select(dt)), dt, "left_semi"), ts, as_of, days)
+        _stage_retained(kept, store, dt)
+        _record_plan(plan, store)
+        _finish_retention(spark, store, dt)
     return plan
 
 
+def _beside(store: str, name: str) -> str:
+    return f"{store.rstrip('/')}__retention/{name}"
+
+
+def _stage_retained(kept: DataFrame, store: str, dt: str) -> None:
+    kept.repartition(dt).write.mode("overwrite").partitionBy(dt).parquet(_beside(store, "retained"))
+
+
+def _record_plan(plan: DataFrame, store: str) -> None:
+    plan.coalesce(1).write.mode("overwrite").parquet(_beside(store, "plan"))
+
+
+def _finish_retention(spark, store: str, dt: str) -> None:
+    """Carry out the recorded plan, if there is one (written whole)."""
+    if path_exists(spark, _beside(store, "plan") + "/_SUCCESS"):
+        rows = spark.read.parquet(_beside(store, "plan")).select(dt, "action").collect()
+        if any(r["action"] == "rewrite" for r in rows):
+            _swap(spark, store, dt)
+        _drop_folders(spark, store, dt, [r[dt] for r in rows if r["action"] == "drop"])
+        _delete(spark, _beside(store, "plan"))
+    _delete(spark, _beside(store, "").rstrip("/"))
+
+
+def _swap(spark, store: str, dt: str) -> None:
+    """Put the rows to keep in the place of their partitions."""
+    staged = _beside(store, "retained")
+    (spark.read.option("basePath", staged).parquet(staged)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(dt).parquet(store))
+
+
+def _drop_folders(spark, store: str, dt: str, values: list) -> None:
+    for v in values:
+        _delete(spark, f"{store.rstrip('/')}/{dt}={v}")
+
+
 def _delete(spark, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -242,27 +278,64 @@ def rows_by_file_age(df: DataFrame, as_of, days: int = 0) -> DataFrame:
             .groupBy("expired").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def file_ages(spark, path: str, as_of: str, days: int) -> DataFrame:
-    """Files older than the cutoff by modification time (report only)."""
-    df = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length")
-    cutoff = F.to_timestamp(F.lit(as_of)) - F.make_dt_interval(F.lit(days))
-    return df.withColumn("expired", F.col("modificationTime") < cutoff)
+def file_hashes(spark, path: str) -> DataFrame:
+    """(path, name, sha256, length) per file, computed by the executors that read
+    it (a file is one value there: at most 2 GB; larger ones by ``file_block_hashes``)."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), "length")
 
 
-def file_hashes(spark, path: str) -> DataFrame:
-    """sha256 per file, computed by the executors that read the file (a file
-    is one value there: at most 2 GB; larger tables by ``content_hashes``)."""
-    df = spark.read.format("binaryFile").load(path)
-    return df.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"),
-                     "length")
+def _digest_sum(bits_of):
+    """A sum of 60 bits of an MD5 per row: rows combine before the shuffle, in any order."""
+    return F.sum(F.conv(F.substring(F.md5(bits_of), 1, 15), 16, 10).cast("decimal(38,0)"))
 
 
 def content_hashes(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
     """(name, sha256) per value of column ``name``: the digest of the rows in
     it whatever their order or their files, of any size.  Every row gives 60
-    bits of the MD5 of its values (as text, nulls marked); their sum and the
+    bits of the MD5 of its values as text, each with its length before it
+    (so that no two rows read alike) and nulls marked; their sum and the
     number of rows are hashed, so rows combine before the shuffle."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(_q(c)).cast("string"), F.lit("\\N")) for c in cols])
-    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
-    g = df.groupBy(F.col(_q(name)).cast("string").alias("name")).agg(F.sum(bits).alias("s"), F.count(F.lit(1)).alias("n"))
+    texts = [F.col(_q(c)).cast("string") for c in cols]
+    row = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    g = df.groupBy(F.col(_q(name)).cast("string").alias("name")).agg(_digest_sum(row).alias("s"), F.count(F.lit(1)).alias("n"))
     return g.select("name", F.sha2(F.concat_ws(":", F.col("s").cast("string"), F.col("n").cast("string")), 256).alias("sha256"))
+
+
+#: bytes of a block of the hash tree
+HASH_BLOCK = 128 << 20
+
+
+def file_block_hashes(spark, path: str, block_bytes: int = HASH_BLOCK) -> DataFrame:
+    """(path, name, block, sha256) for files of any size and kind: a digest of every
+    block of about ``block_bytes``.
+
+    The files are read in byte ranges by all tasks, as pieces that end at a
+    newline byte (no byte is changed or lost).  A running sum over the ranges
+    gives each piece its offset in the file; it belongs to the block in which
+    it begins, and enters that block's digest with its offset.  So blocks do
+    not depend on how the ranges were cut.  Only a piece of 2 GB without a
+    newline byte cannot be read."""
+    raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    pieces = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("range"),
+                        F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("i"),
+                        (F.octet_length("value") + 1).cast("bigint").alias("bytes"), F.md5(F.col("value").cast("binary")).alias("h"))
+    placed = ordered_prefix_sums(pieces, ["path"], "i", ["bytes"], F.col("range"))
+    g = (placed.groupBy("path", "size", F.floor(F.col("bytes_cum") / F.lit(block_bytes)).alias("block"))
+         .agg(_digest_sum(F.concat_ws(":", "bytes_cum", "h")).alias("s"), F.sum("bytes").alias("n")))
+    digest = F.sha2(F.concat_ws(":", F.col("s").cast("string"), "n", "size"), 256)
+    return g.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "block", digest.alias("sha256"))
+
+
+def file_tree_hashes(blocks: DataFrame) -> DataFrame:
+    """(name, sha256, n_blocks): the root over the block digests of a file."""
+    parts = F.array_sort(F.collect_list(F.struct("block", "sha256")))
+    return blocks.groupBy("name").agg(F.sha2(F.array_join(F.transform(parts, lambda x: x["sha256"]), ""), 256).alias("sha256"),
+                                      F.count(F.lit(1)).alias("n_blocks"))
+
+
+def changed_blocks(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """(name, block) of the blocks that differ, are missing or were added."""
+    a = expected.select("name", "block", F.col("sha256").alias("e"))
+    b = actual.select("name", "block", F.col("sha256").alias("a"))
+    return a.join(b, ["name", "block"], "full").where(~F.col("e").eqNullSafe(F.col("a"))).select("name", "block")

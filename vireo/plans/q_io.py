@@ -90,3 +90,39 @@ def a12_extract_scores(spark, d):
     agg = A.request_aggregate(li, "l_orderkey", ["l_quantity"], "risk_score", digits=12)
     s = extract_scores(agg)
     return s.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
+
+
+@query("io9_report_tables", """
+SELECT 'by_type' AS report, event_type AS key, count(*) AS n FROM events GROUP BY ALL
+UNION ALL SELECT 'by_day', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM events GROUP BY ALL""")
+def io9_report_tables(spark, d):
+    """Two report tables written with their JSON copies and read again: one as Parquet, one as JSON."""
+    e = table(spark, d, "events")
+    base = shared_path(spark, "reports")
+    n = F.count(F.lit(1)).alias("n")
+    IO.write_report_tables({"by_type": e.groupBy(F.col("event_type").alias("key")).agg(n),
+                            "by_day": e.groupBy(F.to_date("ts").cast("string").alias("key")).agg(n)}, base, json_copy=True)
+    a = spark.read.parquet(f"{base}/by_type").select(F.lit("by_type").alias("report"), "key", "n")
+    b = spark.read.schema("key string, n bigint").json(f"{base}/by_day_json").select(F.lit("by_day").alias("report"), "key", "n")
+    return a.unionByName(b)
+
+
+@query("p10_select_by_prefix", """
+SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem""")
+def p10_select_by_prefix(spark, d):
+    """Columns by prefix, less those excluded."""
+    from vireo.operators.prepare import select_by_prefix
+    li = table(spark, d, "lineitem")
+    return select_by_prefix(li, ["l_order", "l_line", "l_ship"], ["l_linestatus"])
+
+
+@query("j5_profile_join", """
+WITH b AS (SELECT event_type AS feature, count(*) AS n_baseline FROM events WHERE ts < TIMESTAMP '2024-01-22' GROUP BY ALL),
+c AS (SELECT event_type AS feature, count(*) AS n_current FROM events WHERE ts >= TIMESTAMP '2024-01-22' AND event_type <> 'click' GROUP BY ALL)
+SELECT feature, n_baseline, n_current FROM b LEFT JOIN c USING (feature)""")
+def j5_profile_join(spark, d):
+    """Baseline profile with the current one; a feature that is gone keeps its row."""
+    from vireo.operators.joins import profile_join
+    e = table(spark, d, "events").withColumnRenamed("event_type", "feature")
+    before, after = e.where(F.col("ts") < "2024-01-22"), e.where((F.col("ts") >= "2024-01-22") & (F.col("feature") != "click"))
+    return profile_join(before.groupBy("feature").agg(F.count(F.lit(1)).alias("n_baseline")), after.groupBy("feature").agg(F.count(F.lit(1)).alias("n_current")))

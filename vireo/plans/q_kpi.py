@@ -105,6 +105,20 @@ def d5_relative_change_same_quarter(spark, d):
     return K.relative_change(r, ["quarter"], "year", "rate")
 
 
+@query("d5_relative_change_with_gaps", """
+WITH r AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+             round(avg(CAST(o_orderstatus = 'F' AS DOUBLE)), 6) AS rate FROM orders
+           WHERE (year(o_orderdate) + quarter(o_orderdate)) % 4 <> 0 GROUP BY ALL)
+SELECT r.year, r.quarter, r.rate, b.rate AS baseline, round((r.rate - b.rate) / nullif(b.rate, 0), 6) AS relative_change
+FROM r LEFT JOIN r b ON b.quarter = r.quarter AND b.year = r.year - 2""")
+def d5_relative_change_with_gaps(spark, d):
+    """Change against two years before, in rates of which every fourth is absent."""
+    o = table(spark, d, "orders")
+    r = o.groupBy(F.year("o_orderdate").cast("int").alias("year"), F.quarter("o_orderdate").cast("int").alias("quarter")) \
+         .agg(F.round(F.avg((F.col("o_orderstatus") == "F").cast("double")), 6).alias("rate")).where((F.col("year") + F.col("quarter")) % 4 != 0)
+    return K.relative_change(r, ["quarter"], "year", "rate", lag=2)
+
+
 @query("d6_process_kpis_by_segment", with_views("""
 , s AS (SELECT segment, request_id AS key, ts FROM v2 WHERE risk_score >= 0.5),
 j AS (SELECT s.segment, s.key, s.ts, min(l.l_shipdate) AS fa FROM s LEFT JOIN lineitem l ON l.l_orderkey = s.key
@@ -170,13 +184,50 @@ def d10_temporal_consistency(spark, d):
     return K.temporal_consistency(v1, "ra", "ano", "tenure")
 
 
-@query("d11_subject_folds")
+@query("d11_subject_folds", with_views("""
+SELECT CAST(CAST('0x' || substr(md5('42:' || ra), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold, count(DISTINCT ra) AS n_subjects, count(*) AS n_rows
+FROM v1 GROUP BY fold""", "v1"))
 def d11_subject_folds(spark, d):
-    """Rows-only: hash folds by subject; checks no subject spans two folds."""
+    """Hash folds by subject: no subject spans two folds."""
     f = K.subject_folds(subject_year(spark, d), "ra", 5)
     return f.groupBy("fold").agg(F.countDistinct("ra").alias("n_subjects"), F.count(F.lit(1)).alias("n_rows"))
 
 
+_D11 = """
+s AS (SELECT ra, count(*) AS n_rows, count(*) FILTER (WHERE defasagem < 0) AS n_pos FROM v1 GROUP BY ra),
+o AS (SELECT *, (row_number() OVER (ORDER BY n_rows DESC, n_pos DESC, md5(CAST(ra AS VARCHAR))) - 1) % 5 AS fold FROM s)"""
+
+
+@query("d11_balanced_folds", with_views("SELECT ra, CAST(fold AS INTEGER) AS fold FROM o", "v1", ctes=[_D11]))
+def d11_balanced_folds(spark, d):
+    """Whole subjects in folds of equal size and class share."""
+    f = K.balanced_folds(subject_year(spark, d).withColumn("late", (F.col("defasagem") < 0).cast("int")), "ra", "late", 5)
+    return f.select("ra", "fold")
+
+
+@query("d11_fold_balance", with_views("""
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_subjects, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_pos) AS BIGINT) AS n_pos,
+  (SELECT max(x) - min(x) FROM (SELECT sum(n_rows) AS x FROM o GROUP BY fold)) <= (SELECT max(n_rows) FROM s) AS within_bound
+FROM o GROUP BY fold""", "v1", ctes=[_D11]))
+def d11_fold_balance(spark, d):
+    f = K.balanced_folds(subject_year(spark, d).withColumn("late", (F.col("defasagem") < 0).cast("int")), "ra", "late", 5)
+    per = f.groupBy("fold").agg(F.count(F.lit(1)).alias("n_subjects"), F.sum("n_rows").alias("n_rows"), F.sum("n_pos").alias("n_pos"),
+                                F.max("n_rows").alias("__largest"))
+    r = per.agg(F.max("n_rows") - F.min("n_rows"), F.max("__largest")).first()
+    return per.drop("__largest").withColumn("within_bound", F.lit(bool(r[0] <= r[1])))
+
+
+@query("d11_temporal_folds", with_views("""
+SELECT p.fold, CASE WHEN ano = p.fold THEN 'test' ELSE 'train' END AS role, count(*) AS n, count(*) FILTER (WHERE defasagem < 0) AS n_pos
+FROM v1, (SELECT DISTINCT ano AS fold FROM v1) p WHERE ano = p.fold OR ano < p.fold - 1 GROUP BY ALL""", "v1"))
+def d11_temporal_folds(spark, d):
+    """Every period tested on models of the periods before it, with a gap of one."""
+    from vireo.operators.prepare import periods
+    v = subject_year(spark, d)
+    f = K.temporal_folds(v, "ano", periods(v, "ano"), gap=1)
+    return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("defasagem") < 0).alias("n_pos"))
+
+
 def _triggers_sql():
     from vireo.plans.catalog import REGISTRY
     return f"""

@@ -112,6 +112,18 @@ def s6_audit_fingerprints(spark, d):
                      F.lit(len(cols)).alias("field_count"), "request_id")
 
 
+@query("s6_audit_records", """
+SELECT event_id AS request_id, substr(sha256(concat_ws(',', 'event_type=' || event_type, 'props=' || props)), 1, 16) AS input_hash,
+  2 AS field_count, round(value / (value + 50), 6) AS probability, 'v1' AS model_version, round(value, 2) AS latency_ms,
+  event_type <> 'error' AS success
+FROM events""")
+def s6_audit_records(spark, d):
+    """An audit record per request: hashes and rounded numbers, no inputs."""
+    e = table(spark, d, "events").withColumn("probability", F.col("value") / (F.col("value") + 50))
+    return S.audit_records(e, "event_id", ["event_type", "props"], "probability", "value", F.col("event_type") != "error", "v1") \
+        .withColumnRenamed("event_id", "request_id")
+
+
 @query("s7_drop_pii_fields", """
 SELECT c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def s7_drop_pii_fields(spark, d):
@@ -167,22 +179,65 @@ def s9_file_ages(spark, d):
     return S.rows_by_file_age(spark.read.parquet(store), first)
 
 
-_ROW = ("concat_ws('|', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), event_type, props)")
+# every column as text, in a format that both engines write alike, with its length before it
+_TEXTS = ["CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)", "event_type",
+          "CAST(CAST(value AS DECIMAL(30, 9)) AS VARCHAR)", "props"]
+_ROW = " || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in _TEXTS)
+
+
+def _hashed(df):
+    """The event table with all of its columns as text."""
+    return df.select("dt", F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                     F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("value").cast("decimal(30,9)").cast("string").alias("value"), "props")
 
 
 @query("s10_file_hashes_verified", f"""
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS name,
   sha256(CAST(sum(CAST('0x' || substr(md5({_ROW}), 1, 15) AS BIGINT)) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR)) AS expected,
-  CAST(ts AS DATE) <> DATE '2024-01-10' AS ok
+  CAST(ts AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-12', DATE '2024-01-15') AS ok
 FROM events GROUP BY CAST(ts AS DATE)""")
 def s10_file_hashes_verified(spark, d):
-    """Hashes of the event table by day against a store of it by day, in which
-    the rows of one day have been changed."""
+    """Hashes of all columns of the event table by day against a store of it by
+    day, in which the users of one day, the values of another and the times
+    within a third have been changed."""
     e = table(spark, d, "events")
     store = shared_path(spark, "hashes")
-    changed = F.when(F.to_date("ts") == F.lit("2024-01-10"), F.col("user_id") + 1).otherwise(F.col("user_id"))
-    append_events(e.withColumn("user_id", changed), store)
-    cols = ["event_id", "user_id", "event_type", "props"]
-    checked = verify_hashes(S.content_hashes(e.withColumn("dt", F.to_date("ts")), "dt", cols),
-                            S.content_hashes(spark.read.parquet(store), "dt", cols))
+    on = lambda day: F.to_date("ts") == F.lit(day)
+    append_events(e.select("event_id", F.when(on("2024-01-15"), F.date_trunc("second", "ts")).otherwise(F.col("ts")).cast(e.schema["ts"].dataType).alias("ts"),
+                           F.when(on("2024-01-10"), F.col("user_id") + 1).otherwise(F.col("user_id")).alias("user_id"), "event_type",
+                           F.when(on("2024-01-12"), F.col("value") + 0.25).otherwise(F.col("value")).alias("value"), "props"), store)
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    checked = verify_hashes(S.content_hashes(_hashed(e.withColumn("dt", F.to_date("ts"))), "dt", cols),
+                            S.content_hashes(_hashed(spark.read.parquet(store)), "dt", cols))
     return checked.select("name", "expected", "ok")
+
+
+@query("s10_stored_files_verified", """
+SELECT count(DISTINCT CAST(ts AS DATE)) AS n_files, 1 AS n_changed, 1 AS n_absent, 1 AS n_changed_by_block, false AS verified FROM events""")
+def s10_stored_files_verified(spark, d):
+    """The files of a store by day, hashed as files and by blocks; then one file
+    gets more rows and one is lost."""
+    e = table(spark, d, "events").withColumn("dt", F.to_date("ts"))
+    store, changed = shared_path(spark, "files"), shared_path(spark, "files-changed")
+
+    def write(df, path):
+        # a text file per day, named by it
+        df.select("dt", F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props")).alias("line")) \
+          .repartition("dt").sortWithinPartitions("dt", "line").write.partitionBy("dt").text(path)
+
+    def by_day(hashes, path):
+        day = F.regexp_extract("path", r"dt=([0-9-]+)", 1)
+        return hashes(spark, path).withColumn("name", day).drop("path")
+
+    write(e, store)
+    # a day's events once more under other ids
+    more = e.where(F.col("dt") == "2024-01-09").withColumn("event_id", -1 - F.col("event_id"))
+    write(e.where(F.col("dt") != "2024-01-20").unionByName(more), changed)
+    before, after = by_day(S.file_hashes, store), by_day(S.file_hashes, changed)
+    checked = verify_hashes(before, after).withColumn("absent", F.col("actual").isNull())
+    blocks = S.changed_blocks(by_day(S.file_block_hashes, store), by_day(S.file_block_hashes, changed))
+    counts = checked.agg(F.count(F.lit(1)).alias("n_files"), F.count_if(~F.col("ok") & ~F.col("absent")).alias("n_changed"),
+                         F.count_if("absent").alias("n_absent"), F.bool_and("ok").alias("verified"))
+    named = blocks.join(after.select("name").distinct(), "name").agg(F.countDistinct("name").alias("n_changed_by_block"))
+    one = named.first()["n_changed_by_block"]
+    return counts.select("n_files", "n_changed", "n_absent", F.lit(one).alias("n_changed_by_block"), "verified")

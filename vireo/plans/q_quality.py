@@ -42,6 +42,29 @@ def q2_ranges_lineitem(spark, d):
     return Q.check_ranges(table(spark, d, "lineitem"), LINEITEM_RANGES)
 
 
+@query("q2_violation_samples_lineitem", """
+SELECT 'l_quantity' AS "column", l_quantity AS value, row_number() OVER (ORDER BY l_quantity) AS rank
+FROM lineitem WHERE l_quantity < 2 OR l_quantity > 49 ORDER BY l_quantity LIMIT 5""")
+def q2_violation_samples_lineitem(spark, d):
+    """The first values outside a range, in value order."""
+    return Q.range_violation_samples(table(spark, d, "lineitem"), {"l_quantity": (2, 49)}, 5)
+
+
+@query("q10_row_reasons_lineitem", """
+SELECT l_returnflag, count(*) AS n_rows, count(*) FILTER (WHERE l_quantity > 45 OR l_quantity < 1) AS n_range, count(*) FILTER (WHERE l_linenumber = 3) AS n_text,
+  count(*) FILTER (WHERE l_linenumber = 4) AS n_missing, count(*) FILTER (WHERE NOT (l_quantity > 45 OR l_quantity < 1) AND l_linenumber NOT IN (3, 4)) AS n_fit
+FROM lineitem GROUP BY l_returnflag""")
+def q10_row_reasons_lineitem(spark, d):
+    """Reasons to reject a row of a batch: a range, a number that does not parse, a missing value."""
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity", F.when(F.col("l_linenumber") == 3, F.lit("x")).otherwise(F.col("l_tax").cast("string")).alias("l_tax"),
+                                            F.when(F.col("l_linenumber") != 4, F.col("l_discount")).alias("l_discount"))
+    r = Q.row_reasons(li, {"l_quantity": "double", "l_tax": "double", "l_discount": "double"}, {"l_quantity": (1, 45)}, ["l_discount"])
+    why = lambda text: F.count_if(F.array_contains("reasons", text))
+    return r.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), why("l_quantity: outside [1, 45]").alias("n_range"),
+                                         why("l_tax: not a number").alias("n_text"), why("l_discount: missing").alias("n_missing"),
+                                         F.count_if(F.size("reasons") == 0).alias("n_fit"))
+
+
 @query("q3_missing_customer", G.missing(CUSTOMER_NULLS_SQL, CUSTOMER_COLS, ["c_custkey", "c_acctbal"], 0.3))
 def q3_missing_customer(spark, d):
     return Q.check_missing(customer_with_nulls(spark, d), ["c_custkey", "c_acctbal"], 0.3)

@@ -173,7 +173,7 @@ def w8_label_join_stream(spark, d):
     out = W.shared_path(spark, "w8-metrics")
 
     def per_batch(bdf, bid):
-        joined = W.label_join(bdf, bdf.sparkSession.read.parquet(pred_dir), ("request_id", "period"))
+        joined = W.label_join(bdf, bdf.sparkSession.read.parquet(pred_dir), ("request_id", "period"), partition="period")
         m = metrics_from_counts(confusion_counts(joined, ["model"], "label", (F.col("risk_score") >= 0.5).cast("int")))
         m.write.mode("overwrite").parquet(f"{out}/batch_id={bid}")
 

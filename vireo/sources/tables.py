@@ -93,16 +93,19 @@ def read_labels(spark: SparkSession, path: str | None, schema: T.StructType = LA
 
 # IO4 ---------------------------------------------------------------------
 def read_events(spark: SparkSession, store: str, start=None, end=None, limit: int | None = None,
-                ts_col: str = "ts", fmt: str = "parquet", strict: bool = False) -> DataFrame:
+                ts_col: str = "ts", fmt: str = "parquet", strict: bool = True) -> DataFrame:
     """Events from one table partitioned by ``dt`` (yyyy-MM-dd).
 
     The date range is a filter on the partition column, so Spark prunes
-    whole directories.  Unreadable files of this read alone are skipped
-    (``strict=True`` raises instead).  ``limit`` keeps the earliest
-    rows by timestamp, which is deterministic, unlike file order.
+    whole directories.  An unreadable file raises; with ``strict=False`` the
+    unreadable files of this read alone are skipped, and ``unread_files`` names
+    them.  ``limit`` keeps the earliest rows by timestamp, which is
+    deterministic, unlike file order.  A CSV store has the types that
+    inference finds over all its files.
     """
     skip = "false" if strict else "true"
-    r = spark.read.option("basePath", store).option("ignoreCorruptFiles", skip)
+    # the schema then comes from all footers, as the first one may be a broken file's
+    r = spark.read.option("basePath", store).option("ignoreCorruptFiles", skip).option("mergeSchema", skip)
     if fmt == "both":
         # a store holding Parquet and CSV files side by side: read each by its
         # own reader (glob per format) and union by name
@@ -111,7 +114,7 @@ def read_events(spark: SparkSession, store: str, start=None, end=None, limit: in
             .csv(f"{store}/*/*.csv")
         df = pq.unionByName(cs)
     else:
-        df = r.parquet(store) if fmt == "parquet" else r.option("header", "true").csv(store)
+        df = r.parquet(store) if fmt == "parquet" else r.option("header", "true").option("inferSchema", "true").csv(store)
     if start is not None:
         df = df.where(F.col("dt") >= F.to_date(F.lit(str(start)[:10])))
     if end is not None:
@@ -121,6 +124,16 @@ def read_events(spark: SparkSession, store: str, start=None, end=None, limit: in
     return df
 
 
+def unread_files(spark: SparkSession, store: str) -> DataFrame:
+    """(path, length) of the Parquet files of a store that give no row: those that
+    cannot be read, and empty ones.  Only listings and footers are read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(store)
+             .select("path", "length"))
+    read = (spark.read.option("basePath", store).option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(store)
+            .select(F.col("_metadata.file_path").alias("path")).distinct())
+    return files.join(read, "path", "left_anti")
+
+
 # IO5 ---------------------------------------------------------------------
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, limit: int | None = None,
                ts_col: str | None = None) -> DataFrame:

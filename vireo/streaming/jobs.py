@@ -157,6 +157,30 @@ def inference_log(stream: DataFrame, ts: str = "ts", drop: list[str] | None = No
     return d.withColumn("dt", F.to_date(F.col(ts)))
 
 
+# W6 ------------------------------------------------------------------------
+def score_batches(stream: DataFrame, score, signature: dict[str, str], path: str, checkpoint: str | None = None,
+                  ranges: dict | None = None, required: list[str] | None = None) -> list:
+    """Score a stream of feature rows once each: rows that pass the row checks
+    (Q10) go through ``score`` to ``path/scored``, the others with their reasons
+    to ``path/rejected``, and a line of counts to ``path/account``.
+
+    Every batch owns one folder per table, named by its number, and writes it
+    by overwriting: a batch that is replayed after a failure, half written or
+    not, ends in the same rows."""
+    from vireo.operators.quality import row_reasons
+
+    def write(batch: DataFrame, number: int) -> None:
+        from vireo.session import cut_lineage
+        checked = cut_lineage(row_reasons(batch, signature, ranges, required))
+        bad = F.size("reasons") > 0
+        score(checked.where(~bad).drop("reasons")).write.mode("overwrite").parquet(f"{path}/scored/batch={number}")
+        checked.where(bad).write.mode("overwrite").parquet(f"{path}/rejected/batch={number}")
+        (checked.agg(F.count(F.lit(1)).alias("n_in"), F.count_if(~bad).alias("n_scored"), F.count_if(bad).alias("n_rejected"))
+         .write.mode("overwrite").parquet(f"{path}/account/batch={number}"))
+
+    return run_available_now(stream, foreach_batch=write, checkpoint=checkpoint)
+
+
 # W7 ------------------------------------------------------------------------
 def daily_score_bins(stream: DataFrame, ts: str, score: str, watermark: str = "1 day") -> DataFrame:
     """Counts per (day, score bin) with an event-time watermark (append mode)."""
@@ -170,10 +194,27 @@ def daily_score_bins(stream: DataFrame, ts: str, score: str, watermark: str = "1
 
 
 # W8 ------------------------------------------------------------------------
-def label_join(labels_stream: DataFrame, predictions: DataFrame, keys=("request_id",)) -> DataFrame:
-    """Late labels (stream) joined to the static, partitioned predictions
-    table: no 90-day join state is kept."""
-    return labels_stream.join(predictions, list(keys), "inner")
+#: periods or keys of a batch that are named in a filter
+MAX_NAMED = 1000
+
+
+def label_join(labels: DataFrame, predictions: DataFrame, keys=("request_id",), partition: str | None = None,
+               key_range: bool = True) -> DataFrame:
+    """Late labels joined to the static predictions table: no 90-day join state
+    is kept.  With ``partition`` (a column of both) a batch of labels reads
+    only the partitions it names: their values are listed and become a
+    partition filter of the scan, as long as there are at most ``MAX_NAMED`` of
+    them (periods are bounded by the calendar).  A range of the first key, from
+    the batch's smallest to its largest, is pushed into the files."""
+    if not labels.isStreaming and partition is not None:
+        named = [r[0] for r in labels.select(partition).distinct().limit(MAX_NAMED + 1).collect()]
+        if len(named) <= MAX_NAMED:
+            predictions = predictions.where(F.col(partition).isin([v for v in named if v is not None]))
+    if not labels.isStreaming and key_range:
+        low, high = labels.agg(F.min(keys[0]), F.max(keys[0])).first()
+        if low is not None:
+            predictions = predictions.where(F.col(keys[0]).between(F.lit(low), F.lit(high)))
+    return labels.join(predictions, list(keys), "inner")
 
 
 # W9 ------------------------------------------------------------------------
