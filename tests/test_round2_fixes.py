@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vireo.functions.stats import unit_bucket
 from vireo.operators import kpi as K
 from vireo.operators import ml as M
 from vireo.operators import privacy as S
@@ -69,7 +68,16 @@ def test_token_bucket_over_slices():
 
 
 def test_clustered_scores_spread(spark):
-    df = spark.range(20_000).select((F.col("id") / 20_000_000.0).alias("s")).withColumn("b", unit_bucket("s"))
-    assert df.groupBy("b").count().agg(F.max("count")).first()[0] < 0.05 * 20_000
-    rows = df.orderBy("s").collect()
-    assert all(x.b <= y.b for x, y in zip(rows, rows[1:]))
+    """Scores inside a hundredth of the interval are dealt to ranges evenly."""
+    from vireo.operators.evaluate import score_table
+    df = spark.range(40_000).select((0.43 + F.col("id") / 4_000_000.0).alias("p"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        st = score_table(df, [], "y", "p")
+        ranges = spark.read.parquet(st.inputFiles()[0].rsplit("/", 1)[0]).groupBy("__range").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(ranges) >= 4 and max(r["count"] for r in ranges) < 2 * 40_000 / len(ranges)
+    rows = st.orderBy("score").collect()
+    assert rows[0].tp_ge + rows[0].fp_ge == 40_000 and all(a.tp_ge >= b.tp_ge for a, b in zip(rows, rows[1:]))

@@ -57,14 +57,6 @@ def ordered_prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, su
                       for c in sum_cols])
 
 
-def unit_bucket(col: str, buckets: int = 4096) -> Column:
-    """Monotone bucket for values in [0, 1] (scores), even in log odds, so that
-    scores clustered near 0 or 1 spread over many buckets."""
-    x = F.least(F.greatest(F.col(col).cast("double"), F.lit(1e-12)), F.lit(1 - 1e-12))
-    z = F.log(x / (1 - x))
-    return F.least(F.greatest(F.floor((z + 28) * (buckets / 56)), F.lit(0)), F.lit(buckets - 1)).cast("int")
-
-
 def quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
               method: str = "bracket", names: list[str] | None = None, also: list[Column] | None = None, few_groups: bool = False) -> DataFrame:
     """One row per group with a column per probability (null for empty groups).

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import config as C
-from vireo.functions.stats import combine_one_row, ordered_prefix_sums, unit_bucket
+from vireo.functions.stats import combine_one_row, join_groups, ordered_prefix_sums
 
 
 def _safe_div(a, b):
@@ -49,32 +49,48 @@ def classification_metrics(df: DataFrame, by: list[str], y: str, p: str, thresho
 
 
 # Curves ---------------------------------------------------------------------
-def score_table(df: DataFrame, by: list[str], y: str, p: str, buckets: int = 4096) -> DataFrame:
+def score_table(df: DataFrame, by: list[str], y: str, p: str) -> DataFrame:
     """One row per (group, distinct score) with counts at that score and at or
-    above it (``tp_ge``/``fp_ge``) plus group totals ``P``/``N``."""
+    above it (``tp_ge``/``fp_ge``), the squared errors at it, and group totals
+    ``P``/``N``.
+
+    The predictions are scanned once: distinct scores are counted, dealt to
+    ranges of the score that hold about equally many of them (whatever the
+    scores look like), and written; the running counts are then windows inside
+    a (group, range)."""
+    from vireo.session import cut_lineage
     g = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("score")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    cum = ordered_prefix_sums(g, by, "score", ["pos", "neg"], unit_bucket("score", buckets), descending=True)
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"),
+        F.sum(F.pow(F.col(p) - F.col(y), 2)).alias("sq"), F.count(y).alias("labelled"))
+    # the number of a range is written with its rows: ranges are drawn from a sample
+    g = cut_lineage(g.repartitionByRange("score").withColumn("__range", F.spark_partition_id()))
+    cum = ordered_prefix_sums(g, by, "score", ["pos", "neg"], F.col("__range"), descending=True)
     tot = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(tot, by) if by else cum.withColumn("__k", F.lit(0)).join(tot.withColumn("__k", F.lit(0)), "__k") \
-                                        .drop("__k")
-    return j.select(*by, "score", "pos", "neg", (F.col("pos_cum") + F.col("pos")).alias("tp_ge"),
+    if by:
+        j = join_groups(cum, tot, by)
+    else:
+        t = tot.first()
+        j = cum.withColumns({c: F.lit(int(t[c] or 0)).cast("bigint") for c in ("P", "N")})
+    return j.select(*by, "score", "pos", "neg", "sq", "labelled", (F.col("pos_cum") + F.col("pos")).alias("tp_ge"),
                     (F.col("neg_cum") + F.col("neg")).alias("fp_ge"), "P", "N")
 
 
 # E2 / E3 / E4 ----------------------------------------------------------------
 def ranking_metrics(df: DataFrame, by: list[str], y: str, p: str) -> DataFrame:
     """Average precision (ties grouped), ROC AUC (ties count half), Brier."""
-    st = score_table(df, by, y, p)
+    return ranking_from_scores(score_table(df, by, y, p), by)
+
+
+def ranking_from_scores(st: DataFrame, by: list[str]) -> DataFrame:
+    """E2-E4 from the table of distinct scores."""
     prec = F.col("tp_ge") / (F.col("tp_ge") + F.col("fp_ge"))
     ap_term = F.when(F.col("P") > 0, F.col("pos") / F.col("P") * prec).otherwise(0.0)
     auc_term = F.col("pos") * (F.col("N") - F.col("fp_ge") + 0.5 * F.col("neg"))
     r = st.groupBy(*by).agg(F.sum(ap_term).alias("pr_auc"), F.sum(auc_term).alias("__auc"),
-                            F.first("P").alias("n_positive"), F.first("N").alias("n_negative"))
-    r = r.withColumn("roc_auc", F.when((F.col("n_positive") > 0) & (F.col("n_negative") > 0),
-                                       F.col("__auc") / (F.col("n_positive") * F.col("n_negative")))).drop("__auc")
-    b = df.groupBy(*by).agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier_score"))
-    return r.join(b, by) if by else r.withColumn("__k", F.lit(0)).join(b.withColumn("__k", F.lit(0)), "__k").drop("__k")
+                            F.first("P").alias("n_positive"), F.first("N").alias("n_negative"),
+                            F.try_divide(F.sum("sq"), F.sum("labelled")).alias("brier_score"))
+    auc = F.when((F.col("n_positive") > 0) & (F.col("n_negative") > 0), F.col("__auc") / (F.col("n_positive") * F.col("n_negative")))
+    return r.select(*by, "pr_auc", "n_positive", "n_negative", auc.alias("roc_auc"), "brier_score")
 
 
 # E5 ------------------------------------------------------------------------
@@ -147,13 +163,15 @@ def select_threshold(df: DataFrame, by: list[str], y: str, p: str, objective: st
     """Best threshold per group; the first best in ascending threshold order
     wins; no candidate -> ``fallback``.  Returns the metrics at it.
 
-    The confusion counts at the chosen threshold are read from the table of
-    distinct scores (counts at or above each score, class totals), so the
-    predictions are scanned once.  FPR is FP / (FP + TN); ``fpr_quirk``
+    The confusion counts at the chosen threshold are read from the written
+    table of distinct scores (counts at or above each score, class totals); the
+    predictions are scanned once, to make it.  FPR is FP / (FP + TN); ``fpr_quirk``
     reproduces the original rule that sets FPR to 0 when every prediction
     falls in one class.
     """
-    st = score_table(df, by, y, p)
+    from vireo.session import cut_lineage
+    # read four times below: the curve, its cut, the totals and the fallback
+    st = cut_lineage(score_table(df, by, y, p).drop("sq", "labelled"))
     cur = _curve(st, by)
     fpr = F.col("fpr")
     if fpr_quirk:
@@ -267,13 +285,19 @@ def performance_drift(pred: DataFrame, labels: DataFrame, by: list[str], keys=("
     recall < .70, precision < .30 or AUC < .75, else ``green``.  Groups with
     predictions but no labels report ``no_data``.
     """
-    lab = labels.select(*keys, F.col(label).alias("__y"))
-    j = pred.join(lab, list(keys), "inner")
+    from vireo.session import cut_lineage
+    lab = labels.select(*keys, F.col(label).alias("__y"), F.lit(True).alias("__labelled"))
     yhat = F.col(pred_label) if pred_label else (F.col(score) >= 0.5).cast("int")
-    m = metrics_from_counts(confusion_counts(j, by, "__y", yhat))
-    rk = ranking_metrics(j, by, "__y", score)
-    n = j.groupBy(*by).agg(F.count(F.lit(1)).alias("n_samples"), F.avg("__y").alias("positive_rate"))
-    out = pred.select(*by).distinct().join(n.join(m, by).join(rk, by), by, "left")
+    # one join, from which the few columns below are read twice: the counts and the scores
+    j = cut_lineage(pred.join(lab, list(keys), "left").select(*by, F.col(score).alias("__s"), yhat.alias("__hat"), "__y", "__labelled"))
+    seen = j.where("__labelled")
+    hit = lambda a, b: F.count_if(F.col("__labelled") & (F.col("__y") == a) & (F.col("__hat") == b))
+    n = j.groupBy(*by).agg(F.count_if("__labelled").alias("n_samples"), F.avg("__y").alias("positive_rate"), hit(0, 0).alias("tn"),
+                           hit(0, 1).alias("fp"), hit(1, 0).alias("fn"), hit(1, 1).alias("tp"))
+    m = metrics_from_counts(n).withColumn("n_samples", F.when(F.col("n_samples") > 0, F.col("n_samples")))
+    none = F.col("n_samples").isNull()
+    m = m.withColumns({c: F.when(~none, F.col(c)) for c in ("recall", "precision", "f1")})
+    out = join_groups(m, ranking_metrics(seen, by, "__y", "__s"), by, "left")
     alerts = F.array_compact(F.array(
         F.when(F.col("recall") < C.PERF_RECALL_MIN, F.lit("recall low")),
         F.when(F.col("precision") < C.PERF_PRECISION_MIN, F.lit("precision low")),
