@@ -249,6 +249,32 @@ def test_lines(spark, awkward, empty, max_per_key):
     assert out.count() == awkward.count() and out.columns == awkward.columns + ["lines_total", "lines_removed"]
     assert out.where("doc_id = 2").select("text").distinct().collect()[0].text == ""
     assert dedup_lines(empty).count() == 0
+    again = dedup_lines(out)
+    assert again.columns == out.columns and again.agg(F.sum("lines_removed")).first()[0] == 0
+
+
+def test_crowded_long_lines(spark):
+    """Lines that share a half: compared by their groups, verified, and in time linear in their length."""
+    import time
+
+    from vireo.llm.line_dedup import dedup_lines
+    took = {}
+    for n in (1_000, 16_000):
+        rng = random.Random(n)
+        half = "".join(rng.choices("abcdef ", k=n // 2)) + "x"
+        ends = ["".join(rng.choices("abcdef ", k=n // 2)) + "y" for _ in range(20)]
+        rows, want = [], set()
+        for i, e in enumerate(ends):
+            rows.append((i, half + e))
+            for j, t in enumerate((e[:5] + "Q" + e[6:], e[:9] + e[10:], e[:7] + "Q" + e[7:], e[:5] + "ZW" + e[7:])):
+                rows.append((100 + 10 * i + j, half + t))
+                if j < 3:
+                    want.add(100 + 10 * i + j)
+        at = time.time()
+        got = {r.doc_id for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_per_key=4).where("lines_removed > 0").collect()}
+        took[n] = time.time() - at
+        assert got == want
+    assert took[16_000] < 16 * took[1_000] + 5
 
 
 def word_edits(a, b):

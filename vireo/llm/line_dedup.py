@@ -10,12 +10,13 @@ match.  Index entries and probes with only one distinct line drop out in a
 pre-aggregated count.  Candidate pairs are verified by banded bit-parallel edit
 distance.
 
-An index entry that more than ``max_pairs_per_key`` lines share isn't
+An index entry that more than ``max_per_key`` lines share isn't
 joined with itself: its lines agree but for the rest beside the shared
 segment, so they are grouped by that rest with each one position
-left out.  Lines in such a group are within one edit of each other, and the
-earliest of them is one pre-aggregated minimum: linear in the group, and exact.
-Above threshold 1 such entries are joined with themselves in blocks.
+left out.  Lines in such a group are within one edit of each other, so the
+earliest of them, one pre-aggregated minimum, is the only candidate a line needs;
+the pair is verified like any other.  Time is linear in the lines and in
+their lengths.  Above threshold 1 such entries are joined with themselves in blocks.
 
 On request, lines within one word of each other go too, whatever the word's
 length: the same partition and the same groups with words in place of characters.
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo.llm.common import SPACE_CHARS, stage
@@ -130,71 +131,55 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
             .withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line")))
 
 
-def _left_out(rest: Column) -> Column:
-    """(position, rest without the character there) hashed, for every position."""
-    return F.transform(F.sequence(F.lit(1), F.length(rest)),
-                       lambda p: F.struct(p.alias("p"), F.xxhash64(F.concat(rest.substr(F.lit(1), p - 1), F.lit("\n"),
-                                                                            rest.substr(p + 1, F.length(rest)))).alias("marked"),
-                                          F.xxhash64(F.concat(rest.substr(F.lit(1), p - 1), rest.substr(p + 1, F.length(rest)))).alias("plain")))
-
-
-def _hot_losers(hot: DataFrame) -> DataFrame:
-    """(h1, h2) of lines of shared index entries with an earlier line within one edit.
-
-    hot: (key, role, line, n, h1, h2, place).  Substitutions: lines of equal
-    length that agree but for one position form a group.  Insertions: a line is
-    grouped with the longer lines that become it when one character goes."""
-    half = _cut(F.col("n") - F.when(F.col("role") >= 2, 1).otherwise(0), 1, 1)
-    own, probe = F.col("role") < 2, F.col("role") >= 2
-    # role: 0 and 1 index the halves, 2 and 3 probe the halves of lines one shorter
-    rest = (F.when(F.col("role") == 0, F.expr("substring(line, h + 1)")).when(F.col("role") == 1, F.expr("left(line, h)"))
-            .when(F.col("role") == 2, F.expr("substring(line, h + 1)")).otherwise(F.expr("left(line, h + 1)")))
-    hot = hot.withColumn("h", half).withColumn("rest", rest)
-    variants = F.transform(_left_out(F.col("rest")), lambda v: F.struct(
-        F.when(own, F.xxhash64(F.lit("s"), F.col("key"), v["p"], v["marked"])).otherwise(F.xxhash64(F.lit("d"), F.col("key"), v["plain"])).alias("group"),
-        probe.alias("longer")))
-    itself = F.when(own, F.array(F.struct(F.xxhash64(F.lit("d"), F.col("key"), F.xxhash64("rest")).alias("group"),
-                                          F.lit(False).alias("longer")))).otherwise(F.expr("array()").cast("array<struct<group:bigint,longer:boolean>>"))
-    rows = hot.select("h1", "h2", "place", "role", F.explode(F.concat(variants, itself)).alias("v")).select(
-        "h1", "h2", "place", F.col("v.group").alias("group"), F.col("v.longer").alias("longer")).distinct()
-    return _after_another(rows)
-
-
-def _word_losers(met: DataFrame) -> DataFrame:
-    """(h1, h2) of lines with an earlier line within one word.
-
-    met: (key, role, line, h1, h2, place), roles as in ``word_keys``; groups as
-    in ``_hot_losers``, with the words beside the shared half."""
-    own, word = F.col("role") < 2, F.col("word")
-    half = F.floor((F.size(word) - F.when(own, 0).otherwise(1)) / 2).cast("int")
-    met = met.withColumn("word", words(F.col("line"))).withColumn("h", half)
-    rest = (F.when(F.col("role").isin(0, 2), F.slice(word, F.col("h") + 1, F.size(word)))
-            .when(F.col("role") == 1, F.slice(word, 1, F.col("h"))).otherwise(F.slice(word, 1, F.col("h") + 1)))
-    met = met.withColumn("rest", rest)
-    rest = F.col("rest")
-
-    def without(p):
-        return F.array_join(F.concat(F.slice(rest, F.lit(1), p - 1), F.slice(rest, p + 1, F.size(rest))), " ")
-
-    variants = F.transform(F.sequence(F.lit(1), F.size(rest)), lambda p: F.struct(
-        F.when(own, F.xxhash64(F.lit("s"), F.col("key"), p, without(p))).otherwise(F.xxhash64(F.lit("d"), F.col("key"), without(p))).alias("group"),
-        (~own).alias("longer")))
-    itself = F.when(own, F.array(F.struct(F.xxhash64(F.lit("d"), F.col("key"), F.array_join(rest, " ")).alias("group"),
-                                          F.lit(False).alias("longer")))).otherwise(F.expr("array()").cast("array<struct<group:bigint,longer:boolean>>"))
-    rows = met.select("h1", "h2", "place", F.explode(F.concat(variants, itself)).alias("v")).select(
-        "h1", "h2", "place", F.col("v.group").alias("group"), F.col("v.longer").alias("longer")).distinct()
-    return _after_another(rows)
-
-
-def _after_another(rows: DataFrame) -> DataFrame:
-    """(h1, h2) of the rows (h1, h2, place, group, longer) with an earlier partner in a group."""
-    groups = (rows.groupBy("group").agg(F.min("place").alias("first"), F.max("place").alias("last"),
-                                        F.min(F.when(F.col("longer"), F.col("place"))).alias("first_longer"),
-                                        F.min(F.when(~F.col("longer"), F.col("place"))).alias("first_short"))
-              .where("first < last AND first_short IS NOT NULL"))
+def _one_out(met: DataFrame) -> DataFrame:
+    """(h1, h2, place, group, longer): the groups of every line of a shared entry.
+
+    met: (key, role, h1, h2, place, own, items), ``items`` what stands beside the
+    shared half.  Lines of equal length that agree but for one item meet in a
+    group, and a line meets the longer ones that become it when one item goes.
+    The items of a line with one left out are hashed as the exclusive or of
+    hashes of (place, item): from running totals over the line, so a line takes
+    time in proportion to its length."""
+    # dealt out before the lines are taken apart, so that what the windows sort isn't shuffled again
+    line = ["key", "role", "h1", "h2"]
+    parts = (met.repartition(*line).select(*line, "place", "own", F.posexplode("items").alias("j", "x"))
+             .withColumn("here", F.xxhash64("j", "x")).withColumn("left", F.xxhash64(F.col("j") - 1, F.col("x"))))
+    whole = Window.partitionBy(*line)
+    before = whole.orderBy("j").rowsBetween(Window.unboundedPreceding, -1)
+
+    def xor(c, w):
+        return F.coalesce(F.bit_xor(c).over(w), F.lit(0).cast("long"))
+
+    run = parts.select("*", xor("here", before).alias("h_before"), xor("left", before).alias("l_before"),
+                       xor("here", whole).alias("h_all"), xor("left", whole).alias("l_all"))
+    after = F.col("l_all").bitwiseXOR(F.col("l_before")).bitwiseXOR(F.col("left"))
+    replaced = F.xxhash64(F.lit("s"), "key", "j", F.col("h_all").bitwiseXOR(F.col("here")))
+    taken_out = F.xxhash64(F.lit("d"), F.col("key"), F.col("h_before").bitwiseXOR(after))
+    itself = F.xxhash64(F.lit("d"), "key", "h_all")
+    groups = F.when(F.col("own") & (F.col("j") == 0), F.array(replaced, itself)).when(F.col("own"), F.array(replaced)).otherwise(F.array(taken_out))
+    return run.select("h1", "h2", "place", (~F.col("own")).alias("longer"), F.explode(groups).alias("group")).distinct()
+
+
+def _earlier_partners(met: DataFrame) -> DataFrame:
+    """Pairs (h1, h2, p1, p2): lines of shared entries and the earliest line that
+    meets them in a group, to be verified."""
+    rows = _one_out(met)
+    me = F.struct("place", "h1", "h2")
+    groups = (rows.groupBy("group").agg(F.min(me).alias("first"), F.max("place").alias("last"),
+                                        F.min(F.when(~F.col("longer"), me)).alias("first_short"))
+              .where("first.place < last AND first_short IS NOT NULL"))
     # in an insertion group the longer lines are linked to the shorter one, not to each other
-    before = F.when(F.col("longer"), F.col("first_short")).otherwise(F.col("first"))
-    return rows.join(groups, "group").where(before < F.col("place")).select("h1", "h2").distinct()
+    partner = F.when(F.col("longer"), F.col("first_short")).otherwise(F.col("first"))
+    met = rows.join(groups, "group").select("h1", "h2", "place", partner.alias("p")).where("p.place < place")
+    return met.select("h1", "h2", F.col("p.h1").alias("p1"), F.col("p.h2").alias("p2")).distinct()
+
+
+def _beside_half(role: Column, items: Column) -> Column:
+    """The items beside the half that a line shares under a key of this role
+    (0, 1: its own halves; 2, 3: those of lines one item shorter)."""
+    half = F.floor((F.size(items) - F.when(role >= 2, 1).otherwise(0)) / 2).cast("int")
+    return (F.when(role.isin(0, 2), F.slice(items, half + 1, F.size(items))).when(role == 1, F.slice(items, F.lit(1), half))
+            .otherwise(F.slice(items, F.lit(1), half + 1)))
 
 
 def _met(keyed: DataFrame, threshold: int) -> DataFrame:
@@ -259,11 +244,19 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
     later = F.col("place_a") > F.col("place_b")
     losers = verified.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h1"),
                              F.when(later, F.col("h2_a")).otherwise(F.col("h2_b")).alias("h2"))
-    hot_lines = hot.join(texts, "h1").withColumn("n", F.length("line"))
+
+    def verified_losers(entries, items, role_bound):
+        """Lines of shared entries that are within one item of their earliest partner."""
+        own = entries.join(texts, "h1").withColumn("items", items)
+        met = own.select("key", "role", "h1", "h2", "place", (F.col("role") < role_bound).alias("own"), _beside_half(F.col("role"), F.col("items")).alias("items"))
+        other = texts.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), items.alias("other"))
+        pairs = _earlier_partners(met).join(texts.withColumn("items", items).select("h1", "h2", "items"), ["h1", "h2"]).join(other, ["p1", "p2"])
+        return pairs.where(within_edits(F.col("items"), F.col("other"), 1) <= 1).select("h1", "h2")
+
     if threshold == 1:
-        losers = losers.unionByName(_hot_losers(hot_lines))
+        losers = losers.unionByName(verified_losers(hot, F.col("chars"), 2))
     if met_words is not None:
-        losers = losers.unionByName(_word_losers(met_words.join(texts.drop("chars"), "h1")))
+        losers = losers.unionByName(verified_losers(met_words, words(F.col("line")), 2))
     losers = stage(losers.distinct(), "line_losers").withColumn("near", F.lit(True))
 
     # a line goes where it isn't the first of its class, or its class has an earlier near line
@@ -287,7 +280,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     white space between words doesn't count there.  Lines under ``min_chars`` characters always stay.
     Null text stays null with 0 lines; an empty text is one empty line; a
     document may be left with an empty text but never goes.  Rows that repeat an
-    id and its text share one place, so each keeps what the first keeps.  An
+    id and its text share one place, so each keeps what the first keeps.  Columns
+    of the table named ``lines_total`` or ``lines_removed`` are replaced.  An
     empty table gives an empty result.
     """
     if threshold < 1 or min_chars <= threshold or (min_words is not None and min_words < 2):
@@ -301,6 +295,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
     total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)).cast("long")
     removed = F.coalesce(F.size("__drop"), F.lit(0)).cast("long")
-    out = rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+    out = rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("lines_total", "lines_removed")],
                       total.alias("__total"), F.when(F.col("__drop").isNull(), F.lit(0).cast("long")).otherwise(removed).alias("__removed"))
     return out.withColumnsRenamed({"__total": "lines_total", "__removed": "lines_removed"})
