@@ -2,9 +2,11 @@
 
 The model is trained here, in numpy, by backpropagation through time on byte
 windows of a bounded sample of labelled documents.  It labels every byte
-position of every whole text (each text is cut into windows of ``WINDOW`` bytes;
-no byte is left out); a document's probabilities are the mean of its positions'
-over letters.  Weights travel to the tasks inside the function (a few kilobytes).
+position of every whole text: the text is read in stretches of ``STRETCH`` bytes that
+overlap, and a position counts where it has at least ``CONTEXT`` bytes of its
+text (or the text's end) on both sides, so no character or word is judged from
+the cut.  A document's probabilities are the mean of its positions' over
+letters.  Weights travel to the tasks inside the function (a few kilobytes).
 """
 
 from __future__ import annotations
@@ -17,19 +19,24 @@ from pyspark.sql import functions as F
 from vireo.llm.common import ship_package
 
 HIDDEN = 8
+#: bytes of a training window
 WINDOW = 64
+#: bytes read at once when labelling, and how far the stretches reach into each other on either side
+STRETCH, CONTEXT = 256, 16
 #: bounded training sample: documents per language, in all, and windows per document
 FIT_DOCS = 400
 FIT_TOTAL = 8000
 FIT_WINDOWS = 12
 SLOTS = 64
+SLOT_DOCS = 40
 STEPS = 500
 BATCH = 384
 RATE = 0.02
-#: windows labelled at once
-LANES = 2048
+#: stretches labelled at once
+LANES = 1024
 UNKNOWN = "und"
-MIN_SCORE = 0.3
+#: how far above chance, on the way to certainty, the best language must lie
+MARGIN = 1 / 15
 
 
 def _sigmoid(x):
@@ -168,29 +175,39 @@ def _letter_table() -> np.ndarray:
     return t
 
 
-def to_windows(texts: list, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of all bytes of all texts (the last of a text padded with
-    spaces) and the number of windows of each text."""
-    data = [t.encode("utf-8", "surrogatepass") for t in texts]
-    counts = np.array([-(-len(d) // width) for d in data], dtype=np.int64)
-    joined = b"".join(d.ljust(int(c) * width) for d, c in zip(data, counts))
-    return np.frombuffer(joined, np.uint8).reshape(-1, width), counts
+def to_stretches(texts: list, width: int = STRETCH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of all texts in stretches that overlap: (bytes (stretches,
+    width), the last of a text padded with spaces; whether a position counts
+    there, once for each byte; the text of each stretch)."""
+    step = width - 2 * context
+    parts, use, owner = [], [], []
+    for i, t in enumerate(texts):
+        d = t.encode("utf-8", "surrogatepass")
+        n = 1 - (-max(0, len(d) - width) // step) if d else 0
+        for k in range(n):
+            at = k * step
+            begin, end = at + (context if k else 0), at + width - context if k < n - 1 else len(d)
+            parts.append(d[at:at + width].ljust(width))
+            use.append((begin - at, end - at))
+            owner.append(i)
+    place = np.arange(width)
+    use = np.array(use, dtype=np.int64).reshape(-1, 2)
+    return (np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width), (place >= use[:, :1]) & (place < use[:, 1:]), np.array(owner, dtype=np.int64))
 
 
 def label_texts(net: ByteGRU, texts: list) -> np.ndarray:
     """(texts, languages): mean position probabilities over letters."""
-    windows, counts = to_windows(texts)
+    windows, counts, owner = to_stretches(texts)
     letter = _letter_table()
     n_out = len(net.c)
     sums, marks = np.zeros((len(windows), n_out)), np.zeros(len(windows))
     for at in range(0, len(windows), LANES):
         w = windows[at:at + LANES]
-        use = letter[w].T.astype(np.float32)
+        use = (letter[w] & counts[at:at + LANES]).T.astype(np.float32)
         sums[at:at + LANES] = np.einsum("tkl,tl->lk", net.probabilities(w), use)
         marks[at:at + LANES] = use.sum(axis=0)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    total = np.bincount(doc, weights=marks, minlength=len(texts))
-    pooled = np.stack([np.bincount(doc, weights=sums[:, k], minlength=len(texts)) for k in range(n_out)], axis=1)
+    total = np.bincount(owner, weights=marks, minlength=len(texts))
+    pooled = np.stack([np.bincount(owner, weights=sums[:, k], minlength=len(texts)) for k in range(n_out)], axis=1)
     return pooled / np.maximum(total, 1)[:, None]
 
 
@@ -200,16 +217,17 @@ def fold(id_col, parts: int):
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   folds: int = 4, held_out: int = 2, **kw) -> tuple[ByteGRU | None, list]:
-    """(model, languages) from at most ``FIT_DOCS`` documents per language, those with the
-    smallest hashes, outside the held-out fold.  Only their ids are ranked; the
+    """(model, languages) from at most ``FIT_DOCS`` documents per language outside the
+    held-out fold: of the ``SLOT_DOCS`` smallest hashes of each of ``SLOTS`` slots the smallest.  Only their ids are ranked; the
     bounded list of ids fetches their texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where((fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull())
     # first within slots of a language, so that a common one isn't ranked in one task
     rows = rows.withColumn("h", F.xxhash64("doc_id")).withColumn("slot", F.pmod("h", F.lit(SLOTS)))
-    for by in (["lang", "slot"], ["lang"]):
+    # (a slot holds far fewer of the smallest hashes than all it could)
+    for by, most in ((["lang", "slot"], SLOT_DOCS), (["lang"], FIT_DOCS)):
         rank = Window.partitionBy(*by).orderBy("h", "doc_id")
-        rows = rows.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= FIT_DOCS)
+        rows = rows.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= most)
     ids = rows.orderBy("k", "lang").limit(FIT_TOTAL).select("doc_id")
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
              .join(F.broadcast(ids.distinct()), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")
@@ -274,11 +292,17 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select(id_col, F.coalesce(fold(F.col(id_col), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is identified with at least ``min_score``, with all their columns."""
+def accepted(docs: DataFrame, margin: float = MARGIN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is identified, with all their columns:
+    texts with a letter whose best language lies ``margin`` of the way from chance
+    (1 / languages) to certainty.  Without any labelled row nothing is learned,
+    and every text with a letter stays."""
     net, languages = fit_languages(docs, id_col, text_col, lang_col)
+    if net is None:
+        return docs.where(F.coalesce(F.col(text_col).cast("string").rlike("\\p{L}"), F.lit(False)))
+    least = 1 / len(languages) + margin * (1 - 1 / len(languages)) - 1e-9
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     inner = docs.toDF(*names.values())
     out = predict_languages(inner, net, languages, names[id_col], names[text_col], carry=True)
-    out = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*names.values())
+    out = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*names.values())
     return out.toDF(*docs.columns)

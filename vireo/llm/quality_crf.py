@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from vireo.llm.common import CHUNK_BYTES, WordHasher, ship_package
 
-#: bounded training sample (documents)
+#: bounded training sample: documents, and characters of their texts in all
 FIT_DOCS = 4000
+FIT_CHARS = 24_000_000
+#: lines and characters scored at once; a longer text goes by stretches
+STRETCH_LINES, STRETCH_CHARS = 20_000, 4_000_000
 BINS = 16
 STEPS = 300
 RATE = 0.15
@@ -199,23 +202,137 @@ def fit_field(texts: list, labels: np.ndarray, steps: int = STEPS, rate: float =
     return field
 
 
+def chain_marginals(score: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Probability of good for every line of one long chain.
+
+    The chain is cut into stretches of about the root of its length.  All
+    stretches run side by side from both labels, which gives each its 2 x 2
+    transfer; a pass over the stretches carries the forward and backward
+    messages across the cuts; then all run again from their true messages."""
+    n = len(score)
+    length = max(1, int(np.sqrt(n)))
+    blocks = -(-n // length)
+    # padding after the end: no evidence, and a step that changes nothing
+    emit = np.zeros((blocks * length, 2))
+    emit[:n, 1] = score
+    emit = emit.reshape(blocks, length, 2)
+    real = (np.arange(blocks * length) < n).reshape(blocks, length)
+    stay = np.where(np.eye(2, dtype=bool), 0.0, -np.inf)
+
+    def step(a, t, rows=slice(None)):
+        """Messages (blocks, ..., 2) over the step into place t."""
+        link = np.where(real[rows, t][:, None, None], links, stay)
+        shape = (len(a),) + (1,) * (a.ndim - 2)
+        return np.stack([np.logaddexp(a[..., 0] + link[:, 0, u].reshape(shape), a[..., 1] + link[:, 1, u].reshape(shape))
+                         + emit[rows, t, u].reshape(shape) for u in range(2)], axis=-1)
+
+    with np.errstate(invalid="ignore"):
+        # transfer of each stretch: from the label before it to its last label
+        m = np.broadcast_to(stay, (blocks, 2, 2)).copy()
+        for t in range(length):
+            m = step(m, t)
+        into = np.empty((blocks, 2))
+        into[0] = (0.0, -np.inf)  # replaced below: the first line has no line before it
+        out = np.empty((blocks, 2))
+        first = emit[0, 0].copy()
+        for t in range(1, length):
+            first = step(first[None, :], t, slice(0, 1))[0]
+        out[0] = first
+        for b in range(1, blocks):
+            into[b] = out[b - 1]
+            out[b] = np.logaddexp(into[b][0] + m[b, 0], into[b][1] + m[b, 1])
+        back = np.zeros((blocks, 2))  # message from behind into the last line of each stretch
+        for b in range(blocks - 2, -1, -1):
+            back[b] = np.logaddexp(m[b + 1, :, 0] + back[b + 1][0], m[b + 1, :, 1] + back[b + 1][1])
+        alpha = np.empty((blocks, length, 2))
+        a = into
+        for t in range(length):
+            a = step(a, t)
+            if t == 0:
+                a[0] = emit[0, 0]
+            alpha[:, t] = a
+        good = np.empty((blocks, length))
+        b = back
+        for t in range(length - 1, -1, -1):
+            both = alpha[:, t] + b
+            good[:, t] = np.exp(both[:, 1] - np.logaddexp(both[:, 0], both[:, 1]))
+            link = np.where(real[:, t][:, None, None], links, stay)
+            nxt = emit[:, t] + b
+            b = np.stack([np.logaddexp(link[:, s, 0] + nxt[:, 0], link[:, s, 1] + nxt[:, 1]) for s in range(2)], axis=-1)
+    return good.reshape(-1)[:n]
+
+
+def _long_text_score(field: LineField, text: str) -> float:
+    """Score of one text by stretches of its lines, each read with the line
+    before and after it; only a number per line is held for the whole text."""
+    lines = text.split("\n")
+    score, length, at = np.empty(len(lines)), np.empty(len(lines)), 0
+    while at < len(lines):
+        end, chars = at, 0
+        while end < len(lines) and end - at < STRETCH_LINES and (end == at or chars + len(lines[end]) <= STRETCH_CHARS):
+            chars += len(lines[end])
+            end += 1
+        low, high = max(0, at - 1), min(len(lines), end + 1)
+        f, n, counts = line_features(["\n".join(lines[low:high])])
+        s = field.weights[field.codes(f, counts)].sum(axis=1)
+        score[at:end], length[at:end] = s[at - low:end - low], n[at - low:end - low]
+        at = end
+    w = length + 1.0
+    return float((chain_marginals(score, field.links) * w).sum() / w.sum())
+
+
+def _short(text: str | None) -> bool:
+    return text is None or (len(text) <= STRETCH_CHARS and text.count("\n") < STRETCH_LINES // 10)
+
+
 def score_texts(field: LineField, texts: list) -> np.ndarray:
     """Length-weighted mean probability of good lines per text."""
-    f, length, counts = line_features(texts)
-    good, _, _ = forward_backward(field.weights[field.codes(f, counts)].sum(axis=1), counts, field.links)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    w = length + 1.0
-    return np.bincount(doc, weights=good * w, minlength=len(texts)) / np.bincount(doc, weights=w, minlength=len(texts))
+    out = np.empty(len(texts))
+    group, size = [], 0
+
+    def flush():
+        f, length, counts = line_features([texts[i] for i in group])
+        good, _, _ = forward_backward(field.weights[field.codes(f, counts)].sum(axis=1), counts, field.links)
+        doc = np.repeat(np.arange(len(group)), counts)
+        w = length + 1.0
+        out[group] = np.bincount(doc, weights=good * w, minlength=len(group)) / np.bincount(doc, weights=w, minlength=len(group))
+
+    for i, t in enumerate(texts):
+        if not _short(t):
+            out[i] = _long_text_score(field, t)
+            continue
+        lines = 1 + (t or "").count("\n")
+        if group and size + max(lines, len(t or "") // 200) > STRETCH_LINES:
+            flush()
+            group, size = [], 0
+        group.append(i)
+        size += max(lines, len(t or "") // 200)
+    if group:
+        flush()
+    return out
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> LineField | None:
-    """Fit on at most ``FIT_DOCS`` labelled documents outside the held-out fold, those with the smallest hashes of their ids."""
+    """Fit on labelled documents outside the held-out fold, those with the smallest
+    hashes of their ids: at most ``FIT_DOCS`` ids, and as many of their texts in
+    that order as hold ``FIT_CHARS`` characters together (a longer text is passed
+    over).  Only that bounded sample comes to the driver."""
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS
     ids = (labels.select(F.col(id_col).cast("long").alias(id_col), F.col(label_col).cast("int").alias("y"))
            .where((fold != HELD_OUT) & F.col("y").isin(0, 1)).groupBy(id_col).agg(F.min("y").alias("y"))
            .orderBy(F.xxhash64(id_col), id_col).limit(FIT_DOCS))
-    rows = (docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-            .join(F.broadcast(ids), F.col("__id") == F.col(id_col)).orderBy("__id", "__text").limit(2 * FIT_DOCS).toPandas())
+    text = F.col(text_col).cast("string")
+    labelled = (docs.select(F.col(id_col).cast("long").alias("__id"), text.alias("__text"), F.coalesce(F.length(text), F.lit(0)).alias("n"))
+                .join(F.broadcast(ids), F.col("__id") == F.col(id_col)).where(F.col("n") <= FIT_CHARS))
+    sizes = labelled.select("__id", "n", F.xxhash64("__id").alias("h")).orderBy("h", "__id", "n").limit(2 * FIT_DOCS).collect()
+    chosen, total = set(), 0
+    for r in sizes:
+        if total + r["n"] <= FIT_CHARS:
+            chosen.add(r["__id"])
+            total += r["n"]
+    picked = docs.sparkSession.createDataFrame([(i,) for i in sorted(chosen)], "__chosen long")
+    rows = (labelled.join(F.broadcast(picked), F.col("__id") == F.col("__chosen")).select("__id", "__text", "y")
+            .orderBy("__id", "__text").limit(2 * FIT_DOCS).toPandas())
     if rows["y"].nunique() < 2:
         return None
     return fit_field(rows["__text"].tolist(), rows["y"].to_numpy())
@@ -231,8 +348,7 @@ def predict_quality(docs: DataFrame, field: LineField | None, id_col: str = "doc
             texts = frame["text"].tolist()
             score = np.full(len(frame), 0.5)
             if field is not None:
-                for at in range(0, len(texts), 512):
-                    score[at:at + 512] = score_texts(field, texts[at:at + 512])
+                score[:] = score_texts(field, texts)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": np.clip(score, 0, 1)})
 
     return rows.mapInPandas(predict, "doc_id long, score double").withColumnRenamed("doc_id", id_col)
