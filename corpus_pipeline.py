@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm.common import stage
+from vireo.llm.common import WORD_PATTERN, stage
 from vireo.llm.langid_gru import accepted
 from vireo.llm.line_dedup import MIN_WORDS, dedup_lines
 from vireo.llm.mixing import mixed_documents
@@ -26,8 +26,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand earlier in the corpus, but for one edit or one word, go; ``n_chars`` follows the text."""
-    out = dedup_lines(docs, min_words=MIN_WORDS).drop("lines_total", "lines_removed")
+    """Lines that stand earlier in the corpus, but for one edit or one word, go;
+    ``n_chars`` follows the text.  A document that loses its last word goes with them."""
+    out = dedup_lines(docs, min_words=MIN_WORDS)
+    emptied = (F.col("lines_removed") > 0) & ~F.col("text").rlike(WORD_PATTERN)
+    out = out.where(~F.coalesce(emptied, F.lit(False)))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
