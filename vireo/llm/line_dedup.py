@@ -157,7 +157,7 @@ def _one_out(met: DataFrame) -> DataFrame:
     taken_out = F.xxhash64(F.lit("d"), F.col("key"), F.col("h_before").bitwiseXOR(after))
     itself = F.xxhash64(F.lit("d"), "key", "h_all")
     groups = F.when(F.col("own") & (F.col("j") == 0), F.array(replaced, itself)).when(F.col("own"), F.array(replaced)).otherwise(F.array(taken_out))
-    return run.select("h1", "h2", "place", (~F.col("own")).alias("longer"), F.explode(groups).alias("group")).distinct()
+    return run.select("h1", "h2", "place", (~F.col("own")).alias("longer"), F.explode(groups).alias("group"))
 
 
 def _earlier_partners(met: DataFrame) -> DataFrame:
@@ -250,7 +250,8 @@ def dropped_lines(docs: DataFrame, threshold: int, min_chars: int, max_per_key:
         own = entries.join(texts, "h1").withColumn("items", items)
         met = own.select("key", "role", "h1", "h2", "place", (F.col("role") < role_bound).alias("own"), _beside_half(F.col("role"), F.col("items")).alias("items"))
         other = texts.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), items.alias("other"))
-        pairs = _earlier_partners(met).join(texts.withColumn("items", items).select("h1", "h2", "items"), ["h1", "h2"]).join(other, ["p1", "p2"])
+        # written, so that the shuffles of the search are gone before the next one begins
+        pairs = stage(_earlier_partners(met), "line_partners").join(texts.withColumn("items", items).select("h1", "h2", "items"), ["h1", "h2"]).join(other, ["p1", "p2"])
         return pairs.where(within_edits(F.col("items"), F.col("other"), 1) <= 1).select("h1", "h2")
 
     if threshold == 1:
