@@ -33,7 +33,9 @@ STEPS = 500
 BATCH = 384
 RATE = 0.02
 #: stretches labelled at once
-LANES = 1024
+LANES = 512
+#: characters of texts taken apart at once
+GROUP_CHARS = 1_000_000
 UNKNOWN = "und"
 #: how far above chance, on the way to certainty, the best language must lie
 MARGIN = 1 / 15
@@ -265,8 +267,8 @@ def predict_languages(docs: DataFrame, net: ByteGRU | None, languages: list, id_
             score = np.zeros(len(frame))
             use = np.flatnonzero(frame["__letter"].to_numpy(dtype=bool))
             texts = frame[text_col].tolist()
-            for at in range(0, len(use), 256):
-                part = use[at:at + 256]
+            size = np.cumsum([len(texts[i]) for i in use]) // GROUP_CHARS
+            for part in np.split(use, np.flatnonzero(np.diff(size)) + 1) if len(use) else []:
                 p = label_texts(net, [texts[i] for i in part])
                 best = p.argmax(axis=1)
                 pred[part] = np.array(languages, dtype=object)[best]
