@@ -72,7 +72,8 @@ def test_file_and_content_hashes(spark, tmp_path):
     def digest(texts):
         total = sum(int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in texts)
         return hashlib.sha256(f"{total}:{len(texts)}".encode()).hexdigest()
-    assert got == {"p": digest(["1|\\N", "2|x"]), "q": digest(["\\N|y"])}
+    # every value with its length before it, nulls as a dash
+    assert got == {"p": digest(["1:1-", "1:21:x"]), "q": digest(["-1:y"])}
 
 
 def test_every_late_row_is_accounted_for(spark, tmp_path):
