@@ -2,7 +2,8 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from vireo.operators import ml as M
@@ -84,3 +85,72 @@ def test_fit_save_and_score(spark, table, calibration):
 def test_too_many_classes_are_refused(spark):
     with pytest.raises(ValueError, match="values"):
         M.balanced_weights(spark.range(2000).withColumnRenamed("id", "label"))
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    """Rows whose bins hold several values each, and a column of few values, of which many are equal."""
+    rng = np.random.default_rng(11)
+    n = 4000
+    x, z, c = rng.normal(size=n), rng.integers(0, 4, n).astype(float), rng.integers(0, 2, n).astype(float)
+    y = (rng.random(n) < 1 / (1 + np.exp(-2 * x - z + 2 * c))).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "z": z, "c": c, "label": y})).withColumn("id", F.monotonically_increasing_id())
+    df = M.balanced_weights(df, "label")
+    return df.select("id", array_to_vector(F.array("x", "z", "c")).alias("features"), "label", "weight").cache()
+
+
+def _scores(model, df):
+    out = M.ScoringModel(None, [(model, None)]).score_features(df, ["id"], "p").orderBy("id").collect()
+    return np.array([r.p for r in out])
+
+
+def _trees():
+    return M.candidates(4000)["gbt"].setMaxIter(8).setMaxDepth(4)
+
+
+def test_boosted_trees_are_fitted_on_combinations_of_bins(features, monkeypatch):
+    seen = []
+    plain = _trees().fit(features)
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: (seen.append(df.count()), fit(self, df, *a))[1])
+    model = M.fit_classifier(_trees(), features)
+    assert seen and seen[0] <= 32 * 4 * 2 * 2  # bins of x, values of z and c, labels; 4000 rows before
+    # the same trees: equal scores for these rows and for others
+    other = features.withColumn("features", array_to_vector(F.transform(vector_to_array("features"), lambda v: v * 1.1 + 0.01)))
+    for rows in (features, other):
+        assert np.allclose(_scores(model, rows), _scores(plain, rows), atol=1e-9)
+
+
+def test_rows_that_are_drawn_one_by_one_are_not_pooled(features):
+    for est in (_trees().setSubsamplingRate(0.5), _trees().setMinInstancesPerNode(5)):
+        assert np.allclose(_scores(M.fit_classifier(est, features), features), _scores(est.fit(features), features))
+
+
+def test_binned_trees_are_saved_with_their_bins(spark, table):
+    df, _ = table
+    model = M.fit(df, ["x", "z"], ["c"], M.candidates(df.count())["gbt"].setMaxIter(2).setMaxDepth(2), "sigmoid")
+    path = shared_path(spark, "model")
+    M.save(model, path)
+    again = M.load(path, len(model.members), "sigmoid", GBTClassificationModel)
+    key = lambda m: sorted((r.ra, r.risk_score) for r in m.transform(df).collect())
+    assert key(again) == key(model) and len(set(key(model))) > 2
+
+
+def test_selection_reads_its_rows_once_and_scores_them_once(spark, table, monkeypatch):
+    df, pdf = table
+    read, scored = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(acc):
+        def rows(batches):
+            for b in batches:
+                acc.add(len(b))
+                yield b
+        return rows
+    plain = M.ScoringModel.transform
+    monkeypatch.setattr(M.ScoringModel, "transform", lambda self, d, *a: plain(self, d.mapInPandas(counted(scored), d.schema), *a))
+    raw = df.drop("weight")
+    _, _, report = M.train_and_select(raw.mapInPandas(counted(read), raw.schema), ["x", "z"], ["c"], names=["logreg"])
+    assert read.value == len(pdf)
+    # a fifth for the test, and a fifth of the others for validation, by whole subjects
+    assert 0.3 * len(pdf) < scored.value < 0.42 * len(pdf)
+    assert [(r.model, r.split) for r in report.collect()] == [("logreg", "validation"), ("logreg", "test")]

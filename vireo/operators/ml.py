@@ -11,18 +11,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.functions.stats import ordered_prefix_sums, quantiles
 
 SEED = 42
 MAX_CLASSES = 1000
+#: rows that bins are drawn from at least (Spark's tree learners take as many), and
+#: features beyond which rows hardly share all their bins
+BIN_SAMPLE, MAX_BINNED = 10000, 256
 
 
 # M1 ------------------------------------------------------------------------
@@ -117,6 +122,76 @@ def stratified_split(df: DataFrame, label: str, key: str | list[str], test_frac:
 
 
 # M5 ------------------------------------------------------------------------
+@dataclass
+class Binned:
+    """A classifier fitted on bin numbers, and the upper ends of each feature's bins but the last."""
+    clf: object
+    cuts: list
+
+    def numbers(self, df: DataFrame, features: str, out: str) -> DataFrame:
+        """``out``: the bin number of every feature (how many ends lie below it)."""
+        x = lambda i: F.col("__values")[i]
+        number = [sum(((x(i) > end).cast("int") for end in c), F.lit(0)).cast("double") for i, c in enumerate(self.cuts)]
+        return df.withColumn("__values", vector_to_array(features)).withColumn(out, F.array(*number)).drop("__values")
+
+
+def bin_ends(rows: DataFrame, max_bins: int, weight: str | None = None, seed: int = SEED) -> list[list[float]]:
+    """The candidate thresholds of each feature as Spark's tree learners choose
+    them: halfway between neighbouring values, all of them if there are fewer
+    than ``max_bins`` values, else those nearest to equal weights.  They come
+    from a bounded sample (all rows of a small table); only its distinct values
+    reach the driver."""
+    n = rows.count()
+    need = max(max_bins * max_bins, BIN_SAMPLE)
+    some = rows.sample(need / n, seed) if n > need else rows
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    values = (some.select(w.alias("w"), F.posexplode(vector_to_array("features")).alias("i", "v"))
+              .groupBy("i", "v").agg(F.sum("w").alias("w")).collect())
+    by: dict[int, list] = {}
+    for r in values:
+        by.setdefault(r["i"], []).append((r["v"], r["w"]))
+    n_cuts = min(max_bins, n) - 1
+    return [_ends(sorted(by[i]), n_cuts) for i in sorted(by)]
+
+
+def _ends(values: list[tuple[float, float]], n_cuts: int) -> list[float]:
+    mid = [(a[0] + b[0]) / 2 for a, b in zip(values, values[1:])]
+    if len(mid) <= n_cuts:
+        return mid
+    stride = sum(w for _, w in values) / (n_cuts + 1)
+    out, seen, target = [], values[0][1], stride
+    for at, (_, w) in zip(mid, values[1:]):
+        if abs(seen - target) < abs(seen + w - target):
+            out.append(at)
+            target += stride
+        seen += w
+    return out
+
+
+def fit_classifier(estimator, rows: DataFrame):
+    """Fit on (features, label, weight).  Boosted trees see of a feature only
+    its bin, and rows with the same bins and label have the same residual in
+    every round, so they are fitted on one row per such combination with the sum
+    of the weights: the same trees, in work bounded by the combinations rather
+    than the rows.  (Not so where rows are drawn or counted one by one: the
+    random forest's bootstrap, a subsample, a least number of rows.)"""
+    from vireo.session import cut_lineage
+    if not isinstance(estimator, GBTClassifier) or estimator.getSubsamplingRate() < 1 or estimator.getMinInstancesPerNode() > 1 \
+            or estimator.isDefined(estimator.validationIndicatorCol):
+        return estimator.copy().fit(rows)
+    weight = estimator.getWeightCol() if estimator.isDefined(estimator.weightCol) else None
+    label = estimator.getLabelCol()
+    cuts = bin_ends(rows, estimator.getMaxBins(), weight, estimator.getSeed())
+    if len(cuts) > MAX_BINNED:
+        return estimator.copy().fit(rows)
+    binned = Binned(None, cuts)
+    w = F.sum(F.col(weight).cast("double")) if weight else F.count(F.lit(1)).cast("double")
+    pooled = binned.numbers(rows, "features", "__bins").groupBy("__bins", label).agg(w.alias("__weight"))
+    pooled = cut_lineage(pooled.select(array_to_vector("__bins").alias("features"), label, "__weight"))
+    binned.clf = estimator.copy({estimator.weightCol: "__weight"}).fit(pooled)
+    return binned
+
+
 @dataclass
 class ScoringModel:
     """A fitted preprocessor and an ensemble of (classifier, calibrator) pairs."""
@@ -132,8 +207,12 @@ class ScoringModel:
         acc = made.select(*[f"`{c}`" for c in keep], F.col("features").alias("__x"))
         scores = []
         for i, (clf, cal) in enumerate(self.members):
-            one = clf.copy({clf.featuresCol: "__x", clf.probabilityCol: f"__v{i}", clf.rawPredictionCol: "", clf.predictionCol: ""})
-            acc = one.transform(acc).withColumn(f"__r{i}", vector_to_array(f"__v{i}")[1]).drop(f"__v{i}")
+            x = "__x"
+            if isinstance(clf, Binned):
+                acc = clf.numbers(acc, "__x", "__b").withColumn("__b", array_to_vector("__b"))
+                clf, x = clf.clf, "__b"
+            one = clf.copy({clf.featuresCol: x, clf.probabilityCol: f"__v{i}", clf.rawPredictionCol: "", clf.predictionCol: ""})
+            acc = one.transform(acc).withColumn(f"__r{i}", vector_to_array(f"__v{i}")[1]).drop(f"__v{i}", "__b")
             if isinstance(cal, IsotonicRegressionModel):
                 acc = cal.copy({cal.featuresCol: f"__r{i}", cal.predictionCol: f"__p{i}"}).transform(acc)
                 scores.append(F.col(f"__p{i}"))
@@ -183,16 +262,18 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str], estimator, ca
 
     The folds are independent Spark jobs submitted from ``parallelism``
     threads (as Spark ML's own tuning does), so small fits overlap."""
+    from vireo.session import cut_lineage
     if label != "label":
         df = df.withColumnRenamed(label, "label")
         estimator = estimator.copy({estimator.labelCol: "label"})
     prep, rows = made or made_features(df, numeric, categorical, folds, key, seed)
     if not calibration:
-        return ScoringModel(prep, [(estimator.fit(rows), None)], type(estimator).__name__)
+        return ScoringModel(prep, [(fit_classifier(estimator, rows), None)], type(estimator).__name__)
 
     def one(k: int):
-        clf = estimator.copy().fit(rows.where(F.col("__fold") != k))
-        held = ScoringModel(None, [(clf, None)]).score_features(rows.where(F.col("__fold") == k), ["label"], "__raw")
+        clf = fit_classifier(estimator, rows.where(F.col("__fold") != k))
+        # written: the calibrator reads the scores more than once
+        held = cut_lineage(ScoringModel(None, [(clf, None)]).score_features(rows.where(F.col("__fold") == k), ["label"], "__raw"))
         return clf, fit_calibrator(held, calibration)
 
     return ScoringModel(prep, _parallel_map(one, list(range(folds)), parallelism), type(estimator).__name__)
@@ -217,7 +298,9 @@ def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str],
     from vireo.operators.evaluate import ranking_metrics, select_threshold
     from vireo.session import cut_lineage
     # The splits are reused by every fit and evaluation: materialise them once
-    # (reliable checkpoint in the shared folder) instead of recomputing the plan.
+    # (reliable checkpoint in the shared folder) instead of recomputing the plan;
+    # a split reads its rows several times, so they are written before the first.
+    df = cut_lineage(df)
     s1 = cut_lineage(stratified_split(df, label, key, 0.2, seed, "__test"))
     test = s1.where(F.col("__test")).drop("__test")
     rest = cut_lineage(stratified_split(s1.where(~F.col("__test")).drop("__test"), label, key, 0.2, seed + 7, "__val"))
@@ -233,7 +316,8 @@ def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str],
                                           parallelism=3, made=made), cands, len(cands))
     rows, models = [], {}
     for (name, _), m in zip(cands, fitted):
-        sv = m.transform(val).withColumn("__m", F.lit(name))
+        # the scores are read twice
+        sv = cut_lineage(m.transform(val).select(label, "risk_score")).withColumn("__m", F.lit(name))
         thr = select_threshold(sv, ["__m"], label, "risk_score", "max_recall", min_recall=min_recall).first()
         rk = ranking_metrics(sv, ["__m"], label, "risk_score").first()
         rows.append((name, "validation", float(thr["threshold"]), thr["recall"], thr["precision"], thr["f2"],
@@ -241,7 +325,7 @@ def train_and_select(df: DataFrame, numeric: list[str], categorical: list[str],
         models[name] = (m, float(thr["threshold"]))
     best = max(rows, key=lambda r: (r[3], r[6] or 0.0))
     bm, bthr = models[best[0]]
-    st = bm.transform(test).withColumn("__m", F.lit(best[0]))
+    st = cut_lineage(bm.transform(test).select(label, "risk_score")).withColumn("__m", F.lit(best[0]))
     from vireo.operators.evaluate import classification_metrics
     cm = classification_metrics(st, ["__m"], label, "risk_score", bthr).first()
     rk = ranking_metrics(st, ["__m"], label, "risk_score").first()
@@ -272,14 +356,33 @@ def score(df: DataFrame, model: ScoringModel, threshold: float, version: str,
 def save(model: ScoringModel, path: str) -> None:
     model.prep.write().overwrite().save(f"{path}/preprocessor")
     for i, (clf, cal) in enumerate(model.members):
+        cuts = clf.cuts if isinstance(clf, Binned) else []
+        clf = clf.clf if isinstance(clf, Binned) else clf
         clf.write().overwrite().save(f"{path}/member_{i}/classifier")
+        if isinstance(clf, GBTClassificationModel):
+            spark = SparkSession.active()
+            spark.createDataFrame(list(enumerate(cuts)), _BINS).coalesce(1).write.mode("overwrite").parquet(f"{path}/member_{i}/bins")
         if cal is not None:
             cal.write().overwrite().save(f"{path}/member_{i}/calibrator")
 
 
+_BINS = "feature int, ends array<double>"
+
+
+def _load_classifier(kind, path: str):
+    clf = kind.load(f"{path}/classifier")
+    if kind is not GBTClassificationModel:
+        return clf
+    try:
+        cuts = [list(r["ends"]) for r in SparkSession.active().read.schema(_BINS).parquet(f"{path}/bins").orderBy("feature").collect()]
+    except AnalysisException:  # saved before boosted trees were fitted on bins
+        cuts = []
+    return Binned(clf, cuts) if cuts else clf
+
+
 def load(path: str, n_members: int, calibration: str | None = "sigmoid", kind=LogisticRegressionModel) -> ScoringModel:
     """A saved model: ``kind`` is the class of its classifiers."""
     read = {"sigmoid": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}
     return ScoringModel(PipelineModel.load(f"{path}/preprocessor"), [
-        (kind.load(f"{path}/member_{i}/classifier"), read[calibration].load(f"{path}/member_{i}/calibrator") if calibration else None)
+        (_load_classifier(kind, f"{path}/member_{i}"), read[calibration].load(f"{path}/member_{i}/calibrator") if calibration else None)
         for i in range(n_members)])
