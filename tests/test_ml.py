@@ -2,7 +2,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -110,6 +110,7 @@ def _trees():
 
 def test_boosted_trees_are_fitted_on_combinations_of_bins(features, monkeypatch):
     seen = []
+    monkeypatch.setattr(M, "POOL_FROM", 1000)
     plain = _trees().fit(features)
     fit = GBTClassifier.fit
     monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: (seen.append(df.count()), fit(self, df, *a))[1])
@@ -121,14 +122,30 @@ def test_boosted_trees_are_fitted_on_combinations_of_bins(features, monkeypatch)
         assert np.allclose(_scores(model, rows), _scores(plain, rows), atol=1e-9)
 
 
-def test_rows_that_are_drawn_one_by_one_are_not_pooled(features):
+def test_rows_that_are_drawn_one_by_one_are_not_pooled(features, monkeypatch):
+    monkeypatch.setattr(M, "POOL_FROM", 1000)
     for est in (_trees().setSubsamplingRate(0.5), _trees().setMinInstancesPerNode(5)):
         assert np.allclose(_scores(M.fit_classifier(est, features), features), _scores(est.fit(features), features))
 
 
-def test_binned_trees_are_saved_with_their_bins(spark, table):
+def test_forest_is_dealt_to_more_tasks_and_keeps_its_trees(features, monkeypatch):
+    est = M.candidates(4000)["rf"].setNumTrees(4).setMaxDepth(6)
+    plain = est.copy().setCacheNodeIds(False).fit(features)
+    assert np.allclose(_scores(M.fit_classifier(est, features), features), _scores(plain, features))
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: (seen.append(df.rdd.getNumPartitions()), fit(self, df, *a))[1])
+    few = features.coalesce(1)
+    M.fit_classifier(est, few)  # few rows stay where they are
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 1000)
+    M.fit_classifier(est, few)
+    assert seen == [1, 4]
+
+
+def test_binned_trees_are_saved_with_their_bins(spark, table, monkeypatch):
+    monkeypatch.setattr(M, "POOL_FROM", 100)
     df, _ = table
     model = M.fit(df, ["x", "z"], ["c"], M.candidates(df.count())["gbt"].setMaxIter(2).setMaxDepth(2), "sigmoid")
+    assert all(isinstance(clf, M.Binned) for clf, _ in model.members)
     path = shared_path(spark, "model")
     M.save(model, path)
     again = M.load(path, len(model.members), "sigmoid", GBTClassificationModel)

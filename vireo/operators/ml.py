@@ -28,6 +28,10 @@ MAX_CLASSES = 1000
 #: rows that bins are drawn from at least (Spark's tree learners take as many), and
 #: features beyond which rows hardly share all their bins
 BIN_SAMPLE, MAX_BINNED = 10000, 256
+#: rows up to which boosted trees are fitted on the rows as they are
+POOL_FROM = 10_000
+#: rows from which a forest's training table is dealt to another task, up to the number of cores
+ROWS_PER_TASK = 100_000
 
 
 # M1 ------------------------------------------------------------------------
@@ -93,7 +97,8 @@ def candidates(n_train: int, seed: int = SEED, label: str = "label", weight: str
         "logreg": LogisticRegression(maxIter=1000, tol=1e-4, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                                      **common),
         "gbt": GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.1, seed=seed, **common),
-        "rf": RandomForestClassifier(numTrees=100, maxDepth=10, seed=seed, **common),
+        # each row's node is kept per tree (the same trees): else every level walks all trees from their roots
+        "rf": RandomForestClassifier(numTrees=100, maxDepth=10, seed=seed, cacheNodeIds=True, checkpointInterval=-1, **common),
     }
 
 
@@ -172,12 +177,16 @@ def fit_classifier(estimator, rows: DataFrame):
     """Fit on (features, label, weight).  Boosted trees see of a feature only
     its bin, and rows with the same bins and label have the same residual in
     every round, so they are fitted on one row per such combination with the sum
-    of the weights: the same trees, in work bounded by the combinations rather
-    than the rows.  (Not so where rows are drawn or counted one by one: the
+    of the weights: the same trees (but for which of several equally good splits
+    is taken: rounding decides), in work bounded by the combinations rather than
+    the rows.  A small table is fitted as it is.  (Not so where rows are drawn or counted one by one: the
     random forest's bootstrap, a subsample, a least number of rows.)"""
     from vireo.session import cut_lineage
+    if isinstance(estimator, RandomForestClassifier):
+        n = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_PER_TASK)
+        return estimator.copy().fit(rows.repartition(n) if n > rows.rdd.getNumPartitions() else rows)
     if not isinstance(estimator, GBTClassifier) or estimator.getSubsamplingRate() < 1 or estimator.getMinInstancesPerNode() > 1 \
-            or estimator.isDefined(estimator.validationIndicatorCol):
+            or estimator.isDefined(estimator.validationIndicatorCol) or rows.count() <= POOL_FROM:
         return estimator.copy().fit(rows)
     weight = estimator.getWeightCol() if estimator.isDefined(estimator.weightCol) else None
     label = estimator.getLabelCol()
@@ -261,7 +270,8 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str], estimator, ca
     features between candidates; the preprocessor learns from all training rows.
 
     The folds are independent Spark jobs submitted from ``parallelism``
-    threads (as Spark ML's own tuning does), so small fits overlap."""
+    threads (as Spark ML's own tuning does), so small fits overlap; a forest
+    holds every row's draw and node of every tree, so its folds take turns."""
     from vireo.session import cut_lineage
     if label != "label":
         df = df.withColumnRenamed(label, "label")
@@ -270,13 +280,15 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str], estimator, ca
     if not calibration:
         return ScoringModel(prep, [(fit_classifier(estimator, rows), None)], type(estimator).__name__)
 
+    forest = isinstance(estimator, RandomForestClassifier)
+
     def one(k: int):
         clf = fit_classifier(estimator, rows.where(F.col("__fold") != k))
         # written: the calibrator reads the scores more than once
         held = cut_lineage(ScoringModel(None, [(clf, None)]).score_features(rows.where(F.col("__fold") == k), ["label"], "__raw"))
         return clf, fit_calibrator(held, calibration)
 
-    return ScoringModel(prep, _parallel_map(one, list(range(folds)), parallelism), type(estimator).__name__)
+    return ScoringModel(prep, _parallel_map(one, list(range(folds)), 1 if forest else parallelism), type(estimator).__name__)
 
 
 def _parallel_map(fn, items: list, parallelism: int) -> list:
